@@ -6,6 +6,8 @@ not depend on the order in which Spark adds them up.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,63 +18,66 @@ UNKNOWN = "unknown"
 SCALE = 1_000_000
 
 
+@dataclass(frozen=True)
+class LanguageModel:
+    """``table(gram, scores)`` holds one score per language, in the order of ``languages``."""
+
+    languages: list[str]
+    table: DataFrame
+    grams: int
+
+
 def trigrams(text: Column) -> Column:
     """All overlapping three-character pieces of the lower-cased text, in one linear pass."""
     return F.regexp_extract_all(F.lower(text), F.lit(r"(?s)(?=(...))"), F.lit(1))
 
 
-def trigram_counts(docs: DataFrame, *keys: str) -> DataFrame:
-    """Trigram counts per key: ``(*keys, gram, n)``, pre-aggregated before the shuffle."""
-    grams = docs.select(*keys, F.explode(trigrams(F.col("text"))).alias("gram"))
-    return grams.groupBy(*keys, "gram").agg(F.count("*").alias("n"))
-
-
-def train(labelled: DataFrame) -> DataFrame:
-    """Model ``(gram, scores)``: smoothed log probability of a trigram for every language.
+def train(labelled: DataFrame) -> LanguageModel:
+    """Smoothed log probabilities of all trigrams of ``labelled(lang, text)``.
 
-    ``scores`` is an array of ``(lang, score)`` sorted by language.
+    Counting is pre-aggregated on the map side; what is shuffled and kept has the
+    size of the vocabulary, not of the corpus.
     """
-    counts = settle(trigram_counts(labelled.where(F.col("lang").isNotNull()), "lang"))
-    distinct = counts.select("gram").distinct().agg(F.count("*").alias("grams"))
-    grams = distinct.first()["grams"]
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    # one row per language: a few dozen, kept as one array beside every trigram
-    langs = totals.agg(F.array_sort(F.collect_list(F.struct("lang", "total")))).first()[0]
-    table = F.array(
-        *[F.struct(F.lit(r["lang"]).alias("lang"), F.lit(r["total"]).alias("total")) for r in langs]
+    grams = labelled.where(F.col("lang").isNotNull()).select(
+        "lang", F.explode(trigrams(F.col("text"))).alias("gram")
+    )
+    counts, _ = settle(grams.groupBy("lang", "gram").agg(F.count("*").alias("n")))
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").collect()  # one row per language
+    seen = counts.groupBy("gram").agg(
+        *[F.coalesce(F.sum(F.when(F.col("lang") == t["lang"], F.col("n"))), F.lit(0)).alias(f"_n{i}") for i, t in enumerate(totals)]
     )
-    seen = counts.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("seen"))
+    seen, vocabulary = settle(seen)
 
-    def score(entry: Column) -> Column:
-        n = F.coalesce(F.try_element_at(F.col("seen"), entry["lang"]), F.lit(0))
-        p = (n + 1).cast("double") / (entry["total"] + F.lit(grams)).cast("double")
-        return F.struct(
-            entry["lang"].alias("lang"), F.floor(F.log(p) * SCALE).cast("long").alias("score")
-        )
+    def score(n: Column, total: int) -> Column:
+        p = (n + 1).cast("double") / F.lit(float(total + vocabulary))
+        return F.floor(F.log(p) * SCALE).cast("long")
 
-    return seen.select("gram", F.transform(table, score).alias("scores"))
+    scores = [score(F.col(f"_n{i}"), t["total"]) for i, t in enumerate(totals)]
+    table = seen.select("gram", (F.array(*scores) if scores else F.array().cast("array<bigint>")).alias("scores"))
+    return LanguageModel([t["lang"] for t in totals], table, vocabulary)
 
 
-def detect(docs: DataFrame, model: DataFrame, keys: list[str]) -> DataFrame:
+def detect(docs: DataFrame, model: LanguageModel, keys: list[str]) -> DataFrame:
     """``docs`` with ``detected``: the best language, ``unknown`` if no trigram is in the model.
 
-    The model is broadcast only if its counted size allows; beyond that the
-    trigrams meet it in a shuffle join.
+    A model within the size bound is broadcast: every trigram is scored where it
+    is, and only one row of sums per text and task is shuffled.  A larger model meets the
+    trigrams in a shuffle join, after they were counted per text.
     """
-    model = settle(model)
-    if model.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        model = F.broadcast(model)
-
-    def weighted(score: Column) -> Column:
-        return F.struct(score["lang"].alias("_lang"), (score["score"] * F.col("n")).alias("_score"))
-
-    scored = trigram_counts(docs, *keys).join(model, "gram")
-    totals = (
-        scored.select(*keys, F.inline(F.transform("scores", weighted)))
-        .groupBy(*keys, "_lang")
-        .agg(F.sum("_score").alias("_score"))
+    if not model.languages:
+        return docs.withColumn("detected", F.lit(UNKNOWN))
+    grams = docs.select(*keys, F.explode(trigrams(F.col("text"))).alias("gram"))
+    if model.grams <= BROADCAST_ROWS:
+        scored = grams.withColumn("n", F.lit(1)).join(F.broadcast(model.table), "gram")
+    else:
+        scored = grams.groupBy(*keys, "gram").agg(F.count("*").alias("n")).join(model.table, "gram")
+    sums = scored.groupBy(*keys).agg(
+        *[F.sum(F.col("n") * F.col("scores")[i]).alias(f"_s{i}") for i in range(len(model.languages))]
     )
     # highest score, then the first language name
-    best = totals.groupBy(*keys).agg(F.min(F.struct(-F.col("_score"), "_lang"))["_lang"].alias("_best"))
+    ranked = F.array_min(
+        F.array(*[F.struct(-F.col(f"_s{i}"), F.lit(lang).alias("lang")) for i, lang in enumerate(model.languages)])
+    )
+    best = sums.select(*keys, ranked["lang"].alias("_best"))
     joined = docs.join(best, keys, "left")
     return joined.select(*docs.columns, F.coalesce("_best", F.lit(UNKNOWN)).alias("detected"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.operators.ordering import first_per_group, hash_bucket, join_small, seeded_hash
+from textloom.operators.ordering import broadcast_if_small, first_per_group, hash_bucket, seeded_hash
 
 # 4096 hash buckets per source: enough to spread the largest source, few enough
 # that the table of bucket counts stays small.
@@ -55,8 +55,7 @@ def mix_sample(docs: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
 
     Keeps the order columns of ``with_shuffle_order`` for the operators that follow.
     """
-    text_sources = plan.where(F.col("content_type") == "text")
+    limits = broadcast_if_small(plan.where(F.col("content_type") == "text").select("source", "max_rows"))
     ordered = with_shuffle_order(docs.where(F.col("text") != ""), seed)
-    ordered = join_small(ordered, text_sources.select("source"), ["source"], "left_semi")
-    limits = text_sources.select("source", "max_rows")
+    ordered = ordered.join(limits.select("source"), "source", "left_semi")
     return first_per_group(ordered, "source", ["_bucket"], ["_hash", "doc_id", "part"], limits)

@@ -87,16 +87,19 @@ def dense_index(df: DataFrame, buckets: list[str], order: list[str], out: str) -
     return exclusive_prefix(df, buckets, order, {out: F.lit(1)})
 
 
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df``, computed once, with a broadcast hint only if its counted size allows it."""
+    settled, rows = settle(df)
+    return F.broadcast(settled) if rows <= BROADCAST_ROWS else settled
+
+
 def join_small(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join a side that is expected to be small: broadcast it only if its counted size allows.
 
-    ``small`` is computed once.  Above the bound the join is a normal shuffle
-    join, where adaptive execution splits skewed keys.
+    Above the bound the join is a normal shuffle join, where adaptive execution
+    splits skewed keys.
     """
-    small = settle(small)
-    if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        small = F.broadcast(small)
-    return df.join(small, on, how)
+    return df.join(broadcast_if_small(small), on, how)
 
 
 def first_per_group(
@@ -117,15 +120,17 @@ def first_per_group(
         F.coalesce(F.sum("_n").over(by_group.orderBy(*buckets).rowsBetween(*BEFORE)), F.lit(0)).alias("_before"),
         F.sum("_n").over(by_group).alias("_all"),
     )
-    limited = settle(
+    limited, rows = settle(
         running.join(limits, group).where(
             F.col("max_rows").isNotNull() & (F.col("max_rows") < F.col("_all"))
         )
     )
+    # both tables below have at most one row per limited group, and no more than these rows
+    hint = F.broadcast if rows <= BROADCAST_ROWS else (lambda small: small)
     reached = limited.where(
         (F.col("_before") < F.col("max_rows")) & (F.col("max_rows") <= F.col("_before") + F.col("_n"))
     ).select(*keys, (F.col("max_rows") - F.col("_before")).alias("_rank"))
-    ranked = join_small(df.select(*dict.fromkeys([*keys, *order])), reached, keys)
+    ranked = df.select(*dict.fromkeys([*keys, *order])).join(hint(reached), keys)
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     # buckets are monotone in the order, so (buckets, order) compares like the order
     place = list(dict.fromkeys([*buckets, *order]))
@@ -135,6 +140,5 @@ def first_per_group(
         .select(group, F.struct(*place).alias("_last"))
     )
     cuts = limited.select(group).distinct().join(last, group, "left").withColumn("_cut", F.lit(True))
-    marked = join_small(df, cuts, [group], "left")
     keep = F.col("_cut").isNull() | (F.struct(*place) <= F.col("_last"))
-    return marked.where(keep).select(*df.columns)
+    return df.join(hint(cuts), group, "left").where(keep).select(*df.columns)

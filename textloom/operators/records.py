@@ -1,8 +1,10 @@
 """Cleaning and validation of whole records.
 
-The cleaned text is built inside ``explode(filter(array(...)))``: rows with an
-invalid text drop out there.  A ``where`` after the projection would be pushed
-below it by the optimiser and run the whole chain once per mention.
+Only the cheap tests are ``where`` clauses, which reach the scan.  The costly
+ones live inside ``explode(filter(...))``, where rows that fail drop out: a ``where``
+on the cleaned text would be pushed below its projection by the optimiser and run
+the whole chain once per mention, and one on the raw text would be pushed below a
+repartitioning meant to spread that very work.
 """
 
 from __future__ import annotations
@@ -33,12 +35,12 @@ def _acceptable(text: Column, options: CleanOptions) -> Column:
 def clean_records(df: DataFrame, options: CleanOptions = CleanOptions()) -> DataFrame:
     """Text records: language, code, garbage, clean, valid.  Other columns pass through."""
     text = F.col("text")
-    raw = df.where(allowed_language(F.col("lang"), options.allowed_langs)).where(
-        (text != "") & _acceptable(text, options)
-    )
-    cleaned = F.filter(F.array(clean_normalized(nfkc(text))), lambda t: is_valid(t))
+    raw = df.where(allowed_language(F.col("lang"), options.allowed_langs) & (text != ""))
+    cleaned = F.when(_acceptable(text, options), F.array(clean_normalized(nfkc(text))))
     rest = [c for c in df.columns if c != "text"]
-    return raw.select(*rest, F.explode(cleaned).alias("text")).select(*df.columns)
+    return raw.select(*rest, F.explode(F.filter(cleaned, lambda t: is_valid(t))).alias("text")).select(
+        *df.columns
+    )
 
 
 def clean_dialogues(df: DataFrame, options: CleanOptions = CleanOptions()) -> DataFrame:
@@ -48,9 +50,8 @@ def clean_dialogues(df: DataFrame, options: CleanOptions = CleanOptions()) -> Da
     def blank(text: Column) -> Column:
         return text.isNull() | (text == "")
 
-    raw = df.where(allowed_language(F.col("lang"), options.allowed_langs)).where(
-        F.forall(messages, lambda m: blank(m["content"]) | _acceptable(m["content"], options))
-    )
+    raw = df.where(allowed_language(F.col("lang"), options.allowed_langs))
+    acceptable = F.forall(messages, lambda m: blank(m["content"]) | _acceptable(m["content"], options))
 
     def rebuilt(m: Column, normalized: Column) -> Column:
         empty = blank(m["content"])
@@ -59,7 +60,7 @@ def clean_dialogues(df: DataFrame, options: CleanOptions = CleanOptions()) -> Da
 
     contents = F.transform(messages, lambda m: m["content"])
     cleaned = F.filter(
-        F.array(F.zip_with(messages, nfkc_each(contents), rebuilt)),
+        F.when(acceptable, F.array(F.zip_with(messages, nfkc_each(contents), rebuilt))),
         lambda ms: F.forall(ms, lambda m: m["empty"] | is_valid(m["content"])),
     )
     rest = [c for c in df.columns if c != "messages"]

@@ -196,11 +196,12 @@ def answers_and_unique_prompts(
 
 
 def cap_per_language(
-    df: DataFrame, caps: DataFrame, buckets: list[str], order: list[str]
+    df: DataFrame, caps: Mapping[str, int], buckets: list[str], order: list[str]
 ) -> DataFrame:
-    """The first ``max_rows`` texts of each language listed in ``caps(lang, max_rows)``."""
-    listed = join_small(df, caps.select("lang"), ["lang"], "left_semi")
-    return first_per_group(listed, "lang", buckets, order, caps)
+    """The first texts of each language in ``caps``, up to its cap; other languages are left out."""
+    listed = df.where(F.col("lang").isin(*caps))
+    limits = df.sparkSession.createDataFrame(list(caps.items()), "lang string, max_rows long")
+    return first_per_group(listed, "lang", buckets, order, limits)
 
 
 def cut_at_marker(

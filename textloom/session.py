@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "textloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -44,10 +45,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage, for small results that later plans use several times."""
+def settle(df: DataFrame) -> tuple[DataFrame, int]:
+    """Compute ``df`` once and cut its lineage; returns it with its row count.
+
+    For small results that several later plans use.
+    """
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    rows = Observation()
+    settled = df.observe(rows, F.count(F.lit(1)).alias("n")).checkpoint()
+    return settled, rows.get["n"]
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -129,8 +129,7 @@ def _encyclopedia(spark: SparkSession, path: str) -> DataFrame:
     """Articles landed below ``lang=<code>`` folders; missing languages are simply not there."""
     rows = landed(spark, path, "text string, lang string").withColumn("part", F.lit(0))
     cut = shaping.cut_at_marker(rows, STOP_MARKERS, DEFAULT_STOP_MARKERS)
-    caps = spark.createDataFrame(list(ENCYCLOPEDIA_CAPS.items()), "lang string, max_rows long")
-    return shaping.cap_per_language(cut, caps, BLOCK, PLACE).select(*shaping.RECORD)
+    return shaping.cap_per_language(cut, ENCYCLOPEDIA_CAPS, BLOCK, PLACE).select(*shaping.RECORD)
 
 
 def _with_key(texts: DataFrame) -> DataFrame:

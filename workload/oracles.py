@@ -183,7 +183,7 @@ plan AS (
   FROM present LEFT JOIN rules USING (source), base_rows)"""
 
 LINES = "SELECT doc_id, line_no, book, {strip} AS line FROM doc_lines"
-CAP_VALUES = ", ".join(f"('{lang}', {n})" for lang, n in CAPS)
+CAP_VALUES = ", ".join(f"('{lang}', {n})" for lang, n in CAPS.items())
 
 MARKERS = """
 markers AS (SELECT * FROM (VALUES

@@ -79,10 +79,9 @@ def src_hash_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 def src_lang_cap(spark: SparkSession, d: str) -> DataFrame:
     docs = shaping.unpivot_texts(views.documents(spark, d), {"text": F.col("lang")})
-    subsets = shaping.union_subsets(docs.where(F.col("lang") == lang) for lang, _ in views.CAPS)
-    caps = spark.createDataFrame(views.CAPS, "lang string, max_rows long")
+    subsets = shaping.union_subsets(docs.where(F.col("lang") == lang) for lang in views.CAPS)
     placed = ordering.range_bucket(subsets, "doc_id", "_bucket")
-    return shaping.cap_per_language(placed, caps, ["_bucket"], ["doc_id"]).drop("_bucket")
+    return shaping.cap_per_language(placed, views.CAPS, ["_bucket"], ["doc_id"]).drop("_bucket")
 
 
 def src_stop_marker(spark: SparkSession, d: str) -> DataFrame:
@@ -194,14 +193,14 @@ def chunk_budgets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def chunk_text(spark: SparkSession, d: str) -> DataFrame:
-    docs = views.documents(spark, d).select("doc_id", "lang", "text")
+    docs = views.spread_documents(spark, d).select("doc_id", "lang", "text")
     return chunking.chunk_rows(docs, CHUNKS)
 
 
 def chunk_text_short_windows(spark: SparkSession, d: str) -> DataFrame:
     """Many small windows: the chunk cap and the document cut are reached."""
     options = ChunkOptions(target_tokens=32, stride_tokens=28, min_tokens=8, max_chunks=20, max_document_chars=3000)
-    docs = views.documents(spark, d).select("doc_id", "lang", "text")
+    docs = views.spread_documents(spark, d).select("doc_id", "lang", "text")
     return chunking.chunk_rows(docs, options)
 
 
@@ -298,7 +297,7 @@ def stage_latest(spark: SparkSession, d: str) -> DataFrame:
 
 # ----------------------------------------------------------------- language
 def lang_detect(spark: SparkSession, d: str) -> DataFrame:
-    docs = views.documents(spark, d).select("doc_id", "lang", "text")
+    docs = views.spread_documents(spark, d).select("doc_id", "lang", "text")
     model = langid.train(docs)
     return langid.detect(docs.select("doc_id", "text"), model, ["doc_id"]).select("doc_id", "detected")
 

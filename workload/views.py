@@ -15,12 +15,16 @@ NL, BELL = "\n", "\a"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents; a single-file table is spread over the task slots."""
-    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id").drop("n_chars")
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").drop("n_chars")
+
+
+def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for work that is heavy per row: a table of too few splits is spread over the task slots."""
+    return spread(documents(spark, sf_dir), "doc_id")
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/conversations.parquet"), "conv_id")
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
 
 
 def dirty(text: Column, case: Column) -> Column:
@@ -51,14 +55,20 @@ def dirty(text: Column, case: Column) -> Column:
 
 
 def dirty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    return docs.withColumn("text", dirty(F.col("text"), F.col("doc_id") % 12))
+    docs = spread_documents(spark, sf_dir)
+    return _stored(docs, dirty(F.col("text"), F.col("doc_id") % 12))
 
 
 def dirty_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = conversations(spark, sf_dir)
+    turns = spread(conversations(spark, sf_dir), "conv_id")
     case = (F.col("conv_id") * 3 + F.col("turn")) % 40
-    return turns.withColumn("text", F.when(case == 12, F.lit("")).otherwise(dirty(F.col("text"), case)))
+    return _stored(turns, F.when(case == 12, F.lit("")).otherwise(dirty(F.col("text"), case)))
+
+
+def _stored(df: DataFrame, text: Column) -> DataFrame:
+    """Replace the text as if it had been stored so; otherwise each mention would derive it again."""
+    rest = [c for c in df.columns if c != "text"]
+    return df.select(*rest, F.explode(F.array(text)).alias("text")).select(*df.columns)
 
 
 def raw_dialogues(turns: DataFrame) -> DataFrame:
@@ -125,7 +135,7 @@ RULES = [
     ("src11", None, None),
     ("src12", False, 0.02),
 ]
-CAPS = [("en", 400), ("de", 50), ("fr", 1), ("it", 50)]
+CAPS = {"en": 400, "de": 50, "fr": 1, "it": 50}
 SEED = 42
 
 SQL = {

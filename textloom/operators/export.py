@@ -41,12 +41,13 @@ def compression_ratio(chunks: DataFrame, sample_bytes: int, seed: int, keys: lis
     """UTF-8 bytes of text per Parquet byte, measured on a written sample; 1.0 if there is less text.
 
     The sample is the hash range expected to hold ``sample_bytes`` (with a tenth
-    to spare), so it needs neither an order nor a shuffle.
+    to spare), so it needs neither an order nor a shuffle.  Both passes read all of
+    ``chunks``: of a large corpus, pass some of its files.
     """
     spark = chunks.sparkSession
     size = F.octet_length("text").cast("long")
     total = chunks.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]
-    if total < sample_bytes:
+    if total < max(sample_bytes, 1):
         return spark.createDataFrame([(int(total), 0, 1.0)], "raw_bytes long, parquet_bytes long, ratio double")
     share = min(1.0, 1.1 * sample_bytes / total)
     position = hash_bucket(seeded_hash(seed, *keys), 7)

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from textloom.operators.ordering import broadcast_if_small, first_per_group, hash_bucket, seeded_hash
 
-# 4096 hash buckets per source: enough to spread the largest source, few enough
-# that the table of bucket counts stays small.
-HASH_DIGITS = 3
+# 65536 hash buckets per source: enough to spread a source of many terabytes, few
+# enough that the table of bucket counts stays small.
+HASH_DIGITS = 4
 
 
 def available_sources(sources: DataFrame, counts: DataFrame) -> DataFrame:

@@ -120,16 +120,15 @@ def first_per_group(
         F.coalesce(F.sum("_n").over(by_group.orderBy(*buckets).rowsBetween(*BEFORE)), F.lit(0)).alias("_before"),
         F.sum("_n").over(by_group).alias("_all"),
     )
-    limited, rows = settle(
-        running.join(limits, group).where(
-            F.col("max_rows").isNotNull() & (F.col("max_rows") < F.col("_all"))
-        )
+    beyond = running.join(limits, group).where(F.col("max_rows") < F.col("_all"))
+    before, limit = F.col("_before"), F.col("max_rows")
+    # one row per limited group: where its limit falls; a limit of zero falls before the first bucket
+    reached, rows = settle(
+        beyond.where(((before < limit) & (limit <= before + F.col("_n"))) | ((limit <= 0) & (before == 0)))
+        .select(*keys, (limit - before).alias("_rank"))
     )
-    # both tables below have at most one row per limited group, and no more than these rows
+    # the table of last keys below is no longer than this one
     hint = F.broadcast if rows <= BROADCAST_ROWS else (lambda small: small)
-    reached = limited.where(
-        (F.col("_before") < F.col("max_rows")) & (F.col("max_rows") <= F.col("_before") + F.col("_n"))
-    ).select(*keys, (F.col("max_rows") - F.col("_before")).alias("_rank"))
     ranked = df.select(*dict.fromkeys([*keys, *order])).join(hint(reached), keys)
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     # buckets are monotone in the order, so (buckets, order) compares like the order
@@ -139,6 +138,6 @@ def first_per_group(
         .where(F.col("_rn") == F.col("_rank"))
         .select(group, F.struct(*place).alias("_last"))
     )
-    cuts = limited.select(group).distinct().join(last, group, "left").withColumn("_cut", F.lit(True))
+    cuts = reached.select(group).join(last, group, "left").withColumn("_cut", F.lit(True))
     keep = F.col("_cut").isNull() | (F.struct(*place) <= F.col("_last"))
     return df.join(hint(cuts), group, "left").where(keep).select(*df.columns)

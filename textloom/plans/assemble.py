@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom import schemas
@@ -16,6 +16,7 @@ from textloom.operators.export import (
     shard_number,
 )
 from textloom.operators.mixing import mix_plan, mix_sample
+from textloom.operators.ordering import BEFORE, range_bucket
 from textloom.options import AssemblyOptions
 from textloom.plans.layout import Layout
 from textloom.sources import manifest as M
@@ -36,6 +37,29 @@ def source_counts(spark: SparkSession, specs: Iterable[SourceSpec], layout: Layo
     return cleaned.join(existing, "source", "left_semi").select("source", "num_records")
 
 
+def some_files(spark: SparkSession, folder: str, enough_bytes: int) -> list[str]:
+    """Files of a table, in random but fixed order, until they hold ``enough_bytes``.
+
+    The listing reads names and lengths only; how many files are picked depends
+    on the wanted size, not on the table.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    listed = files.option("pathGlobFilter", "*.parquet").load(folder).select("path", "length")
+    before = Window.orderBy(F.md5("path"), "path").rowsBetween(*BEFORE)
+    picked = listed.withColumn("_before", F.coalesce(F.sum("length").over(before), F.lit(0)))
+    return [r["path"] for r in picked.where(F.col("_before") < enough_bytes).select("path").collect()]
+
+
+def measured_ratio(spark: SparkSession, layout: Layout, options: AssemblyOptions) -> float:
+    """Text bytes per Parquet byte of the chunks, from a few files of the cleaned texts."""
+    folder = layout.cleaned("text")
+    files = some_files(spark, folder, options.sample_bytes)
+    texts = spark.read.schema(BY_SOURCE).option("basePath", folder).parquet(*files)
+    chunks = chunk_rows(texts, options.chunking)
+    keys = ["source", "doc_id", "part", "k"]
+    return compression_ratio(chunks, options.sample_bytes, options.seed, keys).first()["ratio"]
+
+
 def run_assembly(
     spark: SparkSession,
     specs: Iterable[SourceSpec],
@@ -55,15 +79,12 @@ def run_assembly(
     texts = read_or_empty(spark, layout.cleaned("text"), BY_SOURCE)
     docs = mix_sample(texts, plan, options.seed)
 
-    sample = chunk_rows(texts, options.chunking)
-    measured = compression_ratio(sample, options.sample_bytes, options.seed, ["source", "doc_id", "part", "k"])
-    shard_bytes = max(1, int(options.shard_bytes * measured.first()["ratio"]))
+    ratio = measured_ratio(spark, layout, options) if path_exists(spark, layout.cleaned("text")) else 1.0
+    shard_bytes = max(1, int(options.shard_bytes * ratio))
 
     order = ["_hash", "doc_id", "part"] if options.shuffle_documents else ["doc_id", "part"]
     buckets = ["source", "_bucket"]
     if not options.shuffle_documents:
-        from textloom.operators.ordering import range_bucket
-
         docs = range_bucket(docs.drop("_bucket"), "doc_id", "_bucket")
     numbered = number_chunks(docs, buckets, order, options.chunking)
     shards = numbered.select(

@@ -34,7 +34,8 @@ URL_EMAIL = (
     rf"|(?<!{N}){N}[^{SPACE}@]*+@{N}+",
     "",
 )
-CONTROL = (r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x9F]", "")
+# 00-08, 0B, 0C, 0E-1F and 7F-9F, written as the complement: common characters match its first range
+CONTROL = (r"[^\x20-\x7E\xA0-\x{10FFFF}\t\n\r]", "")
 TECHNICAL = (rf"\[{DIGIT}{{1,6}}\]|\{{[^{{}}\n]{{1,100}}\}}", "")
 REPEATS = (r"([^\n])\1{4,}", "$1$1$1")
 EMPTY_PAIRS = (rf"(?U)[{QUOTES}]{W}*[{QUOTES}]|[(\[{{<]{W}*[)\]}}>]", "")
@@ -42,7 +43,8 @@ LONELY_MARKS = (rf"(?U)(?<={W})[{QUOTES}()\[\]{{}}<>](?={W})", " ")
 # entered at the first blank of a run and possessive: linear on long blank runs
 SPACE_BEFORE_PUNCT = (rf"(?U){W}(?<!{W}{W}){W}*+([,.;:!?])", "$1")
 SPACE_AFTER_PUNCT = (rf"(?U)([,;:!?])({N})", "$1 $2")
-SPACE_AFTER_DOT = (rf"(?U)(\.{{3}}|\.)([^{SPACE}.{DIGIT}])", "$1 $2")
+# one dot or three
+SPACE_AFTER_DOT = (rf"(?U)(\.(?:\.\.)?+)([^{SPACE}.{DIGIT}])", "$1 $2")
 SPACE_AFTER_DASH = (rf"(?U)^([—\-])({N})", "$1 $2")
 BLANK_RUNS = (r"[ \t]{2,}", " ")
 NEWLINE_RUNS = (r"\n{2,}", "\n")

@@ -103,16 +103,26 @@ def join_small(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner
 
 
 def first_per_group(
-    df: DataFrame, group: str, buckets: list[str], order: list[str], limits: DataFrame
+    df: DataFrame,
+    group: str,
+    buckets: list[str],
+    order: list[str],
+    limits: DataFrame,
+    costly: bool = False,
 ) -> DataFrame:
     """The first ``max_rows`` rows of each group, exactly, without moving the rows themselves.
 
     ``limits(group, max_rows)``: null or no row means all rows.  Counts per bucket
     find the bucket where a group's limit falls; only the keys of that bucket are
     ranked, which gives the group's last key; the rows are then filtered in place.
+    The keys are read twice before that: set ``costly`` to store them once if
+    computing the rows takes much more than a scan.
     """
     keys = [group, *buckets]
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    key_rows = df.select(*dict.fromkeys([*keys, *order]))
+    if costly:
+        key_rows, _ = settle(key_rows)
+    counts = key_rows.groupBy(*keys).agg(F.count("*").alias("_n"))
     by_group = Window.partitionBy(group)
     running = counts.select(
         *keys,
@@ -129,7 +139,7 @@ def first_per_group(
     )
     # the table of last keys below is no longer than this one
     hint = F.broadcast if rows <= BROADCAST_ROWS else (lambda small: small)
-    ranked = df.select(*dict.fromkeys([*keys, *order])).join(hint(reached), keys)
+    ranked = key_rows.join(hint(reached), keys)
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     # buckets are monotone in the order, so (buckets, order) compares like the order
     place = list(dict.fromkeys([*buckets, *order]))

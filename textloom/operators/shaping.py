@@ -37,6 +37,7 @@ def unpivot_texts(
     df: DataFrame,
     columns: Mapping[str, str | Column],
     min_chars: int = MIN_SOURCE_CHARS,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One record per text column; the mapping gives each column's language.
 
@@ -45,7 +46,8 @@ def unpivot_texts(
     items = F.array(
         *[_item(F.lit(i), _lang(lang), F.col(f"`{name}`")) for i, (name, lang) in enumerate(columns.items())]
     )
-    return df.select("doc_id", F.inline(F.filter(items, _long_enough(min_chars)))).select(*RECORD)
+    long = df.select("doc_id", *keep, F.inline(F.filter(items, _long_enough(min_chars))))
+    return long.select(*RECORD, *keep)
 
 
 def nested_texts(
@@ -201,7 +203,7 @@ def cap_per_language(
     """The first texts of each language in ``caps``, up to its cap; other languages are left out."""
     listed = df.where(F.col("lang").isin(*caps))
     limits = df.sparkSession.createDataFrame(list(caps.items()), "lang string, max_rows long")
-    return first_per_group(listed, "lang", buckets, order, limits)
+    return first_per_group(listed, "lang", buckets, order, limits, costly=True)
 
 
 def cut_at_marker(

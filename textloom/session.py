@@ -5,8 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "textloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,9 +50,8 @@ def settle(df: DataFrame) -> tuple[DataFrame, int]:
     For small results that several later plans use.
     """
     shared_folder(df.sparkSession)
-    rows = Observation()
-    settled = df.observe(rows, F.count(F.lit(1)).alias("n")).checkpoint()
-    return settled, rows.get["n"]
+    settled = df.checkpoint()
+    return settled, settled.count()
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

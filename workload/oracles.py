@@ -259,6 +259,9 @@ SELECT doc_id, part, lang, text FROM (
   FROM (SELECT doc_id, 0 AS part, lang, {_strip("text")} AS text FROM documents)
   WHERE length(text) >= 100) JOIN (VALUES {CAP_VALUES}) caps(lang, max_rows) USING (lang)
 WHERE rn <= max_rows""",
+    "src_union": f"""
+SELECT doc_id, 0 AS part, lang, t AS text FROM (SELECT *, {_strip("text")} AS t FROM documents)
+WHERE length(t) >= 100 AND lang IN ({", ".join(f"'{lang}'" for lang in CAPS)})""",
     "src_stop_marker": _with(
         SQL["marked"],
         MARKERS,

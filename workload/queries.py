@@ -13,7 +13,7 @@ from textloom.functions import validation as V
 from textloom.operators import chunking, export, langid, mixing, ordering, records, shaping
 from textloom.options import ChunkOptions, CleanOptions
 from textloom.plans.layout import Layout
-from textloom.session import scratch_path
+from textloom.session import scratch_path, spread
 from textloom.sources import manifest as M
 from textloom.sources.catalog import DEFAULT_STOP_MARKERS, STOP_MARKERS
 from textloom.sources.parquet_io import read_or_empty, read_table, write_json, write_table
@@ -56,7 +56,7 @@ def src_nested_explode(spark: SparkSession, d: str) -> DataFrame:
 
 
 def src_run_concat(spark: SparkSession, d: str) -> DataFrame:
-    lines = ordering.range_bucket(views.doc_lines(spark, d), "doc_id", "_bucket")
+    lines = views.doc_lines(spark, d)
     runs = shaping.concat_runs(lines, "book", "line", ["_bucket"], ["doc_id", "line_no"])
     return runs.select("start.doc_id", "start.line_no", "book", "text")
 
@@ -78,10 +78,18 @@ def src_hash_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def src_lang_cap(spark: SparkSession, d: str) -> DataFrame:
-    docs = shaping.unpivot_texts(views.documents(spark, d), {"text": F.col("lang")})
-    subsets = shaping.union_subsets(docs.where(F.col("lang") == lang) for lang in views.CAPS)
-    placed = ordering.range_bucket(subsets, "doc_id", "_bucket")
-    return shaping.cap_per_language(placed, views.CAPS, ["_bucket"], ["doc_id"]).drop("_bucket")
+    docs = spread(ordering.range_bucket(views.documents(spark, d), "doc_id", "_bucket"), "doc_id")
+    texts = shaping.unpivot_texts(docs, {"text": F.col("lang")}, keep=("_bucket",))
+    return shaping.cap_per_language(texts, views.CAPS, ["_bucket"], ["doc_id"]).drop("_bucket")
+
+
+def src_union(spark: SparkSession, d: str) -> DataFrame:
+    """Subsets by language, shaped one by one and put together."""
+    docs = views.documents(spark, d)
+    shaped = [
+        shaping.unpivot_texts(docs.where(F.col("lang") == lang), {"text": lang}) for lang in views.CAPS
+    ]
+    return shaping.union_subsets(shaped)
 
 
 def src_stop_marker(spark: SparkSession, d: str) -> DataFrame:
@@ -214,7 +222,7 @@ def chunk_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dense_index(spark: SparkSession, d: str) -> DataFrame:
-    lines = ordering.range_bucket(views.doc_lines(spark, d), "doc_id", "_bucket")
+    lines = views.doc_lines(spark, d)
     return ordering.dense_index(lines, ["_bucket"], ["doc_id", "line_no"], "row_index").drop("_bucket")
 
 
@@ -310,6 +318,7 @@ QUERIES: dict[str, Query] = {
     "src_group_concat": src_group_concat,
     "src_hash_dedup": src_hash_dedup,
     "src_lang_cap": src_lang_cap,
+    "src_union": src_union,
     "src_stop_marker": src_stop_marker,
     "src_schema_project": src_schema_project,
     "src_select": src_select,

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.operators.ordering import range_bucket
 from textloom.session import spread
 
 NL, BELL = "\n", "\a"
@@ -72,15 +73,20 @@ def _stored(df: DataFrame, text: Column) -> DataFrame:
 
 
 def raw_dialogues(turns: DataFrame) -> DataFrame:
-    """One row per conversation with messages in order, plus fields no schema asks for."""
+    """One row per conversation with messages in order, plus fields no schema asks for.
+
+    A dialogue is one record of the data model, so it has to fit into a row.
+    """
     messages = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
     grouped = turns.groupBy(F.col("conv_id").alias("doc_id")).agg(messages.alias("messages"))
     return grouped.withColumn("type", F.lit("dialogue")).withColumn("lang", F.lit("en"))
 
 
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of the documents; the book id comes back after other books."""
-    return documents(spark, sf_dir).select(
+    """Lines of the documents, with their range of documents; the book id comes back after other books."""
+    docs = spread(range_bucket(documents(spark, sf_dir), "doc_id", "_bucket"), "doc_id")
+    return docs.select(
+        "_bucket",
         "doc_id",
         (F.floor(F.col("doc_id") / 3) % 5).alias("book"),
         F.posexplode(F.split("text", NL, -1)).alias("line_no", "line"),

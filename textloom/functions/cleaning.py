@@ -7,7 +7,7 @@ Spark has no expression for, goes through one Arrow function.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from itertools import product
 
 import pyarrow as pa
@@ -25,12 +25,16 @@ def _replace(text: Column, step: tuple[str, str]) -> Column:
     return F.regexp_replace(text, F.lit(pattern), F.lit(replacement))
 
 
-def _replace_if(text: Column, needles: Iterable[str], step: tuple[str, str]) -> Column:
-    """Apply ``step`` only to texts holding one of ``needles``, without which it matches nothing.
+def _replace_where(
+    text: Column, may_match: Callable[[Column], Column], step: tuple[str, str]
+) -> Column:
+    """Apply ``step`` only where a cheaper test says that it may match at all."""
+    return bind(text, lambda t: F.when(may_match(t), _replace(t, step)).otherwise(t))
+
 
-    A plain byte search is far cheaper than a regular expression pass.
-    """
-    return bind(text, lambda t: F.when(contains_any(t, needles), _replace(t, step)).otherwise(t))
+def _replace_if(text: Column, needles: Iterable[str], step: tuple[str, str]) -> Column:
+    """Apply ``step`` only to texts holding one of ``needles``: a byte search is much cheaper."""
+    return _replace_where(text, lambda t: contains_any(t, needles), step)
 
 
 def py_strip(text: Column) -> Column:
@@ -90,7 +94,10 @@ def drop_lonely_marks(text: Column) -> Column:
 
 
 def fix_punctuation(text: Column) -> Column:
-    for step in (P.SPACE_BEFORE_PUNCT, P.SPACE_AFTER_PUNCT, P.SPACE_AFTER_DOT, P.SPACE_AFTER_DASH):
+    text = _replace_where(
+        text, lambda t: F.regexp_like(t, F.lit(P.HAS_SPACE_BEFORE_PUNCT)), P.SPACE_BEFORE_PUNCT
+    )
+    for step in (P.SPACE_AFTER_PUNCT, P.SPACE_AFTER_DOT, P.SPACE_AFTER_DASH):
         text = _replace(text, step)
     return text
 

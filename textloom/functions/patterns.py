@@ -38,10 +38,12 @@ URL_EMAIL = (
 CONTROL = (r"[^\x20-\x7E\xA0-\x{10FFFF}\t\n\r]", "")
 TECHNICAL = (rf"\[{DIGIT}{{1,6}}\]|\{{[^{{}}\n]{{1,100}}\}}", "")
 REPEATS = (r"([^\n])\1{4,}", "$1$1$1")
-EMPTY_PAIRS = (rf"(?U)[{QUOTES}]{W}*[{QUOTES}]|[(\[{{<]{W}*[)\]}}>]", "")
-LONELY_MARKS = (rf"(?U)(?<={W})[{QUOTES}()\[\]{{}}<>](?={W})", " ")
+# the look-ahead passes over letters and blanks by one test instead of several
+EMPTY_PAIRS = (rf"(?U)(?![{LETTER} ])(?:[{QUOTES}]{W}*[{QUOTES}]|[(\[{{<]{W}*[)\]}}>])", "")
+LONELY_MARKS = (rf"(?U)(?![{LETTER} ])(?<={W})[{QUOTES}()\[\]{{}}<>](?={W})", " ")
 # entered at the first blank of a run and possessive: linear on long blank runs
 SPACE_BEFORE_PUNCT = (rf"(?U){W}(?<!{W}{W}){W}*+([,.;:!?])", "$1")
+HAS_SPACE_BEFORE_PUNCT = rf"(?U)[,.;:!?](?<={W}.)"
 SPACE_AFTER_PUNCT = (rf"(?U)([,;:!?])({N})", "$1 $2")
 # one dot or three
 SPACE_AFTER_DOT = (rf"(?U)(\.(?:\.\.)?+)([^{SPACE}.{DIGIT}])", "$1 $2")

@@ -64,6 +64,19 @@ def test_first_per_group(spark, limit):
     assert sorted((r["at"], r.key) for r in got) == sorted(expected)
 
 
+@pytest.mark.parametrize("costly", [False, True])
+def test_paths_beyond_the_broadcast_bound_agree(spark, monkeypatch, costly):
+    rows = skewed(4, 300)
+    df = ordering.range_bucket(spark.createDataFrame(rows, "at long, key string"), "at", "_b", 7)
+    limits = spark.createDataFrame([("hot", 40), ("k1", 0), ("k2", 3)], "key string, max_rows long")
+    cut = lambda: ordering.first_per_group(df, "key", ["_b"], ["at"], limits, costly)
+    joined = lambda: ordering.join_small(df, limits, ["key"], "left")
+    small = [sorted(map(repr, q().collect())) for q in (cut, joined)]
+    monkeypatch.setattr(ordering, "BROADCAST_ROWS", 0)
+    assert [sorted(map(repr, q().collect())) for q in (cut, joined)] == small
+    assert "ResolvedHint" not in plan_text(joined()) and len(small[0]) < len(small[1]) == 300
+
+
 def brute_runs(lines, min_chars):
     lines = [(at, book, text.strip()) for at, book, text in sorted(lines) if text.strip()]
     out = []

@@ -177,6 +177,9 @@ def test_parquet_sink_and_scans(spark, tmp_path):
     assert parquet_io.write_table(spark.range(10), path) == 10
     assert any(name.endswith(".zstd.parquet") for name in os.listdir(path))
     assert parquet_io.count_rows(spark, path) == parquet_io.read_table(spark, path).count() == 10
+    with open(f"{path}/junk.parquet", "wb") as junk:
+        junk.write(b"not a table")
+    assert parquet_io.count_rows(spark, path) == 10
     missing = f"{tmp_path}/missing"
     assert parquet_io.count_rows(spark, missing) == 0
     assert parquet_io.read_or_empty(spark, missing, schemas.TEXT).collect() == []

@@ -9,12 +9,16 @@ from textloom.operators.ordering import hash_bucket, seeded_hash
 from textloom.session import scratch_path
 
 
+def stats_order() -> tuple[Column, Column]:
+    return F.desc("chars"), F.asc("lang")
+
+
 def language_stats(chunks: DataFrame) -> DataFrame:
     """Chunks and characters per language, most characters first."""
     stats = chunks.groupBy("lang").agg(
         F.count("*").alias("records"), F.sum("char_count").alias("chars")
     )
-    return stats.orderBy(F.desc("chars"), "lang")
+    return stats.orderBy(*stats_order())
 
 
 def shard_number(byte_start: Column, shard_bytes: int | Column) -> Column:

@@ -103,14 +103,16 @@ def concat_runs(
     begins = first_row | ~F.lag("_id").over(in_bucket).eqNullSafe(F.col("_id"))
     so_far = in_bucket.rowsBetween(Window.unboundedPreceding, 0)
 
-    def with_piece(df: DataFrame) -> DataFrame:
-        marked = df.withColumn("_begins", F.when(begins, F.col("_at")))
-        return marked.withColumn("_piece", F.max("_begins").over(so_far))
-
-    # one row per bucket, from the narrow columns only
-    edges = with_piece(lines.drop("_line")).groupBy(*buckets).agg(
-        F.min_by(F.struct("_id"), "_at").alias("_first"),
-        F.max_by(F.struct("_id"), "_at").alias("_last"),
+    pieces = (
+        lines.withColumn("_begins", F.when(begins, F.col("_at")))
+        .withColumn("_piece", F.max("_begins").over(so_far))
+        .groupBy(*buckets, "_piece", "_id")
+        .agg(_ordered_text(["_at"], "_line", separator).alias("_joined"))
+    )
+    # one row per bucket; the joined lines are not needed for it and pruned from the plan
+    edges = pieces.groupBy(*buckets).agg(
+        F.min_by(F.struct("_id"), "_piece").alias("_first"),
+        F.max_by(F.struct("_id"), "_piece").alias("_last"),
         F.min("_piece").alias("_first_piece"),
         F.max("_piece").alias("_last_piece"),
     )
@@ -127,11 +129,6 @@ def concat_runs(
         .where(F.col("_continued"))
         .select(F.col("_first_piece").alias("_piece"), "_carry")
     )
-    pieces = (
-        with_piece(lines)
-        .groupBy(*buckets, "_piece", "_id")
-        .agg(_ordered_text(["_at"], "_line", separator).alias("_joined"))
-    )
     runs = (
         join_small(pieces, carried, ["_piece"], "left")
         .groupBy(F.coalesce("_carry", "_piece").alias("start"), F.col("_id").alias(run_id))

@@ -14,6 +14,7 @@ from textloom.operators.export import (
     global_shuffle,
     language_stats,
     shard_number,
+    stats_order,
 )
 from textloom.operators.mixing import mix_plan, mix_sample
 from textloom.operators.ordering import BEFORE, range_bucket
@@ -54,6 +55,8 @@ def measured_ratio(spark: SparkSession, layout: Layout, options: AssemblyOptions
     """Text bytes per Parquet byte of the chunks, from a few files of the cleaned texts."""
     folder = layout.cleaned("text")
     files = some_files(spark, folder, options.sample_bytes)
+    if not files:
+        return 1.0
     texts = spark.read.schema(BY_SOURCE).option("basePath", folder).parquet(*files)
     chunks = chunk_rows(texts, options.chunking)
     keys = ["source", "doc_id", "part", "k"]
@@ -93,7 +96,7 @@ def run_assembly(
     total = write_table(shards, layout.chunk_shards, partition_by=("shard",))
 
     chunks = spark.read.schema(PART_OF_SHARD).parquet(layout.chunk_shards).drop("shard")
-    write_json(language_stats(chunks), layout.language_stats)
-    shuffled = global_shuffle(chunks, options.seed, ["id"])
-    write_table(shuffled.coalesce(1) if options.single_file else shuffled, layout.dataset)
+    write_json(language_stats(chunks), layout.language_stats, *stats_order())
+    partitions = 1 if options.single_file else None
+    write_table(global_shuffle(chunks, options.seed, ["id"], partitions), layout.dataset)
     return total

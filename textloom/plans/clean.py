@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
@@ -10,7 +9,7 @@ from pyspark.sql import SparkSession
 from textloom import schemas
 from textloom.operators.records import clean_dialogues, clean_records
 from textloom.options import CleanOptions
-from textloom.plans.extract import pending, record_result
+from textloom.plans.extract import each_source, pending
 from textloom.plans.layout import Layout
 from textloom.session import spread
 from textloom.sources import manifest as M
@@ -24,20 +23,18 @@ def run_clean(
     layout: Layout,
     options: CleanOptions = CleanOptions(),
     force: bool = False,
+    at_once: int = 4,
 ) -> dict[str, dict[str, int]]:
     """Clean every pending source that has a raw table.  Returns input and output rows per source."""
+
+    def clean(spec: SourceSpec) -> dict[str, int]:
+        source = layout.raw(spec.content_type, spec.name)
+        raw = spark.read.schema(schemas.BY_CONTENT[spec.content_type]).parquet(source)
+        transform = clean_dialogues if spec.content_type == "dialogue" else clean_records
+        cleaned = transform(spread(raw, "doc_id"), options)
+        rows_out = write_table(cleaned, layout.cleaned(spec.content_type, spec.name))
+        return {"input": count_rows(spark, source), "output": rows_out}
+
     extracted = [s for s in specs if path_exists(spark, layout.raw(s.content_type, s.name))]
-    results: dict[str, dict[str, int]] = {}
-    for spec in pending(spark, extracted, layout, M.CLEAN, layout.cleaned, force):
-        started = time.time()
-        source, target = layout.raw(spec.content_type, spec.name), layout.cleaned(spec.content_type, spec.name)
-        clean = clean_dialogues if spec.content_type == "dialogue" else clean_records
-        raw = spread(spark.read.schema(schemas.BY_CONTENT[spec.content_type]).parquet(source), "doc_id")
-        try:
-            rows_out = write_table(clean(raw, options), target)
-        except Exception:
-            record_result(spark, layout, spec, M.CLEAN, started, None)
-            continue
-        results[spec.name] = {"input": count_rows(spark, source), "output": rows_out}
-        record_result(spark, layout, spec, M.CLEAN, started, spark.read.parquet(target))
-    return results
+    todo = pending(spark, extracted, layout, M.CLEAN, layout.cleaned, force)
+    return each_source(spark, todo, layout, M.CLEAN, layout.cleaned, clean, at_once)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from datetime import datetime, timezone
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +19,9 @@ from textloom.sources import manifest as M
 from textloom.sources.catalog import SourceSpec, sources_table
 from textloom.sources.parquet_io import path_exists, write_table
 
+logger = logging.getLogger(__name__)
+Result = TypeVar("Result")
+
 
 def pending(
     spark: SparkSession,
@@ -53,27 +60,60 @@ def record_result(
     M.append_manifest(row, layout.manifest)
 
 
+def each_source(
+    spark: SparkSession,
+    specs: list[SourceSpec],
+    layout: Layout,
+    stage: str,
+    target: Callable[[str, str], str],
+    work: Callable[[SourceSpec], Result],
+    at_once: int,
+) -> dict[str, Result]:
+    """Run ``work`` for the sources, several at once, and append each outcome to the manifest.
+
+    Small sources leave most of a cluster idle, so their jobs overlap.  A failure is
+    recorded, so the next run tries that source again; it does not stop the others.
+    """
+    results: dict[str, Result] = {}
+    if not specs:
+        return results
+    started: dict[str, float] = {}
+
+    def timed(spec: SourceSpec) -> Result:
+        started[spec.name] = time.time()
+        return work(spec)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        futures = {pool.submit(inheritable_thread_target(spark)(timed), spec): spec for spec in specs}
+        for future in as_completed(futures):
+            spec = futures[future]
+            try:
+                results[spec.name] = future.result()
+                table = spark.read.parquet(target(spec.content_type, spec.name))
+            except Exception:
+                logger.exception("%s failed for source %s", stage, spec.name)
+                table = None
+            record_result(spark, layout, spec, stage, started[spec.name], table)
+    return results
+
+
 def run_extract(
     spark: SparkSession,
     specs: Iterable[SourceSpec],
     landed_root: str,
     layout: Layout,
     force: bool = False,
+    at_once: int = 4,
 ) -> dict[str, int]:
-    """Write the raw table of every pending source; a failing source does not stop the others.
+    """Write the raw table of every pending source.  Returns rows per source.
 
-    Landed files of a source lie in ``<landed_root>/<name>``.  Returns rows per source.
+    Landed files of a source lie in ``<landed_root>/<name>``.
     """
-    results: dict[str, int] = {}
-    for spec in pending(spark, specs, layout, M.EXTRACT, layout.raw, force):
-        started = time.time()
-        target = layout.raw(spec.content_type, spec.name)
-        try:
-            records = spec.build(spark, f"{landed_root}/{spec.name}")
-            records = schemas.project(records, schemas.BY_CONTENT[spec.content_type])
-            results[spec.name] = write_table(records, target)
-        except Exception:  # the manifest keeps the failure; the next run tries again
-            record_result(spark, layout, spec, M.EXTRACT, started, None)
-            continue
-        record_result(spark, layout, spec, M.EXTRACT, started, spark.read.parquet(target))
-    return results
+
+    def extract(spec: SourceSpec) -> int:
+        records = spec.build(spark, f"{landed_root}/{spec.name}")
+        records = schemas.project(records, schemas.BY_CONTENT[spec.content_type])
+        return write_table(records, layout.raw(spec.content_type, spec.name))
+
+    todo = pending(spark, specs, layout, M.EXTRACT, layout.raw, force)
+    return each_source(spark, todo, layout, M.EXTRACT, layout.raw, extract, at_once)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,8 +35,11 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def count_rows(spark: SparkSession, path: str) -> int:
-    """Row count; zero for a missing path.  Needs the file footers only."""
-    return read_or_empty(spark, path, T.StructType([])).count()
+    """Row count from the file footers; missing and unreadable files count as zero."""
+    if not path_exists(spark, path):
+        return 0
+    files = spark.read.option("ignoreCorruptFiles", "true").schema(T.StructType([]))
+    return files.parquet(path).count()
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: tuple[str, ...] = ()) -> int:
@@ -50,6 +53,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     return rows.get["n"]
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    """Write a small report as a single JSON-lines file."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, *order: Column) -> None:
+    """Write a small report as a single JSON-lines file, in the given order."""
+    rows = df.coalesce(1)
+    (rows.sortWithinPartitions(*order) if order else rows).write.mode("overwrite").json(path)

@@ -265,7 +265,7 @@ def sink_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     layout = Layout(scratch_path(spark, "roundtrip"))
     rows = write_table(chunk_ids(spark, d), layout.chunk_shards)
     written = read_table(spark, layout.chunk_shards)
-    write_json(export.language_stats(written), layout.language_stats)
+    write_json(export.language_stats(written), layout.language_stats, *export.stats_order())
     stats = spark.read.schema("lang string, records long, chars long").json(layout.language_stats)
     return stats.withColumn("rows_written", F.lit(rows))
 

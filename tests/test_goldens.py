@@ -8,7 +8,7 @@ from textloom import schemas
 from textloom.functions import cleaning as C
 from textloom.functions import validation as V
 from textloom.operators.chunking import chunk_rows
-from textloom.operators.records import clean_dialogues, clean_records
+from textloom.operators.records import clean_dialogues, clean_records, clean_turns
 from textloom.options import ChunkOptions, CleanOptions
 
 
@@ -46,6 +46,16 @@ def test_dialogues(spark):
     assert all(roles[i] == [role for role, _ in R.DIALOGUES[i][1]] for i in roles)
 
 
+def test_dialogues_by_turn(spark):
+    turns = dialogue_records(spark).select(
+        "doc_id", "lang", F.posexplode("messages").alias("turn", "m")
+    ).select("doc_id", "lang", "turn", "m.role", "m.content")
+    kept = {}
+    for r in clean_turns(turns, "doc_id", "content").orderBy("doc_id", "turn").collect():
+        kept.setdefault(r.doc_id, []).append(r.content)
+    assert kept == {i: m for i, m in enumerate(R.CLEAN_DIALOGUES) if m is not None}
+
+
 def test_empty_and_missing_message_lists_survive(spark):
     df = spark.createDataFrame([(1, "en", []), (2, "en", None)], schemas.DIALOGUE)
     assert {r.doc_id: r.messages for r in clean_dialogues(df).collect()} == {1: [], 2: []}

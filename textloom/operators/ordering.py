@@ -4,6 +4,8 @@ All operators here work on *buckets*: columns that are monotone in the wanted
 order.  Work inside a bucket is local to it; between buckets only one summary
 row each is exchanged.  The bucket expression is deterministic, so several passes
 (and retried tasks) agree on it.
+
+Order columns identify a row, and neither they nor the buckets are null.
 """
 
 from __future__ import annotations

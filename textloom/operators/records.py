@@ -16,6 +16,7 @@ from textloom.functions import patterns as P
 from textloom.functions.cleaning import clean_normalized, nfkc, nfkc_each
 from textloom.functions.validation import is_garbage, is_valid, looks_like_code
 from textloom.options import CleanOptions
+from textloom.session import scratch_path
 
 UNKNOWN = "unknown"
 
@@ -71,6 +72,33 @@ def clean_dialogues(df: DataFrame, options: CleanOptions = CleanOptions()) -> Da
     return kept.withColumn("messages", plain).select(*df.columns)
 
 
+def clean_turns(
+    turns: DataFrame, dialogue: str, text: str, options: CleanOptions = CleanOptions()
+) -> DataFrame:
+    """Dialogues kept as one row per message: the same rules, without ever gathering a dialogue.
+
+    The cleaned messages are stored once, since they are needed twice: for the
+    dialogues with a bad message and for the messages of the others.  A dialogue of
+    any length is fine; adaptive execution splits it in the anti-join.
+    """
+    spark = turns.sparkSession
+    message = F.col(text)
+    blank = message.isNull() | (message == "")
+    content = F.when(blank, message).when(_acceptable(message, options), clean_normalized(nfkc(message)))
+    checked = F.transform(
+        F.array(content),
+        lambda c: F.struct(c.alias(text), F.coalesce(blank | is_valid(c), F.lit(False)).alias("_ok")),
+    )
+    raw = turns.where(allowed_language(F.col("lang"), options.allowed_langs))
+    rest = [c for c in turns.columns if c != text]
+    cleaned = raw.select(*rest, F.inline(checked))
+    path = scratch_path(spark, "turns")
+    cleaned.write.option("compression", "zstd").parquet(path)
+    stored = spark.read.schema(cleaned.schema).parquet(path)
+    bad = stored.where(~F.col("_ok")).select(dialogue).distinct()
+    return stored.where("_ok").join(bad, dialogue, "left_anti").select(*turns.columns)
+
+
 def clean_funnel(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
     """Rows in, rows out and sorted languages of the kept rows, per source."""
     before = raw.groupBy("source").agg(F.count("*").alias("rows_in"))

@@ -304,6 +304,13 @@ SELECT conv_id AS doc_id, 'en' AS lang, row_number() OVER (PARTITION BY conv_id
         select="""
 SELECT conv_id AS doc_id, 'en' AS lang, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position,
   role, content FROM checked WHERE conv_id IN (SELECT conv_id FROM whole)""",
+    ),
+    "clean_turns": _with(
+        SQL["turns"],
+        DIALOGUES,
+        select="""
+SELECT conv_id, turn, role, content AS text, 'en' AS lang FROM checked
+WHERE conv_id IN (SELECT conv_id FROM whole)""",
     ),
     "clean_funnel": _with(
         SQL["dirty"],

@@ -142,6 +142,11 @@ def clean_dialogues(spark: SparkSession, d: str) -> DataFrame:
     return _messages(records.clean_dialogues(raw, CLEAN))
 
 
+def clean_turns(spark: SparkSession, d: str) -> DataFrame:
+    turns = views.dirty_turns(spark, d).withColumn("lang", F.lit("en"))
+    return records.clean_turns(turns, "conv_id", "text", CLEAN)
+
+
 def _listed(languages: str) -> Column:
     return F.array_join(languages, ",").alias("languages")
 
@@ -338,6 +343,7 @@ QUERIES: dict[str, Query] = {
     "valid_code": _flag("code_hits", V.code_hits),
     "clean_records": clean_records,
     "clean_dialogues": clean_dialogues,
+    "clean_turns": clean_turns,
     "clean_funnel": clean_funnel,
     "stream_clean": stream_clean,
     "mix_plan": mix_plan,

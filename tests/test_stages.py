@@ -125,7 +125,9 @@ def test_debug_sources_through_all_stages(spark, tmp_path):
     assert sum(r.records for r in stats) == total
     assert [r.chars for r in stats] == sorted((r.chars for r in stats), reverse=True)
     shards = spark.read.parquet(layout.chunk_shards)
-    assert shards.count() == total and shards.select("shard").distinct().count() > 3
+    count = shards.select("shard").distinct().count()
+    assert shards.count() == total and count > 3
+    assert shards.select("_metadata.file_path").distinct().count() == count  # one file each
 
 
 def test_sample_files_grow_with_the_wanted_size_only(spark, tmp_path):

@@ -18,16 +18,19 @@ from textloom.session import settle
 
 BEFORE = (Window.unboundedPreceding, -1)
 BROADCAST_ROWS = 100_000
+ROWS_PER_BUCKET, MAX_BUCKETS = 250_000, 20_000
 
 
 def range_bucket(df: DataFrame, key: str, out: str, buckets: int | None = None) -> DataFrame:
     """Add ``out``: the number of the key range a row falls in, ranges holding similar row counts.
 
     The bounds are approximate quantiles of the (narrow) key column, so clustered
-    keys still give even buckets.
+    keys still give even buckets.  Their number grows with the table, as a bucket is
+    sorted by one task, up to what the driver easily holds.
     """
     if buckets is None:
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(least, min(MAX_BUCKETS, df.select(key).count() // ROWS_PER_BUCKET))
     steps = [i / buckets for i in range(1, buckets)]
     number = F.col(key).cast("double").alias(out + "_key")
     bounds = df.select(number).approxQuantile(out + "_key", steps, 0.25 / buckets) if steps else []

@@ -63,6 +63,12 @@ def measured_ratio(spark: SparkSession, layout: Layout, options: AssemblyOptions
     return compression_ratio(chunks, options.sample_bytes, options.seed, keys).first()["ratio"]
 
 
+def output_files(shards: DataFrame) -> int:
+    """As many shuffled files as there are shards, so they have the wanted size, but use all of the cluster."""
+    last = shards.agg(F.max("shard").alias("n")).first()["n"] or 0
+    return max(last + 1, int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def run_assembly(
     spark: SparkSession,
     specs: Iterable[SourceSpec],
@@ -93,10 +99,13 @@ def run_assembly(
     shards = numbered.select(
         *schemas.CHUNK.names, shard_number(F.col("byte_start"), shard_bytes).alias("shard")
     )
-    total = write_table(shards, layout.chunk_shards, partition_by=("shard",))
+    # one file per shard, in id order; shards are bounded in size, so this cannot skew
+    gathered = shards.repartition("shard").sortWithinPartitions("shard", "id")
+    total = write_table(gathered, layout.chunk_shards, partition_by=("shard",))
 
-    chunks = spark.read.schema(PART_OF_SHARD).parquet(layout.chunk_shards).drop("shard")
+    written = spark.read.schema(PART_OF_SHARD).parquet(layout.chunk_shards)
+    chunks = written.drop("shard")
     write_json(language_stats(chunks), layout.language_stats, *stats_order())
-    partitions = 1 if options.single_file else None
+    partitions = 1 if options.single_file else output_files(written)
     write_table(global_shuffle(chunks, options.seed, ["id"], partitions), layout.dataset)
     return total

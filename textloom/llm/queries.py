@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import toxicity
+from textloom.llm import arrow_output, ngram_jaccard, packing, toxicity
 from textloom.llm.common import table
 
 
@@ -15,8 +15,23 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), end_id=0, size=2048)
+
+
+def op6_arrow_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrow_output.read_documents(arrow_output.write_shards(table(spark, sf_dir, "documents"), end_id=1))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_arrow_output": op6_arrow_output,
 }
 
 ORACLES: dict[str, str] = {}

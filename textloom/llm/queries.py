@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textloom.llm import arrow_output, ngram_jaccard, packing, toxicity
+from textloom.llm import arrow_output, mixing_pfair, ngram_jaccard, packing, toxicity
 from textloom.llm.common import table
 
 
@@ -19,6 +20,19 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+# target weights: one to four parts, from the number in a source's name
+def source_weight() -> Column:
+    return F.coalesce(F.expr("try_cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 4 + 1"), F.lit(1))
+
+
+SOURCE_WEIGHT_SQL = "coalesce(try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 4 + 1, 1)"
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing_pfair.mix(docs, mixing_pfair.weights_by_rule(docs, source_weight()))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), end_id=0, size=2048)
 
@@ -30,8 +44,11 @@ def op6_arrow_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_mixing": op4_mixing,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_arrow_output": op6_arrow_output,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_mixing": mixing_pfair.oracle(SOURCE_WEIGHT_SQL),
+}

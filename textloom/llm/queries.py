@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import arrow_output, mixing_pfair, ngram_jaccard, packing, toxicity
-from textloom.llm.common import table
+from textloom.llm import arrow_output, mixing_pfair, ngram_jaccard, packing, reply_trees, toxicity
+from textloom.llm.common import stored, table
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,14 +41,26 @@ def op6_arrow_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrow_output.read_documents(arrow_output.write_shards(table(spark, sf_dir, "documents"), end_id=1))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string"
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    formatted = reply_trees.format_trees(reply_trees.conversations_as_trees(turns))
+    return reply_trees.digests(reply_trees.read_formatted(stored(formatted, "chat")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_mixing": op4_mixing,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_arrow_output": op6_arrow_output,
+    "op8_chat_format": op8_chat_format,
 }
 
 ORACLES: dict[str, str] = {
     "op4_mixing": mixing_pfair.oracle(SOURCE_WEIGHT_SQL),
+    "op8_chat_format": reply_trees.ORACLE,
 }

@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import arrow_output, mixing_pfair, ngram_jaccard, packing, reply_trees, toxicity
+from textloom.llm import arrow_output, cross_polytope, impact_index, mixing_pfair, ngram_jaccard, packing, reply_trees, toxicity
 from textloom.llm.common import stored, table
 
 
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+
+
+def op1_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.nearest(vectors(spark, sf_dir), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_documents(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
@@ -51,16 +59,23 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reply_trees.digests(reply_trees.read_formatted(stored(formatted, "chat")))
 
 
+def op9_impact_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact_index.top_k(vectors(spark, sf_dir), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_cross_polytope": op1_cross_polytope,
     "op2_toxicity": op2_toxicity,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_mixing": op4_mixing,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_arrow_output": op6_arrow_output,
     "op8_chat_format": op8_chat_format,
+    "op9_impact_index": op9_impact_index,
 }
 
 ORACLES: dict[str, str] = {
     "op4_mixing": mixing_pfair.oracle(SOURCE_WEIGHT_SQL),
     "op8_chat_format": reply_trees.ORACLE,
+    "op9_impact_index": impact_index.oracle("embeddings", "embedding", "{} % 20 = 0"),
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import arrow_output, cross_polytope, impact_index, mixing_pfair, ngram_jaccard, packing, reply_trees, toxicity
-from textloom.llm.common import stored, table
+from textloom.llm import arrow_output, cross_polytope, impact_index, mixing_pfair, ngram_jaccard, packing, reply_trees, toxicity, url_templates
+from textloom.llm.common import pick, stored, table
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +63,25 @@ def op9_impact_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impact_index.top_k(vectors(spark, sf_dir), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+URL_RULES = (
+    url_templates.Rule("net", "/", "block"),
+    url_templates.Rule("example.net", "/en/", "allow"),
+    url_templates.Rule("example.com", "/de/", "block"),
+    url_templates.Rule("org", "/fr/", "allow"),
+)
+
+
+def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages are labelled by the document whose number ends their path: bad if of low quality or toxic."""
+    labels = pick(table(spark, sf_dir, "labels"), doc_id="long", quality="int", toxic="int")
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(F.col("quality").isNotNull(), 0)
+    bad_pages = labels.select(F.col("doc_id").alias("key"), bad.alias("bad"))
+    return url_templates.judge_urls(table(spark, sf_dir, "pages"), URL_RULES, bad_pages)
+
+
+PAGE_LABELS_SQL = """SELECT doc_id AS key,
+  CASE WHEN quality = 0 OR toxic = 1 THEN 1 WHEN quality IS NOT NULL THEN 0 END AS bad FROM labels"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cross_polytope": op1_cross_polytope,
     "op2_toxicity": op2_toxicity,
@@ -72,10 +91,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_arrow_output": op6_arrow_output,
     "op8_chat_format": op8_chat_format,
     "op9_impact_index": op9_impact_index,
+    "op10_url_templates": op10_url_templates,
 }
 
 ORACLES: dict[str, str] = {
     "op4_mixing": mixing_pfair.oracle(SOURCE_WEIGHT_SQL),
     "op8_chat_format": reply_trees.ORACLE,
     "op9_impact_index": impact_index.oracle("embeddings", "embedding", "{} % 20 = 0"),
+    "op10_url_templates": url_templates.oracle(URL_RULES, PAGE_LABELS_SQL),
 }

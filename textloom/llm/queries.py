@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import arrow_output, cross_polytope, impact_index, mixing_pfair, ngram_jaccard, packing, reply_trees, toxicity, url_templates
+from textloom.llm import arrow_output, cotraining, cross_polytope, impact_index, mixing_pfair, ngram_jaccard, packing, reply_trees, toxicity, url_templates
 from textloom.llm.common import pick, stored, table
 
 
@@ -49,6 +49,11 @@ def op6_arrow_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrow_output.read_documents(arrow_output.write_shards(table(spark, sf_dir, "documents"), end_id=1))
 
 
+def op7_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cotraining.score_documents(docs, cotraining.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = "\\### Assistant: </turn> ok"
     extra = spark.createDataFrame(
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_arrow_output": op6_arrow_output,
+    "op7_cotraining": op7_cotraining,
     "op8_chat_format": op8_chat_format,
     "op9_impact_index": op9_impact_index,
     "op10_url_templates": op10_url_templates,

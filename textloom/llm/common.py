@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -38,6 +38,21 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return renamed.select(*picked)
 
 
+def by_place(df: DataFrame) -> tuple[DataFrame, Callable[[str], str | None]]:
+    """``df`` with columns named by their place, and the new name of a column (exact name first, then any case).
+
+    ``toDF(*df.columns)`` gives the old names back, whatever they are.
+    """
+    names = [f"c{i}" for i in range(len(df.columns))]
+
+    def name_of(name: str) -> str | None:
+        same = [n for n, c in zip(names, df.columns, strict=True) if c == name]
+        like = [n for n, c in zip(names, df.columns, strict=True) if c.lower() == name.lower()]
+        return (same or like or [None])[0]
+
+    return df.toDF(*names), name_of
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, and safe if executors are lost."""
     spark = df.sparkSession

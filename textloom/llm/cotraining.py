@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import blocks, held_out, pick, stored
+from textloom.llm.common import blocks, by_place, held_out, pick, stored
 from textloom.llm.logistic import fit_logistic, sigmoid
 from textloom.llm.toxicity import labelled_sample
 
@@ -252,9 +252,7 @@ def score_documents(docs: DataFrame, model: QualityModel) -> DataFrame:
 def keep_good(docs: DataFrame, model: QualityModel, threshold: float = 0.5) -> DataFrame:
     """``docs`` without the rows that score below the threshold; columns and all other rows stay."""
 
-    def column(name: str) -> F.Column:
-        found = [c for c in docs.columns if c == name] or [c for c in docs.columns if c.lower() == name]
-        return F.col(f"`{found[0]}`").cast("string") if found else F.lit(None).cast("string")
-
+    placed, name_of = by_place(docs)
+    columns = [F.col(n).cast("string") if (n := name_of(c)) else F.lit(None).cast("string") for c in ("text", "lang", "source")]
     score = quality_score(docs.sparkSession, model)
-    return docs.where(score(column("text"), column("lang"), column("source"))["score"] >= threshold)
+    return placed.where(score(*columns)["score"] >= threshold).toDF(*docs.columns)

@@ -25,10 +25,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import pick, stored
+from textloom.llm.common import by_place, pick, stored
 
 BLOCK_ROWS = 64
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 
 
 def period_schedule(weights: DataFrame) -> DataFrame:
@@ -107,8 +107,12 @@ def mix(
 
     ``weights(source, weight)``: integers above 0.  The mixed order is (slot, place).
     """
-    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else F.lit(None).cast("int")
-    rows = pick(docs.select("*", rest.alias("mix_row")), doc_id="long", source="string", text="string", mix_row=("mix_row", None))
+    placed, name_of = by_place(docs)
+    rest = F.struct(*placed.columns) if carry else F.lit(None).cast("int")
+    rows = placed.select(
+        *[(F.col(n) if (n := name_of(c)) else F.lit(None)).cast(kind).alias(c) for c, kind in (("doc_id", "long"), ("source", "string"), ("text", "string"))],
+        rest.alias("mix_row"),
+    )
     given = pick(weights, source="string", weight="int").select(source_name().alias("name"), "weight")
     given = given.where("weight > 0").groupBy("name").agg(F.max("weight").alias("weight"))
     counts = rows.groupBy(source_name().alias("name")).agg(F.count("*").alias("n"))
@@ -151,7 +155,7 @@ def _slot_of(rows: DataFrame, sources: DataFrame, schedule: DataFrame) -> DataFr
 def mixed(docs: DataFrame, weights: DataFrame, **options: int) -> DataFrame:
     """``docs`` in mixed order: the rows sorted by their slot, with the columns of ``docs``."""
     placed = mix(docs, weights, carry=True, **options)
-    return placed.orderBy("slot", "place", "doc_id").select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    return placed.orderBy("slot", "place", "doc_id").select("row.*").toDF(*docs.columns)
 
 
 def weights_by_rule(docs: DataFrame, rule: Column) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import blocks, held_out, pick, stored
+from textloom.llm.common import blocks, by_place, held_out, pick, stored
 from textloom.llm.logistic import fit_logistic
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
@@ -341,6 +341,6 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
     """``docs`` without the rows whose score reaches the threshold; columns and all other rows stay."""
-    text = next(c for c in docs.columns if c.lower() == "text")
+    placed, name_of = by_place(docs)
     score = toxicity_score(docs.sparkSession, model)
-    return docs.where(score(F.col(f"`{text}`").cast("string")) < threshold)
+    return placed.where(score(F.col(name_of("text")).cast("string")) < threshold).toDF(*docs.columns)

@@ -11,7 +11,8 @@ Other URLs are judged by the template of their path.  Segments lose their number
 * a child whose share of bad labels differs significantly from its node's keeps a branch of its own;
 * all other children, statistically alike, are merged into one wildcard branch (an only child keeps its name).
 
-A template is blocked if its share of bad labels, smoothed towards the share of all, reaches a threshold.
+A template is blocked if its share of bad labels, smoothed towards the share of all, reaches a threshold; one
+without labels is allowed.
 
 All work is on counts per (host, segments); pages are grouped before they are shuffled, so a host with a third
 of all pages is no hot spot, and no host is handled by one task.
@@ -108,14 +109,14 @@ def template_verdicts(counts: DataFrame, options: TreeOptions = TreeOptions(), l
         rows = rows.join(chosen, [*node, name])
     branches = [f"b{d}" for d in range(1, levels + 1)]
     purity = (F.sum("bad") + options.weight * prior) / (F.sum("labelled") + options.weight)
-    judged = rows.groupBy("host", *branches).agg(purity.alias("purity"))
+    judged = rows.groupBy("host", *branches).agg(purity.alias("purity"), F.sum("labelled").alias("known"))
     template = F.array_join(F.filter(F.array(*branches), lambda b: b != ""), "/")
     return rows.join(judged, ["host", *branches]).select(
         "host",
         *names,
         F.concat(F.lit("/"), template).alias("template"),
         "purity",
-        F.when(F.col("purity") >= options.threshold, "block").otherwise("allow").alias("verdict"),
+        F.when((F.col("known") > 0) & (F.col("purity") >= options.threshold), "block").otherwise("allow").alias("verdict"),
     )
 
 
@@ -180,9 +181,10 @@ d{d} AS (SELECT {node}, {name}, CASE WHEN {name} = '' THEN '' WHEN kids > {o.man
 r{d} AS (SELECT * FROM r{d - 1} JOIN d{d} USING ({node}, {name}))"""
     branches = ", ".join(f"b{d}" for d in range(1, levels + 1))
     return f"""{sql},
-j AS (SELECT host, {branches}, (sum(bad) + {o.weight} * any_value(prior)) / (sum(labelled) + {o.weight}) AS purity FROM r{levels}, t GROUP BY ALL)
+j AS (SELECT host, {branches}, (sum(bad) + {o.weight} * any_value(prior)) / (sum(labelled) + {o.weight}) AS purity,
+             sum(labelled) AS known FROM r{levels}, t GROUP BY ALL)
 SELECT page_id, host, path, {cases(lambda r: r.name)} END AS rule,
-       coalesce({cases(lambda r: r.verdict)} END, CASE WHEN purity >= {o.threshold} THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce({cases(lambda r: r.verdict)} END, CASE WHEN known > 0 AND purity >= {o.threshold} THEN 'block' ELSE 'allow' END) AS verdict,
        '/' || array_to_string(list_filter([{branches}], lambda b: b <> ''), '/') AS template, purity
 FROM p JOIN r{levels} USING (host, {', '.join(names)}) JOIN j USING (host, {branches})
 """

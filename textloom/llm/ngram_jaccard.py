@@ -9,11 +9,12 @@ one of several orders needs no check.
   shingles, counted over all documents) and sorts by an order-specific hash within a class.  The
   table only shapes the orders, which are valid whatever it holds, so its size is fixed.
 * Documents with equal sets are one class; only classes are joined.
-* The first order's prefix tokens form buckets.  A row stays only if a class of fitting
-  size is its neighbour; a bucket is cut where sizes stop fitting; buckets with equal members are one.
-* Bucket members meet in blocks of at most ``block`` classes; a block pair intersects the
-  filters of all orders, then verifies the remaining pairs exactly from the whole sets, and returns a spanning
-  forest of the links found, not the pairs.
+* The first order's prefix tokens form buckets.  Within a bucket, pairs are left if their sizes fit and the parity
+  bitmaps of their sets (a lower bound of the difference) allow a link; a spanning forest of them is returned.
+  What these connect is a group: every pair the filters leave is inside one group.
+* A group's members meet in blocks of about ``block`` classes; a block pair intersects the filters of the other
+  orders, then verifies the remaining pairs exactly from the whole sets, and returns a spanning forest of the
+  links found, not the pairs.  A group of any size is thus split over many tasks.
 * Components follow by star contraction of these forests.
 
 Shingles are 64-bit hashes of the words; sets, sizes and intersections are those of the hashes.
@@ -36,13 +37,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import blocks, pick, stored
+from textloom.llm.common import blocks, by_place, pick, stored
 from textloom.llm.components import components
 
 ORDERS = 3
 FREQUENT = 1 << 16
 WINDOW_TOKENS = 2_000_000
 BLOCK = 1024
+BROADCAST_ROWS = 1_000_000
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -163,7 +165,7 @@ def frequent_shingles(docs: DataFrame, words: int) -> Orders:
 
 # ------------------------------------------------------------------- steps
 def signatures(docs: DataFrame, orders: Orders, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, fp, prefix): set size, fingerprint of the set and its prefix under the first order."""
+    """(doc_id, n, fp, prefix, bits): set size, fingerprint, prefix under the first order and parity bitmap."""
     shipped = docs.sparkSession.sparkContext.broadcast(orders)  # FREQUENT entries
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,52 +179,138 @@ def signatures(docs: DataFrame, orders: Orders, words: int, percent: int) -> Dat
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefixes))),
+                    pa.array([parity_bits(s) for s in sets], pa.binary()),
                 ],
-                ["doc_id", "n", "fp", "prefix"],
+                ["doc_id", "n", "fp", "prefix", "bits"],
             )
 
-    return pick(docs, doc_id="long", text="string").mapInArrow(sign, "doc_id long, n long, fp binary, prefix array<long>")
-
-
-def buckets(classes: DataFrame, percent: int) -> DataFrame:
-    """(token, run, fp, n) of prefix tokens that classes of fitting sizes share; equal buckets once."""
-    tokens = classes.select(F.explode("prefix").alias("token"), "fp", "n")
-    by_size = Window.partitionBy("token").orderBy("n", "fp")
-    fits = lambda small, large: 100 * small >= percent * large
-    before, after = F.lag("n").over(by_size), F.lead("n").over(by_size)
-    joins_before = F.coalesce(fits(before, F.col("n")), F.lit(False))
-    joins_after = F.coalesce(fits(F.col("n"), after), F.lit(False))
-    rows = (
-        tokens.select("*", joins_before.alias("joins"), (joins_before | joins_after).alias("keep"))
-        .where("keep")
-        .withColumn("run", F.sum(F.when(F.col("joins"), 0).otherwise(1)).over(by_size.rowsBetween(Window.unboundedPreceding, 0)))
-        .select("token", "run", "fp", "n")
+    return pick(docs, doc_id="long", text="string").mapInArrow(sign, "doc_id long, n long, fp binary, prefix array<long>, bits binary")
+
+
+def parity_bits(tokens: np.ndarray) -> bytes:
+    """A bitmap where each token toggles one bit; its size goes with the set's, so that long sets differ visibly.
+
+    Two bitmaps of one size differ in at most as many bits as the sets do in tokens; a larger one
+    folds to a smaller size by xor of its halves.
+    """
+    size = max(1024, 1 << max(0, len(tokens) // 2).bit_length())
+    odd = np.bincount((mix(tokens, MIXERS[2]) & U64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _fold(bits: bytes, size: int) -> np.ndarray:
+    words = np.frombuffer(bits, dtype=U64)
+    while len(words) * 8 > size:
+        words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+    return words
+
+
+def bucket_forest(sizes: np.ndarray, bits: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """A spanning forest (root, member) of the pairs of a bucket whose sizes and bitmaps allow a link."""
+    size = min(map(len, bits))
+    folded = np.stack([_fold(b, size) for b in bits])
+    m, left, forest = len(sizes), np.ones(len(sizes), dtype=bool), []
+    # sets with s tokens in all and similarity t differ in at most s * (1 - t) / (1 + t) tokens
+    for root in range(m):
+        if not left[root]:
+            continue
+        left[root] = False
+        frontier = [root]
+        while frontier:
+            at = frontier.pop()
+            others = np.flatnonzero(left)
+            if not len(others):
+                break
+            small, large = np.minimum(sizes[at], sizes[others]), np.maximum(sizes[at], sizes[others])
+            others = others[100 * small >= percent * large]
+            apart = np.bitwise_count(folded[others] ^ folded[at]).sum(axis=1, dtype=np.int64)
+            near = others[apart * (100 + percent) <= (sizes[at] + sizes[others]) * (100 - percent)]
+            left[near] = False
+            forest += [(root, int(i)) for i in near]
+            frontier += near.tolist()
+    return forest
+
+
+def candidate_links(classes: DataFrame, percent: int, block: int) -> DataFrame:
+    """(a, b): links between classes that share a prefix token of the first order and pass size and bitmap.
+
+    Only a spanning forest of each bucket is returned: the pairs of a bucket are never formed.  A bucket is cut
+    where sizes stop fitting; one of more than ``block`` classes is dealt to blocks, of which each two meet.
+    """
+    tokens = classes.select(F.explode("prefix").alias("token"), "doc_id", "n")
+    by_size = Window.partitionBy("token").orderBy("n", "doc_id")
+    fits = lambda small, large: F.coalesce(100 * small >= percent * large, F.lit(False))
+    joins = tokens.select(
+        "*", fits(F.lag("n").over(by_size), F.col("n")).alias("before"), fits(F.col("n"), F.lead("n").over(by_size)).alias("after")
+    )
+    runs = joins.where(F.col("before") | F.col("after")).withColumn(
+        "run", F.sum(F.when(F.col("before"), 0).otherwise(1)).over(by_size.rowsBetween(Window.unboundedPreceding, 0))
     )
-    rows = stored(rows, "jaccard-buckets")
-    members = rows.groupBy("token", "run").agg(
-        F.count("*").alias("m"),
-        F.bit_xor(F.xxhash64("fp")).alias("x"),
-        F.sum(F.shiftright(F.xxhash64("fp", F.lit(1)), 24)).alias("s"),
+    parts = F.ceil(F.count("*").over(Window.partitionBy("token", "run")) / block).cast("int")
+    dealt = _meeting(runs.withColumn("parts", parts).withColumn("mine", F.pmod(F.xxhash64("doc_id"), "parts").cast("int")))
+    rows = dealt.select("token", "run", "i", "j", "doc_id", "n").join(classes.select("doc_id", "bits"), "doc_id")
+    met = rows.repartition("token", "run", "i", "j").sortWithinPartitions("token", "run", "i", "j")
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, names, sizes, bits, found = None, [], [], [], set()
+
+        def flush() -> None:
+            if len(names) > 1:
+                found.update((names[a], names[b]) for a, b in bucket_forest(np.array(sizes, dtype=np.int64), bits, percent))
+
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("token", "run", "i", "j", "doc_id", "n", "bits"))
+            for token, run, i, j, name, n, bitmap in zip(*columns, strict=True):
+                if (token, run, i, j) != here:
+                    flush()
+                    here, names, sizes, bits = (token, run, i, j), [], [], []
+                names.append(name)
+                sizes.append(n)
+                bits.append(bitmap)
+            if len(found) > 100_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
+                found.clear()
+        flush()
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
+
+    return met.mapInArrow(link, "a long, b long").distinct()
+
+
+def _meeting(rows: DataFrame) -> DataFrame:
+    """Rows of block ``mine`` of ``parts``, once for each block (i, j) they meet, their own included."""
+    mine = F.col("mine")
+    meets = F.transform(
+        F.sequence(F.lit(0), F.col("parts") - 1),
+        lambda other: F.struct(F.least(other, mine).alias("i"), F.greatest(other, mine).alias("j")),
     )
-    once = members.groupBy("m", "x", "s").agg(F.min(F.struct("token", "run")).alias("b")).select("b.token", "b.run", "m")
-    return rows.join(once, ["token", "run"])
+    return rows.select("*", F.explode(meets).alias("pair")).select(*rows.columns, "pair.i", "pair.j")
 
 
-def class_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(fp, tokens) of the wanted classes ``(doc_id, fp)``, from the whole text of the named document."""
+def member_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """(key, group, i, j, doc_id, fp, tokens) of ``members(doc_id, fp, group, mine, parts)``, from their whole texts.
+
+    A block of a group meets every block of the group, itself included, once.  The members are broadcast only
+    if their counted number is within ``BROADCAST_ROWS``.
+    """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):
             found = [s.tobytes() for s in shingles(batch.column("text").to_pylist(), words)]
-            named = batch.column("fp").to_pylist()
-            keep = [(f, s) for f, s in zip(named, found, strict=True) if xxhash.xxh128_digest(s) == f]
-            if keep:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.binary()) for c in zip(*keep, strict=True)], ["fp", "tokens"]
-                )
+            same = [xxhash.xxh128_digest(s) == f for s, f in zip(found, batch.column("fp").to_pylist(), strict=True)]
+            out = pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("doc_id", "fp", "group", "mine", "parts")), pa.array(found, pa.binary())],
+                ["doc_id", "fp", "group", "mine", "parts", "tokens"],
+            )
+            yield out.filter(pa.array(same))
 
-    texts = pick(docs, doc_id="long", text="string").join(wanted, "doc_id").select("fp", "text")
-    return texts.mapInArrow(sets, "fp binary, tokens binary").dropDuplicates(["fp"])
+    if members.count() <= BROADCAST_ROWS:
+        members = F.broadcast(members)
+    texts = pick(docs, doc_id="long", text="string").join(members, "doc_id")
+    made = texts.select("doc_id", "fp", "group", "mine", "parts", "text").mapInArrow(
+        sets, "doc_id long, fp binary, group long, mine int, parts int, tokens binary"
+    )
+    return _meeting(made).select("group", "i", "j", "doc_id", "fp", "tokens")
 
 
 def _shared(sets: list[np.ndarray]) -> np.ndarray:
@@ -248,6 +336,8 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
 def links_of(sets: list[np.ndarray], orders: Orders, percent: int) -> list[tuple[int, int]]:
     """A spanning forest (root, member) of the links among ``sets``; all pairs are filtered, the rest verified."""
     m = len(sets)
+    if m < 2:
+        return []
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     able = 100 * np.minimum(sizes[:, None], sizes[None, :]) >= percent * np.maximum(sizes[:, None], sizes[None, :])
     for order in range(1, ORDERS):
@@ -272,41 +362,36 @@ def links_of(sets: list[np.ndarray], orders: Orders, percent: int) -> list[tuple
     return forest
 
 
-def bucket_links(rows: DataFrame, sets: DataFrame, orders: Orders, percent: int, block: int = BLOCK) -> DataFrame:
-    """(a, b) fingerprints: a spanning forest of the links in each bucket, by pairs of blocks."""
-    shipped = rows.sparkSession.sparkContext.broadcast(orders)
-    parts = F.ceil(F.col("m") / block).cast("int")
-    mine = F.pmod(F.xxhash64("fp", "token"), parts).cast("int")
-    # a block meets every other block, and itself, once
-    meets = F.transform(F.sequence(F.lit(0), parts - 1), lambda other: F.struct(F.least(other, F.col("mine")).alias("i"), F.greatest(other, F.col("mine")).alias("j")))
-    dealt = rows.withColumn("mine", mine).select("token", "run", F.explode(meets).alias("pair"), "fp")
-    dealt = dealt.select(F.xxhash64("token", "run", "pair.i", "pair.j").alias("key"), "token", "run", "pair.i", "pair.j", "fp")
-    met = dealt.join(sets, "fp").repartition("key").sortWithinPartitions("key", "token", "run", "i", "j", "fp")
+def group_links(sets: DataFrame, orders: Orders, percent: int) -> DataFrame:
+    """(a, b) doc ids: a spanning forest of the links within each pair of blocks of a group."""
+    shipped = sets.sparkSession.sparkContext.broadcast(orders)  # FREQUENT entries
+    met = sets.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "fp")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, names, held, found = None, [], [], []
+        here, names, held, last, found = None, [], [], None, []
 
-        def flush() -> None:
-            for a, b in links_of(held, shipped.value, percent) if len(held) > 1 else []:
-                found.append((names[a], names[b]))
+        def result() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
 
         for batch in batches:
-            place = list(zip(*(batch.column(c).to_pylist() for c in ("token", "run", "i", "j")), strict=True))
-            fps, data = batch.column("fp").to_pylist(), batch.column("tokens")
+            place = list(zip(*(batch.column(c).to_pylist() for c in ("group", "i", "j")), strict=True))
+            ids, fps, data = batch.column("doc_id").to_pylist(), batch.column("fp").to_pylist(), batch.column("tokens")
             for k, at in enumerate(place):
                 if at != here:
-                    flush()
-                    here, names, held = at, [], []
-                names.append(fps[k])
-                held.append(np.frombuffer(data[k].as_py(), dtype=U64))
+                    found += [(names[a], names[b]) for a, b in links_of(held, shipped.value, percent)]
+                    here, names, held, last = at, [], [], None
+                if fps[k] != last:  # repeated rows of a document come one after another
+                    last = fps[k]
+                    names.append(ids[k])
+                    held.append(np.frombuffer(data[k].as_py(), dtype=U64))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found, strict=True)], ["a", "b"])
+                yield result()
                 found = []
-        flush()
+        found += [(names[a], names[b]) for a, b in links_of(held, shipped.value, percent)]
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found, strict=True)], ["a", "b"])
+            yield result()
 
-    return met.mapInArrow(verify, "a binary, b binary").distinct()
+    return met.mapInArrow(verify, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90, block: int = BLOCK) -> DataFrame:
@@ -318,22 +403,22 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90, block
     signed = stored(signatures(docs, orders, words, percent), "jaccard-signatures")
     known = signed.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = stored(
-        known.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")),
+        known.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")),
         "jaccard-classes",
     )
-    rows = stored(buckets(classes, percent), "jaccard-members")
-    wanted = rows.select("fp").distinct().join(classes.select("fp", "doc_id"), "fp")
-    sets = stored(class_sets(docs, wanted, words), "jaccard-sets")
-    pairs = bucket_links(rows, sets, orders, percent, block)
     name = classes.select("fp", "doc_id")
-    links = pairs.join(name.select(F.col("fp").alias("a"), F.col("doc_id").alias("x")), "a").join(
-        name.select(F.col("fp").alias("b"), F.col("doc_id").alias("y")), "b"
-    )
+    # groups: what the first order's prefix filter, sizes and bitmaps connect
+    groups = components(candidate_links(classes, percent, block)).select(F.col("node").alias("doc_id"), F.col("component").alias("group"))
+    sizes = groups.groupBy("group").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    members = name.join(groups, "doc_id").join(sizes, "group")
+    members = members.withColumn("mine", F.pmod(F.xxhash64("fp"), "parts").cast("int"))
+    members = stored(members.select("doc_id", "fp", "group", "mine", "parts"), "jaccard-members")
+    links = group_links(member_sets(docs, members, words), orders, percent)
     # a document with several texts is one node: its classes link
     of_row = known.select("doc_id", "fp").distinct().join(name.withColumnRenamed("doc_id", "x"), "fp")
     several = of_row.groupBy("doc_id").agg(F.min("x").alias("low"), F.max("x").alias("high")).where("low < high")
     own = of_row.join(several, "doc_id").select(F.col("x").alias("a"), F.col("low").alias("b"))
-    found = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")).union(own))
+    found = components(links.union(own))
     placed = name.join(found, name["doc_id"] == found["node"], "left").select(
         "fp", F.coalesce("component", name["doc_id"]).alias("component_id")
     )
@@ -349,7 +434,8 @@ def keep_one_each(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFra
 
     Repeated rows of that id leave one row; rows with a null ``doc_id`` all stay.
     """
-    doc_id = next(c for c in docs.columns if c.lower() == "doc_id")
-    found = jaccard_components(docs, words, percent).where("component_id = doc_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    kept = docs.join(found, doc_id, "left_semi").dropDuplicates([doc_id])
-    return kept.unionByName(docs.where(F.col(doc_id).isNull()))
+    placed, name_of = by_place(docs)
+    own = name_of("doc_id")
+    found = jaccard_components(docs, words, percent).where("component_id = doc_id").select(F.col("doc_id").alias(own)).distinct()
+    kept = placed.join(found, own, "left_semi").dropDuplicates([own])
+    return kept.unionByName(placed.where(F.col(own).isNull())).toDF(*docs.columns)

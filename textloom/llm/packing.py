@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.common import blocks, pick, stored
-from textloom.llm.tokens import crc, encoder, end_bytes, tokenizer_path
+from textloom.llm.tokens import crc, encoder, tokenizer_path
 
 SEQUENCE_TOKENS = 2048
 GROUP_ROWS = 50_000
@@ -88,7 +88,6 @@ def token_pieces(
 ) -> DataFrame:
     """One row per piece of each document's ids (with the end id), see ``PIECES``; whole texts are encoded."""
     path = path or tokenizer_path()
-    end = end_bytes(end_id)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = encoder(path)
@@ -97,10 +96,10 @@ def token_pieces(
             for doc, ids in zip(
                 batch.column("doc_id").to_pylist(), ready.encode(batch.column("text").to_pylist()), strict=True
             ):
-                ids += end
-                for piece, at in enumerate(range(0, len(ids), 4 * size)):
-                    part = ids[at : at + 4 * size]
-                    rows.append((doc, piece, at // 4, len(part) // 4, crc(part)))
+                ids = np.append(ids, np.uint32(end_id))
+                for piece, at in enumerate(range(0, len(ids), size)):
+                    part = ids[at : at + size]
+                    rows.append((doc, piece, at, len(part), crc(part)))
             columns = list(zip(*rows, strict=True))
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]

@@ -133,10 +133,16 @@ def test_long_inputs_stay_linear(spark):
     assert apply(spark, [mixed + "@x y", mixed + "@"], C.drop_urls) == [" y", mixed + "@"]
 
 
-def test_over_long_text_is_dropped(spark):
-    limit = 100_000
-    texts = ["ab " * (limit // 3) + "c" * (limit % 3), "ab " * (limit // 3) + "c" * (limit % 3 + 1)]
-    assert [len(t) for t in apply(spark, texts, C.clean_text)] == [limit, 0]
+def test_long_texts_stay_whole_unless_limited(spark):
+    text = "ab " * 100_000 + "c"
+    assert [len(t) for t in apply(spark, [text], C.clean_text)] == [len(text)]
+    limited = lambda t: C.clean_text(t, max_chars=len(text) - 1)
+    assert apply(spark, [text, text[1:]], limited) == ["", text[1:]]
+    records = spark.createDataFrame([(1, 0, "en", text)], schemas.TEXT)
+    assert clean_records(records).first().text == text
+    chunks = chunk_rows(records, ChunkOptions(target_tokens=512, stride_tokens=512, safety_margin=1.0, min_tokens=1)).orderBy("k")
+    assert "".join(r.text for r in chunks.collect()) == text[: 300_001 // 6 * 6]
+    assert clean_records(records, CleanOptions(max_text_chars=1000)).count() == 0
 
 
 def test_unknown_language(spark):

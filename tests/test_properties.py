@@ -256,13 +256,14 @@ def test_shards_hold_the_target_within_one_row(spark, sf_dir):
     assert all(abs(s.total - 20_000) <= s.largest + max(t.largest for t in shards) for s in shards[:-1])
 
 
-def test_compression_ratio(spark, sf_dir):
+def test_compression_ratio(spark, sf_dir, tmp_path):
     chunks = chunking.chunk_rows(documents(spark, sf_dir, 2), ChunkOptions())
-    keys = ["source", "doc_id", "part", "k"]
-    assert export.compression_ratio(chunks, 1 << 40, 1, keys).first().ratio == 1.0
-    measured = export.compression_ratio(chunks, 100_000, 1, keys).first()
-    assert measured.raw_bytes > 50_000 and measured.ratio == measured.raw_bytes / measured.parquet_bytes > 1.0
-    assert export.compression_ratio(chunks.where("false"), 0, 1, keys).first().ratio == 1.0
+    chunks.write.partitionBy("lang").parquet(f"{tmp_path}/full")
+    measured = export.compression_ratio(spark, f"{tmp_path}/full").first()
+    assert measured.rows == chunks.count() and measured.ratio == measured.raw_bytes / measured.parquet_bytes > 1.0
+    assert measured.parquet_bytes == sum(p.stat().st_size for p in tmp_path.rglob("full/**/*.parquet"))
+    chunks.where("false").write.parquet(f"{tmp_path}/none")
+    assert export.compression_ratio(spark, f"{tmp_path}/none").first().ratio == 1.0
 
 
 # ----------------------------------------------------------------- language

@@ -12,7 +12,7 @@ from textloom import schemas
 from textloom.operators.ordering import seeded_hash
 from textloom.operators.records import clean_records
 from textloom.options import AssemblyOptions, ChunkOptions, CleanOptions
-from textloom.plans.assemble import run_assembly, some_files
+from textloom.plans.assemble import run_assembly
 from textloom.plans.clean import run_clean
 from textloom.plans.extract import run_extract
 from textloom.plans.layout import Layout
@@ -113,10 +113,11 @@ def test_debug_sources_through_all_stages(spark, tmp_path):
     assert parquet_io.count_rows(spark, layout.dataset) == 0
 
     small = AssemblyOptions(
-        chunking=ChunkOptions(target_tokens=8, stride_tokens=7, min_tokens=2), shard_bytes=300, single_file=True
+        chunking=ChunkOptions(target_tokens=8, stride_tokens=7, min_tokens=2), shard_bytes=300
     )
     total = run_assembly(spark, specs, layout, options=small)
-    chunks = spark.read.parquet(layout.dataset).select("*", "_metadata.row_index").orderBy("row_index").collect()
+    chunks = spark.read.parquet(layout.dataset).select("*", "_metadata.file_name", "_metadata.row_index")
+    chunks = chunks.orderBy("file_name", "row_index").collect()
     assert sorted(r.id for r in chunks) == list(range(total)) and total > 20
     assert {r.source for r in chunks} == {"debug_text"}  # dialogues are never chunked
     keys = spark.createDataFrame([(r.id,) for r in chunks], "id long").select("id", seeded_hash(42, "id").alias("h"))
@@ -130,11 +131,31 @@ def test_debug_sources_through_all_stages(spark, tmp_path):
     assert shards.select("_metadata.file_path").distinct().count() == count  # one file each
 
 
-def test_sample_files_grow_with_the_wanted_size_only(spark, tmp_path):
-    spark.range(1000).repartition(20).write.parquet(f"{tmp_path}/t/source=a")
-    one, some, every = (some_files(spark, f"{tmp_path}/t", n) for n in (1, 2000, 1 << 30))
-    assert len(one) == 1 and 1 < len(some) < len(every) == 20
-    assert some_files(spark, f"{tmp_path}/t", 2000) == some
+def test_limits_and_order_of_the_sample(spark, tmp_path):
+    """With the document order kept, a limited source keeps its first rows."""
+    layout, specs = Layout(str(tmp_path)), debug_sources()[:1]
+    run_extract(spark, specs, "unused", layout)
+    run_clean(spark, specs, layout)
+    rules = spark.createDataFrame([("debug_text", False, 0.61)], schemas.RULE)
+    options = AssemblyOptions(
+        chunking=ChunkOptions(target_tokens=8, stride_tokens=8, min_tokens=1), shuffle_documents=False
+    )
+    run_assembly(spark, specs, layout, rules, options)
+    texts = [r.text for r in spark.read.parquet(layout.chunk_shards).orderBy("id").collect()]
+    kept = [t for t in R.CLEAN_TEXTS if t is not None]
+    found = [any(k.startswith(t) for t in texts) for k in kept]
+    assert found == [True, True, True, False, False]
+
+
+def test_chat_output(spark, tmp_path):
+    layout, specs = Layout(str(tmp_path)), debug_sources()
+    run_extract(spark, specs, "unused", layout)
+    run_clean(spark, specs, layout)
+    run_assembly(spark, specs, layout)
+    assert parquet_io.count_rows(spark, layout.dialogues) == 6  # bounds are off by default
+    run_assembly(spark, specs, layout, options=AssemblyOptions(min_messages=3))
+    bounded = spark.read.parquet(layout.dialogues)
+    assert bounded.count() == bounded.where("n_messages >= 3").count() < 6
 
 
 def test_document_order_can_be_kept(spark, tmp_path):

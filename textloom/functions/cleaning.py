@@ -42,13 +42,17 @@ def py_strip(text: Column) -> Column:
     return F.btrim(text, F.lit(P.STRIP_CHARS))
 
 
+def _nfkc(text: str | None) -> str | None:
+    """Most texts are normal already, which is quick to tell."""
+    if text is None or text.isascii() or unicodedata.is_normalized("NFKC", text):
+        return text
+    return unicodedata.normalize("NFKC", text)
+
+
 @F.arrow_udf(T.StringType())
 def nfkc(texts: pa.Array) -> pa.Array:
     """Unicode NFKC, one Arrow batch at a time."""
-    return pa.array(
-        (None if t is None else unicodedata.normalize("NFKC", t) for t in texts.to_pylist()),
-        pa.string(),
-    )
+    return pa.array(map(_nfkc, texts.to_pylist()), pa.string())
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
@@ -56,7 +60,7 @@ def nfkc_each(lists: pa.Array) -> pa.Array:
     """NFKC of every string of an array; a Python function cannot be called inside ``transform``."""
     return pa.array(
         (
-            None if ts is None else [None if t is None else unicodedata.normalize("NFKC", t) for t in ts]
+            None if ts is None else list(map(_nfkc, ts))
             for ts in lists.to_pylist()
         ),
         pa.list_(pa.string()),
@@ -125,7 +129,12 @@ def clean_normalized(text: Column) -> Column:
     return text
 
 
-def clean_text(text: Column) -> Column:
-    """The whole cleaning chain; null, over-long and garbage texts become ``''``."""
-    usable = text.isNotNull() & (F.length(text) <= P.MAX_TEXT_CHARS) & ~is_garbage(text)
+def within(text: Column, max_chars: int | None) -> Column:
+    """Whether a text is no longer than a limit, if there is one."""
+    return F.lit(True) if max_chars is None else F.length(text) <= max_chars
+
+
+def clean_text(text: Column, max_chars: int | None = None) -> Column:
+    """The whole cleaning chain; null and garbage texts, and those over a given limit, become ``''``."""
+    usable = text.isNotNull() & within(text, max_chars) & ~is_garbage(text)
     return F.when(usable, clean_normalized(nfkc(text))).otherwise(F.lit(""))

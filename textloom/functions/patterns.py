@@ -63,7 +63,6 @@ CODE_WORDS = ("def", "class", "import", "from", "return", "lambda", "async", "aw
 CODE_MARKS = r"{}\[\];"
 
 # Thresholds.
-MAX_TEXT_CHARS = 100_000
 MIN_LETTER_RATIO = 0.2
 MAX_SPECIAL_RATIO = 0.6
 VALID_RATIO = 0.85

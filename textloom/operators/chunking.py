@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,11 +35,12 @@ def chunk_budgets(lang: Column, options: ChunkOptions) -> Column:
     return bind(chars_per_token(lang, options), budgets)
 
 
-def chunk_count(chars: Column, budget: Column, max_chunks: int) -> Column:
+def chunk_count(chars: Column, budget: Column, max_chunks: int | None) -> Column:
     """Chunks of a text of ``chars`` characters: windows start every stride and must reach the minimum."""
     windows = F.floor((chars - budget["min"]) / budget["stride"]) + 1
     enough = (chars >= budget["min"]) & (budget["target"] >= budget["min"])
-    return F.when(enough, F.least(windows, F.lit(max_chunks))).otherwise(F.lit(0)).cast("int")
+    limited = windows if max_chunks is None else F.least(windows, F.lit(max_chunks))
+    return F.when(enough, limited).otherwise(F.lit(0)).cast("int")
 
 
 def chunk_texts(text: Column, lang: Column, options: ChunkOptions) -> Column:
@@ -57,7 +60,8 @@ def chunk_texts(text: Column, lang: Column, options: ChunkOptions) -> Column:
         )
         return F.coalesce(pieces, F.array().cast("array<string>"))
 
-    whole = F.coalesce(F.substring(text, 1, options.max_document_chars), F.lit(""))
+    most = options.max_document_chars
+    whole = F.coalesce(text if most is None else F.substring(text, 1, most), F.lit(""))
     return bind(whole, lambda t: bind(chunk_budgets(lang, options), lambda b: windows(t, b)))
 
 
@@ -69,6 +73,20 @@ def chunk_rows(docs: DataFrame, options: ChunkOptions) -> DataFrame:
     return exploded.withColumn("char_count", F.length("text").cast("long"))
 
 
+def chunk_rows_sizes(docs: DataFrame, sizes: Sequence[ChunkOptions]) -> DataFrame:
+    """Chunks of several sizes in one pass over the texts: ``target_tokens`` tells the size, ``k`` counts within it."""
+    rest = [c for c in docs.columns if c != "text"]
+
+    def cut(options: ChunkOptions) -> Column:
+        texts = chunk_texts(F.col("text"), F.col("lang"), options)
+        return F.transform(
+            texts, lambda t, k: F.struct(F.lit(options.target_tokens).alias("target_tokens"), k.alias("k"), t.alias("text"))
+        )
+
+    exploded = docs.select(*rest, F.explode(F.concat(*map(cut, sizes))).alias("_chunk")).select(*rest, "_chunk.*")
+    return exploded.withColumn("char_count", F.length("text").cast("long"))
+
+
 def number_chunks(
     docs: DataFrame, buckets: list[str], order: list[str], options: ChunkOptions
 ) -> DataFrame:

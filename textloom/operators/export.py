@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.operators.chunking import chars_per_token
 from textloom.operators.ordering import hash_bucket, seeded_hash
-from textloom.session import scratch_path
+from textloom.options import ChunkOptions
 
 
 def stats_order() -> tuple[Column, Column]:
@@ -41,31 +42,32 @@ def global_shuffle(chunks: DataFrame, seed: int, keys: list[str], partitions: in
     return placed.sortWithinPartitions("_hash", *keys).drop("_hash")
 
 
-def compression_ratio(chunks: DataFrame, sample_bytes: int, seed: int, keys: list[str]) -> DataFrame:
-    """UTF-8 bytes of text per Parquet byte, measured on a written sample; 1.0 if there is less text.
+def compression_ratio(spark: SparkSession, path: str) -> DataFrame:
+    """``(raw_bytes, rows, parquet_bytes, ratio)``: UTF-8 bytes of text per Parquet byte of a written table.
 
-    The sample is the hash range expected to hold ``sample_bytes`` (with a tenth
-    to spare), so it needs neither an order nor a shuffle.  Both passes read all of
-    ``chunks``: of a large corpus, pass some of its files.
+    All files count: one pass over the text column, and the lengths in the listing of the files.  An empty table has the ratio 1.
     """
-    spark = chunks.sparkSession
-    size = F.octet_length("text").cast("long")
-    total = chunks.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]
-    if total < max(sample_bytes, 1):
-        return spark.createDataFrame([(int(total), 0, 1.0)], "raw_bytes long, parquet_bytes long, ratio double")
-    share = min(1.0, 1.1 * sample_bytes / total)
-    position = hash_bucket(seeded_hash(seed, *keys), 7)
-    path = scratch_path(spark, "ratio")
-    chunks.where(position < int(share * 2**28)).write.option("compression", "zstd").parquet(path)
-    raw = spark.read.parquet(path).agg(F.coalesce(F.sum(size), F.lit(0)).alias("raw_bytes"))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    stored = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("parquet_bytes"))
-    ratio = F.when(
-        (F.col("raw_bytes") > 0) & (F.col("parquet_bytes") > 0), F.col("raw_bytes") / F.col("parquet_bytes")
-    ).otherwise(F.lit(1.0))
-    # two single-row aggregates, put side by side without a join
-    both = raw.withColumn("parquet_bytes", F.lit(None).cast("long")).unionByName(
-        stored.withColumn("raw_bytes", F.lit(None).cast("long"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    stored = files.load(path).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
+    texts = spark.read.parquet(path)
+    size = F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))
+    raw = texts.agg(size.alias("raw_bytes"), F.count("*").alias("rows"), F.lit(stored).cast("long").alias("parquet_bytes"))
+    measured = F.when((F.col("raw_bytes") > 0) & (F.col("parquet_bytes") > 0), F.col("raw_bytes") / F.col("parquet_bytes"))
+    return raw.select("*", F.coalesce(measured, F.lit(1.0)).alias("ratio"))
+
+
+def chat_dialogues(
+    dialogues: DataFrame,
+    min_messages: int | None = None,
+    max_tokens: int | None = None,
+    options: ChunkOptions = ChunkOptions(),
+) -> DataFrame:
+    """Dialogues with ``n_messages`` and ``est_tokens`` (characters by those of a token); bounds are off by default."""
+    chars = F.aggregate(
+        "messages", F.lit(0).cast("long"), lambda n, m: n + F.coalesce(F.length(m["content"]), F.lit(0))
     )
-    summed = both.agg(F.max("raw_bytes").alias("raw_bytes"), F.max("parquet_bytes").alias("parquet_bytes"))
-    return summed.select("raw_bytes", "parquet_bytes", ratio.alias("ratio"))
+    tokens = F.ceil(chars / chars_per_token(F.col("lang"), options)).cast("long")
+    counted = dialogues.select("*", F.size("messages").alias("n_messages"), tokens.alias("est_tokens"))
+    if min_messages is not None:
+        counted = counted.where(F.col("n_messages") >= min_messages)
+    return counted if max_tokens is None else counted.where(F.col("est_tokens") <= max_tokens)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,12 +52,24 @@ def with_shuffle_order(docs: DataFrame, seed: int) -> DataFrame:
     return hashed.withColumn("_bucket", hash_bucket(F.col("_hash"), HASH_DIGITS))
 
 
-def mix_sample(docs: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
-    """Non-empty texts of text sources, each source limited as planned, in seeded order.
+def with_tier_overrides(sources: DataFrame, overrides: Mapping[str, int]) -> DataFrame:
+    """``sources`` with the tiers of some replaced; the table has one row per source, so a literal map will do."""
+    if not overrides:
+        return sources
+    table = F.create_map(*[F.lit(x) for pair in overrides.items() for x in pair])
+    return sources.withColumn("tier", F.coalesce(F.try_element_at(table, F.col("source")), F.col("tier")))
+
+
+def mix_ordered(docs: DataFrame, plan: DataFrame, order: list[str]) -> DataFrame:
+    """Non-empty texts of text sources, each source limited as planned to its first in ``order``.
 
-    Keeps the order columns of ``with_shuffle_order`` for the operators that follow.
+    ``docs`` has a column ``_bucket`` that is monotone in the order.
     """
     limits = broadcast_if_small(plan.where(F.col("content_type") == "text").select("source", "max_rows"))
-    ordered = with_shuffle_order(docs.where(F.col("text") != ""), seed)
-    ordered = ordered.join(limits.select("source"), "source", "left_semi")
-    return first_per_group(ordered, "source", ["_bucket"], ["_hash", "doc_id", "part"], limits)
+    texts = docs.where(F.col("text") != "").join(limits.select("source"), "source", "left_semi")
+    return first_per_group(texts, "source", ["_bucket"], order, limits)
+
+
+def mix_sample(docs: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
+    """``mix_ordered`` in seeded order; keeps the order columns of ``with_shuffle_order``."""
+    return mix_ordered(with_shuffle_order(docs, seed), plan, ["_hash", "doc_id", "part"])

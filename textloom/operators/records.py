@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions import patterns as P
-from textloom.functions.cleaning import clean_normalized, nfkc, nfkc_each
+from textloom.functions.cleaning import clean_normalized, nfkc, nfkc_each, within
 from textloom.functions.validation import is_garbage, is_valid, looks_like_code
 from textloom.options import CleanOptions
 from textloom.session import scratch_path
@@ -29,7 +28,7 @@ def allowed_language(lang: Column, allowed: tuple[str, ...]) -> Column:
 
 def _acceptable(text: Column, options: CleanOptions) -> Column:
     """Tests on the raw text that need no cleaning; what fails them would clean to an invalid text."""
-    test = (F.length(text) <= P.MAX_TEXT_CHARS) & ~is_garbage(text)
+    test = within(text, options.max_text_chars) & ~is_garbage(text)
     return ~looks_like_code(text) & test if options.remove_code else test
 
 
@@ -37,11 +36,12 @@ def clean_records(df: DataFrame, options: CleanOptions = CleanOptions()) -> Data
     """Text records: language, code, garbage, clean, valid.  Other columns pass through."""
     text = F.col("text")
     raw = df.where(allowed_language(F.col("lang"), options.allowed_langs) & (text != ""))
-    cleaned = F.when(_acceptable(text, options), F.array(clean_normalized(nfkc(text))))
     rest = [c for c in df.columns if c != "text"]
-    return raw.select(*rest, F.explode(F.filter(cleaned, lambda t: is_valid(t))).alias("text")).select(
-        *df.columns
-    )
+    # two generators: only acceptable texts reach the Python step between them
+    passed = raw.select(*rest, F.explode(F.filter(F.array(text), lambda t: _acceptable(t, options))).alias("text"))
+    normal = passed.select(*rest, nfkc(text).alias("text"))
+    cleaned = F.filter(F.array(clean_normalized(text)), lambda t: is_valid(t))
+    return normal.select(*rest, F.explode(cleaned).alias("text")).select(*df.columns)
 
 
 def clean_dialogues(df: DataFrame, options: CleanOptions = CleanOptions()) -> DataFrame:
@@ -59,13 +59,16 @@ def clean_dialogues(df: DataFrame, options: CleanOptions = CleanOptions()) -> Da
         content = F.when(empty, m["content"]).otherwise(clean_normalized(normalized))
         return F.struct(m["role"].alias("role"), content.alias("content"), empty.alias("empty"))
 
-    contents = F.transform(messages, lambda m: m["content"])
+    rest = [c for c in df.columns if c != "messages"]
+    # only acceptable dialogues reach the Python step
+    passed = raw.select(*rest, F.explode(F.when(acceptable, F.array(messages))).alias("messages"))
+    contents = F.transform("messages", lambda m: m["content"])
+    normal = passed.select("*", nfkc_each(contents).alias("_normal"))
     cleaned = F.filter(
-        F.when(acceptable, F.array(F.zip_with(messages, nfkc_each(contents), rebuilt))),
+        F.array(F.zip_with("messages", "_normal", rebuilt)),
         lambda ms: F.forall(ms, lambda m: m["empty"] | is_valid(m["content"])),
     )
-    rest = [c for c in df.columns if c != "messages"]
-    kept = raw.select(*rest, F.explode(cleaned).alias("messages"))
+    kept = normal.select(*rest, F.explode(cleaned).alias("messages"))
     plain = F.transform(
         "messages", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))
     )

@@ -197,10 +197,11 @@ def answers_and_unique_prompts(
 def cap_per_language(
     df: DataFrame, caps: Mapping[str, int], buckets: list[str], order: list[str]
 ) -> DataFrame:
-    """The first texts of each language in ``caps``, up to its cap; other languages are left out."""
-    listed = df.where(F.col("lang").isin(*caps))
+    """The first texts of each language in ``caps``, up to its cap; languages without a cap stay whole."""
+    if not caps:
+        return df
     limits = df.sparkSession.createDataFrame(list(caps.items()), "lang string, max_rows long")
-    return first_per_group(listed, "lang", buckets, order, limits, costly=True)
+    return first_per_group(df, "lang", buckets, order, limits, costly=True)
 
 
 def cut_at_marker(

@@ -4,20 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom import schemas
-from textloom.operators.chunking import chunk_rows, number_chunks
+from textloom.operators.chunking import number_chunks
 from textloom.operators.export import (
+    chat_dialogues,
     compression_ratio,
     global_shuffle,
     language_stats,
     shard_number,
     stats_order,
 )
-from textloom.operators.mixing import mix_plan, mix_sample
-from textloom.operators.ordering import BEFORE, range_bucket
+from textloom.operators.mixing import mix_ordered, mix_plan, mix_sample, with_tier_overrides
+from textloom.operators.ordering import range_bucket
 from textloom.options import AssemblyOptions
 from textloom.plans.layout import Layout
 from textloom.sources import manifest as M
@@ -25,6 +26,8 @@ from textloom.sources.catalog import SourceSpec, sources_table
 from textloom.sources.parquet_io import path_exists, read_or_empty, write_json, write_table
 
 BY_SOURCE = schemas.T.StructType([*schemas.TEXT, schemas.T.StructField("source", schemas.T.StringType())])
+DIALOGUES_BY_SOURCE = schemas.T.StructType([*schemas.DIALOGUE, schemas.T.StructField("source", schemas.T.StringType())])
+MOST_SHARD_TASKS = 100_000
 PART_OF_SHARD = schemas.T.StructType([*schemas.CHUNK, schemas.T.StructField("shard", schemas.T.LongType())])
 
 
@@ -38,29 +41,12 @@ def source_counts(spark: SparkSession, specs: Iterable[SourceSpec], layout: Layo
     return cleaned.join(existing, "source", "left_semi").select("source", "num_records")
 
 
-def some_files(spark: SparkSession, folder: str, enough_bytes: int) -> list[str]:
-    """Files of a table, in random but fixed order, until they hold ``enough_bytes``.
-
-    The listing reads names and lengths only; how many files are picked depends
-    on the wanted size, not on the table.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    listed = files.option("pathGlobFilter", "*.parquet").load(folder).select("path", "length")
-    before = Window.orderBy(F.md5("path"), "path").rowsBetween(*BEFORE)
-    picked = listed.withColumn("_before", F.coalesce(F.sum("length").over(before), F.lit(0)))
-    return [r["path"] for r in picked.where(F.col("_before") < enough_bytes).select("path").collect()]
-
-
-def measured_ratio(spark: SparkSession, layout: Layout, options: AssemblyOptions) -> float:
-    """Text bytes per Parquet byte of the chunks, from a few files of the cleaned texts."""
-    folder = layout.cleaned("text")
-    files = some_files(spark, folder, options.sample_bytes)
-    if not files:
-        return 1.0
-    texts = spark.read.schema(BY_SOURCE).option("basePath", folder).parquet(*files)
-    chunks = chunk_rows(texts, options.chunking)
-    keys = ["source", "doc_id", "part", "k"]
-    return compression_ratio(chunks, options.sample_bytes, options.seed, keys).first()["ratio"]
+def measured_ratio(spark: SparkSession, layout: Layout) -> tuple[float, int]:
+    """Text bytes per Parquet byte of all cleaned texts, and their text bytes."""
+    if not path_exists(spark, layout.cleaned("text")):
+        return 1.0, 0
+    row = compression_ratio(spark, layout.cleaned("text")).first()
+    return row["ratio"], row["raw_bytes"]
 
 
 def output_files(shards: DataFrame) -> int:
@@ -84,28 +70,41 @@ def run_assembly(
     specs = list(specs)
     if rules is None:
         rules = spark.createDataFrame([], schemas.RULE)
-    plan = mix_plan(sources_table(spark, specs), source_counts(spark, specs, layout), rules, options.base_tier)
+    sources = with_tier_overrides(sources_table(spark, specs), options.tier_overrides)
+    plan = mix_plan(sources, source_counts(spark, specs, layout), rules, options.base_tier)
     texts = read_or_empty(spark, layout.cleaned("text"), BY_SOURCE)
-    docs = mix_sample(texts, plan, options.seed)
-
-    ratio = measured_ratio(spark, layout, options) if path_exists(spark, layout.cleaned("text")) else 1.0
+    if options.shuffle_documents:
+        order = ["_hash", "doc_id", "part"]
+        docs = mix_sample(texts, plan, options.seed)
+    else:
+        order = ["doc_id", "part"]
+        docs = mix_ordered(range_bucket(texts, "doc_id", "_bucket"), plan, order)
+
+    ratio, text_bytes = measured_ratio(spark, layout)
     shard_bytes = max(1, int(options.shard_bytes * ratio))
 
-    order = ["_hash", "doc_id", "part"] if options.shuffle_documents else ["doc_id", "part"]
-    buckets = ["source", "_bucket"]
-    if not options.shuffle_documents:
-        docs = range_bucket(docs.drop("_bucket"), "doc_id", "_bucket")
-    numbered = number_chunks(docs, buckets, order, options.chunking)
+    numbered = number_chunks(docs, ["source", "_bucket"], order, options.chunking)
     shards = numbered.select(
         *schemas.CHUNK.names, shard_number(F.col("byte_start"), shard_bytes).alias("shard")
     )
-    # one file per shard, in id order; shards are bounded in size, so this cannot skew
-    gathered = shards.repartition("shard").sortWithinPartitions("shard", "id")
+    # one file per shard, in id order: as many tasks as shards, each bounded in size
+    tasks = max(1, min(MOST_SHARD_TASKS, 2 * text_bytes // shard_bytes + 1))
+    gathered = shards.repartitionById(tasks, (F.col("shard") % tasks).cast("int")).sortWithinPartitions("shard", "id")
     total = write_table(gathered, layout.chunk_shards, partition_by=("shard",))
 
     written = spark.read.schema(PART_OF_SHARD).parquet(layout.chunk_shards)
     chunks = written.drop("shard")
     write_json(language_stats(chunks), layout.language_stats, *stats_order())
-    partitions = 1 if options.single_file else output_files(written)
-    write_table(global_shuffle(chunks, options.seed, ["id"], partitions), layout.dataset)
+    write_table(global_shuffle(chunks, options.seed, ["id"], output_files(written)), layout.dataset)
+    write_chat(spark, layout, options)
     return total
+
+
+def write_chat(spark: SparkSession, layout: Layout, options: AssemblyOptions) -> int:
+    """The cleaned dialogues within the given bounds, in seeded random order; returns their number."""
+    folder = layout.cleaned("dialogue")
+    if not path_exists(spark, folder):
+        return 0
+    dialogues = read_or_empty(spark, folder, DIALOGUES_BY_SOURCE)
+    chosen = chat_dialogues(dialogues, options.min_messages, options.max_tokens, options.chunking)
+    return write_table(global_shuffle(chosen, options.seed, ["source", "doc_id"]), layout.dialogues)

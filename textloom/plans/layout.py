@@ -27,6 +27,10 @@ class Layout:
     def dataset(self) -> str:
         return f"{self.root}/text/dataset"
 
+    @property
+    def dialogues(self) -> str:
+        return f"{self.root}/chat/dataset"
+
     @property
     def language_stats(self) -> str:
         return f"{self.root}/text/language_stats"

@@ -6,7 +6,7 @@ folder to records; adding one means adding a ``SourceSpec``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -125,11 +125,14 @@ def _wiki_reading(detector: Detector | None):
     return build
 
 
-def _encyclopedia(spark: SparkSession, path: str) -> DataFrame:
-    """Articles landed below ``lang=<code>`` folders; missing languages are simply not there."""
-    rows = landed(spark, path, "text string, lang string").withColumn("part", F.lit(0))
-    cut = shaping.cut_at_marker(rows, STOP_MARKERS, DEFAULT_STOP_MARKERS)
-    return shaping.cap_per_language(cut, ENCYCLOPEDIA_CAPS, BLOCK, PLACE).select(*shaping.RECORD)
+def _encyclopedia(caps: Mapping[str, int]):
+    def build(spark: SparkSession, path: str) -> DataFrame:
+        """Articles landed below ``lang=<code>`` folders; missing languages are simply not there."""
+        rows = landed(spark, path, "text string, lang string").withColumn("part", F.lit(0))
+        cut = shaping.cut_at_marker(rows, STOP_MARKERS, DEFAULT_STOP_MARKERS)
+        return shaping.cap_per_language(cut, caps, BLOCK, PLACE).select(*shaping.RECORD)
+
+    return build
 
 
 def _with_key(texts: DataFrame) -> DataFrame:
@@ -137,8 +140,13 @@ def _with_key(texts: DataFrame) -> DataFrame:
     return keyed.select(*shaping.RECORD)
 
 
-def builtin_sources(detector: Detector | None = None) -> list[SourceSpec]:
-    """All built-in sources; without a detector, texts of unlabelled sources are ``unknown``."""
+def builtin_sources(
+    detector: Detector | None = None, encyclopedia_caps: Mapping[str, int] | None = None
+) -> list[SourceSpec]:
+    """All built-in sources; without a detector, texts of unlabelled sources are ``unknown``.
+
+    ``encyclopedia_caps`` (``ENCYCLOPEDIA_CAPS`` holds usual ones) limits articles per language; there is no limit by default.
+    """
     return [
         columns_source("book_summaries", 1, {"Full Text": "ru", "Summary": "ru"}),
         columns_source("chemistry_shelves", 1, {"text": "en"}),
@@ -152,5 +160,5 @@ def builtin_sources(detector: Detector | None = None) -> list[SourceSpec]:
         SourceSpec("subtitles", 1, "text", _subtitles),
         columns_source("toki_pona", 1, {"translated_text": "tok"}),
         SourceSpec("wiki_reading", 2, "text", _wiki_reading(detector)),
-        SourceSpec("encyclopedia", 3, "text", _encyclopedia),
+        SourceSpec("encyclopedia", 3, "text", _encyclopedia(encyclopedia_caps or {})),
     ]

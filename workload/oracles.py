@@ -7,7 +7,7 @@ repeated replacement), which makes the comparison worth more.
 
 from __future__ import annotations
 
-from workload.views import CAPS, SQL
+from workload.views import CAPS, CHUNK_SIZES, SQL, TIER_OVERRIDES
 
 # fixed values: character classes in the engine's syntax
 S = r"\t\n\x0B\f\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -27,6 +27,11 @@ def _strip(expr: str) -> str:
     return _sub(expr, rf"^[{S}]+|[{S}]+\z")
 
 
+def nfkc(t: str) -> str:
+    """NFKC of what the views put in; the tables themselves are NFKC."""
+    return f"replace(replace(replace(translate({t}, 'ＡＢｃ', 'ABc'), 'ﬁ', 'fi'), 'ﬀ', 'ff'), '…', '...')"
+
+
 def special_tokens(t: str) -> str:
     return _sub(
         t,
@@ -113,12 +118,12 @@ def code_hits(t: str = "text") -> str:
 
 
 def cleaned(source: str, out: str, key: str = "doc_id") -> str:
-    """CTEs of the whole chain (the tables are NFKC already); unusable texts become ''."""
-    before = technical(control(urls(special_tokens("text"))))
+    """CTEs of the whole chain; unusable texts become ''."""
+    before = technical(control(urls(special_tokens(nfkc("text")))))
     after = whitespace(punct(lonely(empty_pairs("text"))))
     return f"""
 {out}_a AS (
-  SELECT * EXCLUDE (text), CASE WHEN text IS NULL OR length(text) > 100000 OR {garbage()} THEN ''
+  SELECT * EXCLUDE (text), CASE WHEN text IS NULL OR {garbage()} THEN ''
     ELSE {before} END AS text FROM {source}),
 {squeezed(f"{out}_a", f"{out}_b", key).strip()},
 {out} AS (SELECT * EXCLUDE (text), {after} AS text FROM {out}_b)"""
@@ -140,25 +145,31 @@ checked AS (
   FROM chain c JOIN good g USING (tid)),
 whole AS (SELECT conv_id FROM checked GROUP BY conv_id HAVING bool_and(ok))"""
 
-BUDGETS = """
+def budgets(target: int, stride: int, shortest: int) -> str:
+    return f"""
 budgets AS (
-  SELECT lang, documents, CAST(floor(512 * cpt * 1.15::DOUBLE) AS BIGINT) AS target,
-    greatest(CAST(floor(448 * cpt) AS BIGINT), 1) AS stride, greatest(CAST(floor(128 * cpt) AS BIGINT), 1) AS "min"
+  SELECT lang, documents, CAST(floor({target} * cpt * 1.15::DOUBLE) AS BIGINT) AS target,
+    greatest(CAST(floor({stride} * cpt) AS BIGINT), 1) AS stride, greatest(CAST(floor({shortest} * cpt) AS BIGINT), 1) AS "min"
   FROM (SELECT lang, count(*) AS documents, CASE lang WHEN 'en' THEN 6.0::DOUBLE ELSE 4.0::DOUBLE END AS cpt
         FROM documents GROUP BY lang))"""
 
 
-def chunked(source: str, out: str = "chunks", most: int = 32, cut: int = 250000) -> str:
+BUDGETS = budgets(512, 448, 128)
+
+
+def chunked(source: str, out: str = "chunks", most: int | None = None, cut: int | None = None) -> str:
+    whole = "text" if cut is None else f"substr(text, 1, {cut})"
+    limit = "" if most is None else f"WHERE k < {most}"
     return f"""
 {out}_windows AS (
   SELECT d.* EXCLUDE (text), substr(text, CAST(i AS BIGINT) + 1, target) AS text, i, b."min" AS shortest
-  FROM (SELECT * EXCLUDE (text), substr(text, 1, {cut}) AS text FROM {source}) d JOIN budgets b USING (lang),
+  FROM (SELECT * EXCLUDE (text), {whole} AS text FROM {source}) d JOIN budgets b USING (lang),
     unnest(range(0, length(text), stride)) AS w(i)),
 {out} AS (
   SELECT * EXCLUDE (i, shortest), length(text) AS char_count FROM (
     SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS k
     FROM {out}_windows WHERE length(text) >= shortest)
-  WHERE k < {most})"""
+  {limit})"""
 
 
 HASHED = "hashed AS (SELECT doc_id, source, lang, text, md5('42|' || source || '|' || doc_id || '|0') AS h FROM documents)"
@@ -257,11 +268,11 @@ UNION ALL SELECT doc_id, part, lang, text FROM prompts WHERE rn = 1""",
 SELECT doc_id, part, lang, text FROM (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rn
   FROM (SELECT doc_id, 0 AS part, lang, {_strip("text")} AS text FROM documents)
-  WHERE length(text) >= 100) JOIN (VALUES {CAP_VALUES}) caps(lang, max_rows) USING (lang)
-WHERE rn <= max_rows""",
+  WHERE length(text) >= 100) LEFT JOIN (VALUES {CAP_VALUES}) caps(lang, max_rows) USING (lang)
+WHERE max_rows IS NULL OR rn <= max_rows""",
     "src_union": f"""
 SELECT doc_id, 0 AS part, lang, t AS text FROM (SELECT *, {_strip("text")} AS t FROM documents)
-WHERE length(t) >= 100 AND lang IN ({", ".join(f"'{lang}'" for lang in CAPS)})""",
+WHERE length(t) >= 100""",
     "src_stop_marker": _with(
         SQL["marked"],
         MARKERS,
@@ -292,7 +303,7 @@ SELECT conv_id AS doc_id, 'en' AS lang, row_number() OVER (PARTITION BY conv_id
     "clean_lonely": _step(lonely("text")),
     "clean_punct": _step(punct("text")),
     "clean_whitespace": _step(whitespace("text")),
-    "nfkc": _step("text"),
+    "nfkc": _step(nfkc("text")),
     "clean_text_full": _with(SQL["dirty"], cleaned("dirty", "chain"), select="SELECT doc_id, text FROM chain"),
     "valid_garbage": _flag(garbage(), "is_garbage"),
     "valid_text": _flag(valid(), "is_valid"),
@@ -344,6 +355,24 @@ SELECT source, doc_id, lang, text FROM (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY h, doc_id) AS rn FROM hashed WHERE text <> '')
 JOIN plan USING (source) WHERE content_type = 'text' AND (max_rows IS NULL OR rn <= max_rows)""",
     ),
+    "mix_sample_in_order": _with(
+        SQL["sources"],
+        SQL["rules"],
+        PLAN.format(sources="sources"),
+        select="""
+SELECT source, doc_id, lang, text FROM (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents WHERE text <> '')
+JOIN plan USING (source) WHERE content_type = 'text' AND (max_rows IS NULL OR rn <= max_rows)""",
+    ),
+    "tier_override": _with(
+        SQL["sources"],
+        SQL["rules"],
+        f"""
+moved AS (SELECT s.source, coalesce(t, tier) AS tier, content_type FROM sources s
+          LEFT JOIN (VALUES {", ".join(f"('{s}', {t})" for s, t in TIER_OVERRIDES.items())}) o(source, t) USING (source))""",
+        PLAN.format(sources="moved").replace("CASE WHEN tier = 1", "CASE WHEN tier = 2"),
+        select="SELECT * FROM plan",
+    ),
     "chunk_budgets": _with(BUDGETS, select="SELECT * FROM budgets"),
     "chunk_text": _with(
         BUDGETS,
@@ -359,6 +388,31 @@ budgets AS (
         chunked("(SELECT doc_id, lang, text FROM documents)", most=20, cut=3000),
         select="SELECT doc_id, lang, k, text, char_count FROM chunks",
     ),
+    "chunk_multi_size": "SELECT * FROM ("
+    + ") UNION ALL SELECT * FROM (".join(
+        _with(
+            budgets(size, size * 7 // 8, size // 4),
+            chunked("(SELECT doc_id, lang, text FROM documents)"),
+            select=f"SELECT doc_id, lang, {size} AS target_tokens, k, text, char_count FROM chunks",
+        )
+        for size in CHUNK_SIZES
+    )
+    + ")",
+    "compression_ratio": _with(
+        BUDGETS,
+        chunked("(SELECT doc_id, lang, text FROM documents)"),
+        select="SELECT CAST(sum(strlen(text)) AS BIGINT) AS raw_bytes, count(*) AS rows, 1 AS smaller FROM chunks",
+    ),
+    "chat_export": _with(
+        SQL["turns"],
+        DIALOGUES,
+        """
+sized AS (SELECT conv_id AS doc_id, count(*) AS n_messages, CAST(ceil(sum(length(content)) / 6.0::DOUBLE) AS BIGINT) AS est_tokens
+          FROM checked WHERE conv_id IN (SELECT conv_id FROM whole) GROUP BY conv_id)""",
+        select="""
+SELECT row_number() OVER (ORDER BY md5('42|' || doc_id), doc_id) - 1 AS position, doc_id, 'en' AS lang, n_messages, est_tokens
+FROM sized WHERE n_messages >= 2 AND est_tokens <= 600""",
+    ),
     "chunk_ids": _with(NUMBERED, select="SELECT id, source, lang, text, char_count FROM numbered"),
     "dense_index": _with(
         SQL["doc_lines"],

@@ -25,7 +25,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 CLEAN = CleanOptions(allowed_langs=("en", "de"))
 CHUNKS = ChunkOptions()
 SHARD_BYTES = 100_000
-RATIO_SAMPLE_BYTES = 1 << 20
 DOC_ORDER = ["_hash", "doc_id", "part"]
 DOC_BUCKETS = ["source", "_bucket"]
 
@@ -86,9 +85,9 @@ def src_lang_cap(spark: SparkSession, d: str) -> DataFrame:
 def src_union(spark: SparkSession, d: str) -> DataFrame:
     """Subsets by language, shaped one by one and put together."""
     docs = views.documents(spark, d)
-    shaped = [
-        shaping.unpivot_texts(docs.where(F.col("lang") == lang), {"text": lang}) for lang in views.CAPS
-    ]
+    listed = [F.col("lang") == lang for lang in views.CAPS]
+    rest = F.col("lang").isNull() | ~F.col("lang").isin(*views.CAPS)
+    shaped = [shaping.unpivot_texts(docs.where(subset), {"text": F.col("lang")}) for subset in [*listed, rest]]
     return shaping.union_subsets(shaped)
 
 
@@ -199,6 +198,20 @@ def mix_sample(spark: SparkSession, d: str) -> DataFrame:
     return _sampled(spark, d).select("source", "doc_id", "lang", "text")
 
 
+def mix_sample_in_order(spark: SparkSession, d: str) -> DataFrame:
+    """The first documents of each source instead of a seeded choice."""
+    docs = _text_documents(spark, d)
+    placed = ordering.range_bucket(docs, "doc_id", "_bucket")
+    return mixing.mix_ordered(placed, _plan(spark, d, docs), ["doc_id", "part"]).select("source", "doc_id", "lang", "text")
+
+
+def tier_override(spark: SparkSession, d: str) -> DataFrame:
+    docs = _text_documents(spark, d)
+    counts = docs.groupBy("source").agg(F.count("*").alias("num_records"))
+    sources = mixing.with_tier_overrides(views.sources(spark, d), views.TIER_OVERRIDES)
+    return mixing.mix_plan(sources, counts, spark.createDataFrame(views.RULES, schemas.RULE), base_tier=2)
+
+
 # ----------------------------------------------------------------- chunking
 def chunk_budgets(spark: SparkSession, d: str) -> DataFrame:
     langs = views.documents(spark, d).groupBy("lang").agg(F.count("*").alias("documents"))
@@ -217,6 +230,12 @@ def chunk_text_short_windows(spark: SparkSession, d: str) -> DataFrame:
     return chunking.chunk_rows(docs, options)
 
 
+def chunk_multi_size(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks of three sizes from one pass over the texts."""
+    sizes = [ChunkOptions(target_tokens=t, stride_tokens=t * 7 // 8, min_tokens=t // 4) for t in views.CHUNK_SIZES]
+    return chunking.chunk_rows_sizes(views.spread_documents(spark, d).select("doc_id", "lang", "text"), sizes)
+
+
 def _numbered(spark: SparkSession, d: str) -> DataFrame:
     docs = mixing.with_shuffle_order(_text_documents(spark, d), SEED)
     return chunking.number_chunks(docs, DOC_BUCKETS, DOC_ORDER, CHUNKS)
@@ -247,8 +266,20 @@ def shard_assign(spark: SparkSession, d: str) -> DataFrame:
 
 
 def compression_ratio(spark: SparkSession, d: str) -> DataFrame:
-    chunks = chunking.chunk_rows(_text_documents(spark, d), CHUNKS)
-    return export.compression_ratio(chunks, RATIO_SAMPLE_BYTES, SEED, ["source", "doc_id", "part", "k"])
+    """Text bytes and rows of the written chunks, and whether the files are smaller than the text."""
+    path = scratch_path(spark, "ratio")
+    write_table(chunking.chunk_rows(_text_documents(spark, d), CHUNKS), path)
+    smaller = ((F.col("parquet_bytes") > 0) & (F.col("ratio") > 1)).cast("int").alias("smaller")
+    return export.compression_ratio(spark, path).select("raw_bytes", "rows", smaller)
+
+
+def chat_export(spark: SparkSession, d: str) -> DataFrame:
+    """The shuffled, written dialogues: cleaned, of two messages or more and of at most 600 estimated tokens."""
+    raw = schemas.project(views.raw_dialogues(views.dirty_turns(spark, d)), schemas.DIALOGUE)
+    chosen = export.chat_dialogues(records.clean_dialogues(raw, CLEAN), min_messages=2, max_tokens=600)
+    path = scratch_path(spark, "chat")
+    write_table(export.global_shuffle(chosen, SEED, ["doc_id"]), path)
+    return _with_position(spark, path).select("position", "doc_id", "lang", "n_messages", "est_tokens")
 
 
 def _with_position(spark: SparkSession, path: str) -> DataFrame:
@@ -349,15 +380,19 @@ QUERIES: dict[str, Query] = {
     "mix_plan": mix_plan,
     "mix_plan_lowest_tier": mix_plan_lowest_tier,
     "mix_sample": mix_sample,
+    "mix_sample_in_order": mix_sample_in_order,
+    "tier_override": tier_override,
     "chunk_budgets": chunk_budgets,
     "chunk_text": chunk_text,
     "chunk_text_short_windows": chunk_text_short_windows,
+    "chunk_multi_size": chunk_multi_size,
     "chunk_ids": chunk_ids,
     "dense_index": dense_index,
     "lang_stats": lang_stats,
     "corpus_stats": corpus_stats,
     "shard_assign": shard_assign,
     "compression_ratio": compression_ratio,
+    "chat_export": chat_export,
     "global_shuffle": global_shuffle,
     "sink_roundtrip": sink_roundtrip,
     "stage_metrics": stage_metrics,

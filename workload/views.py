@@ -13,6 +13,8 @@ from textloom.operators.ordering import range_bucket
 from textloom.session import spread
 
 NL, BELL = "\n", "\a"
+# ligatures, full-width letters, an ellipsis: not NFKC
+COMPOSED = "ﬁne oﬀer ＡＢｃ… "
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +42,7 @@ def dirty(text: Column, case: Column) -> Column:
         F.concat(lit("See HTTP://example.com/x?y=1 "), swap(text, ". ", ". (www.example.org/z) ")),
         swap(text, ". ", ". mail <admin@example.com> or @b c@ d@@e "),
         swap(text, "e ", f"e{BELL} "),
-        swap(text, ". ", " [12]. {tpl x} [1234567] "),
+        F.concat(lit(COMPOSED), swap(text, ". ", " [12]. {tpl x} [1234567] ")),
         swap(text, ". ", "!!!!!!!! "),
         F.concat(swap(text, ". ", " ( ) « ». "), lit(' "" [] x')),
         swap(swap(text, ", ", ' " " ( '), ". ", " » "),
@@ -141,6 +143,8 @@ RULES = [
     ("src11", None, None),
     ("src12", False, 0.02),
 ]
+TIER_OVERRIDES = {"src1": 2, "src4": 7, "src9": 1, "src99": 2}
+CHUNK_SIZES = (64, 128, 512)
 CAPS = {"en": 400, "de": 50, "fr": 1, "it": 50}
 SEED = 42
 
@@ -152,7 +156,7 @@ dirty AS (
     WHEN 1 THEN 'See HTTP://example.com/x?y=1 ' || replace(text, '. ', '. (www.example.org/z) ')
     WHEN 2 THEN replace(text, '. ', '. mail <admin@example.com> or @b c@ d@@e ')
     WHEN 3 THEN replace(text, 'e ', 'e' || chr(7) || ' ')
-    WHEN 4 THEN replace(text, '. ', ' [12]. {tpl x} [1234567] ')
+    WHEN 4 THEN 'ﬁne oﬀer ＡＢｃ… ' || replace(text, '. ', ' [12]. {tpl x} [1234567] ')
     WHEN 5 THEN replace(text, '. ', '!!!!!!!! ')
     WHEN 6 THEN replace(text, '. ', ' ( ) « ». ') || ' "" [] x'
     WHEN 7 THEN replace(replace(text, ', ', ' " " ( '), '. ', ' » ')
@@ -169,7 +173,7 @@ turns AS (
     WHEN 1 THEN 'See HTTP://example.com/x?y=1 ' || replace(text, '. ', '. (www.example.org/z) ')
     WHEN 2 THEN replace(text, '. ', '. mail <admin@example.com> or @b c@ d@@e ')
     WHEN 3 THEN replace(text, 'e ', 'e' || chr(7) || ' ')
-    WHEN 4 THEN replace(text, '. ', ' [12]. {tpl x} [1234567] ')
+    WHEN 4 THEN 'ﬁne oﬀer ＡＢｃ… ' || replace(text, '. ', ' [12]. {tpl x} [1234567] ')
     WHEN 5 THEN replace(text, '. ', '!!!!!!!! ')
     WHEN 6 THEN replace(text, '. ', ' ( ) « ». ') || ' "" [] x'
     WHEN 7 THEN replace(replace(text, ', ', ' " " ( '), '. ', ' » ')

@@ -17,6 +17,7 @@ from textloom.plans.clean import run_clean
 from textloom.plans.extract import run_extract
 from textloom.plans.layout import Layout
 from textloom.sources import parquet_io
+from textloom.sources import catalog
 from textloom.sources.catalog import SourceSpec, builtin_sources
 from textloom.sources.manifest import load_manifest, latest_results, select_sources
 from textloom.streaming.clean_stream import clean_stream
@@ -56,7 +57,7 @@ def landed(spark, tmp_path_factory):
 
 EXTRACTED = {
     "book_summaries": 3, "chemistry_shelves": 1, "fantasy_texts": 1, "fan_fiction": 2, "poetry_lines": 2,
-    "story_pairs": 3, "stories": 4, "subtitles": 2, "toki_pona": 1, "wiki_reading": 2, "encyclopedia": 2,
+    "story_pairs": 3, "stories": 4, "subtitles": 2, "toki_pona": 1, "wiki_reading": 2, "encyclopedia": 3,
 }
 
 
@@ -86,13 +87,36 @@ def test_builtin_sources(spark, landed, tmp_path):
         ("ru", "\n".join(f"реплика номер {i}" for i in range(start, 20, 2))) for start in (0, 1)
     ]
     assert [lang for lang, _ in by("wiki_reading")] == ["en", "ru"]
-    assert by("encyclopedia") == [("en", long("article").strip()), ("ru", long("статья").strip())]
+    assert by("encyclopedia") == [("en", long("article").strip()), ("ru", long("статья").strip()), ("xx", long("artikel").strip())]
     assert by("toki_pona")[0][0] == "tok"
     manifest = {r.source: r for r in load_manifest(spark, layout.manifest).collect()}
     assert {name: r.num_records for name, r in manifest.items()} == EXTRACTED
     assert manifest["story_pairs"].languages == ["en", "ru"]
 
 
+def test_keys_do_not_depend_on_splits(spark, landed, tmp_path):
+    """The same landed files give the same records and keys, however the scan is split."""
+    found = []
+    for size in ("1000", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        layout = Layout(f"{tmp_path}/{size}")
+        try:
+            run_extract(spark, builtin_sources(), landed, layout)
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        raw = spark.read.parquet(layout.raw("text"))
+        found.append(sorted(map(tuple, raw.select("source", "doc_id", "part", "lang", "text").collect())))
+        assert raw.select("source", "doc_id", "part").distinct().count() == raw.count()
+    assert found[0] == found[1]
+    assert {row[3] for row in found[0] if row[0] == "wiki_reading"} == {"en", "ru"}
+
+
+def test_partitions_are_pruned_in_a_landed_source(spark, landed):
+    rows = catalog.landed(spark, f"{landed}/encyclopedia", "text string, lang string").where("lang = 'en'")
+    plan = rows._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(lang" in plan
+
+
 def test_debug_sources_through_all_stages(spark, tmp_path):
     layout, specs = Layout(str(tmp_path)), debug_sources()
     assert run_extract(spark, specs, "unused", layout) == {"debug_text": 8, "debug_dialogue": 7}

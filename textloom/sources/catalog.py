@@ -9,13 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom import schemas
 from textloom.functions.cleaning import py_strip
+from textloom.functions.patterns import CYRILLIC
 from textloom.operators import shaping
+from textloom.options import MIN_SOURCE_CHARS
 
 # ---------------------------------------------------------------- fixed values
 ENCYCLOPEDIA_CAPS = {
@@ -65,19 +67,38 @@ def sources_table(spark: SparkSession, specs: Iterable[SourceSpec]) -> DataFrame
 def landed(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """Scan landed Parquet files.
 
-    ``_file`` and ``_row`` give each row's fixed place, whatever the split of the
-    scan; ``_block`` groups neighbouring rows.  ``doc_id`` is only unique.
+    ``_file`` (below ``path``) and ``_row`` give each row's fixed place, whatever the split of the
+    scan; ``_block`` groups neighbouring rows.  ``doc_id`` is a 64-bit hash of the place, so samples and shuffles
+    that go by it are the same for any split, cluster and landed root.
     """
     rows = spark.read.schema(schema).parquet(path)
+    name = path.rstrip("/").rpartition("/")[2]
+    file = F.substring_index(F.col("_metadata.file_path"), f"/{name}/", -1)
+    row = F.col("_metadata.row_index")
     return rows.select(
         "*",
-        F.monotonically_increasing_id().alias("doc_id"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.row_index").alias("_row"),
-        F.floor(F.col("_metadata.row_index") / ROWS_PER_BLOCK).alias("_block"),
+        place_key(file, row).alias("doc_id"),
+        file.alias("_file"),
+        row.alias("_row"),
+        F.floor(row / ROWS_PER_BLOCK).alias("_block"),
     )
 
 
+def place_key(file: Column, row: Column) -> Column:
+    return F.xxhash64(file, row)
+
+
+def by_script(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """The default detector: the language of the prevailing script, ``ru`` or ``en``; no letters of either: ``unknown``.
+
+    For finer labels pass a trained model (``operators.langid``).
+    """
+    cyrillic = F.length(F.regexp_replace("text", rf"[^{CYRILLIC}]", ""))
+    latin = F.length(F.regexp_replace("text", "[^A-Za-z]", ""))
+    detected = F.when((cyrillic > 0) & (cyrillic >= latin), "ru").when(latin > 0, "en").otherwise("unknown")
+    return texts.withColumn("detected", detected)
+
+
 BLOCK = ["_file", "_block"]
 PLACE = ["_file", "_row"]
 
@@ -115,11 +136,10 @@ def _subtitles(spark: SparkSession, path: str) -> DataFrame:
     return _with_key(shaping.concat_groups(lines, "file_id", "text", "language", BLOCK, PLACE))
 
 
-def _wiki_reading(detector: Detector | None):
+def _wiki_reading(detector: Detector):
     def build(spark: SparkSession, path: str) -> DataFrame:
         rows = landed(spark, path, "text string").withColumn("text", py_strip(F.col("text")))
-        if detector is None:
-            return shaping.unpivot_texts(rows, {"text": "unknown"})
+        rows = rows.where(F.length("text") >= MIN_SOURCE_CHARS)
         return shaping.unpivot_texts(detector(rows, PLACE), {"text": F.col("detected")})
 
     return build
@@ -136,14 +156,15 @@ def _encyclopedia(caps: Mapping[str, int]):
 
 
 def _with_key(texts: DataFrame) -> DataFrame:
-    keyed = texts.withColumn("doc_id", F.monotonically_increasing_id()).withColumn("part", F.lit(0))
+    """The key of a joined text is the place of its first line."""
+    keyed = texts.withColumn("doc_id", place_key(F.col("start._file"), F.col("start._row"))).withColumn("part", F.lit(0))
     return keyed.select(*shaping.RECORD)
 
 
 def builtin_sources(
-    detector: Detector | None = None, encyclopedia_caps: Mapping[str, int] | None = None
+    detector: Detector = by_script, encyclopedia_caps: Mapping[str, int] | None = None
 ) -> list[SourceSpec]:
-    """All built-in sources; without a detector, texts of unlabelled sources are ``unknown``.
+    """All built-in sources; ``detector`` labels the texts of those without languages.
 
     ``encyclopedia_caps`` (``ENCYCLOPEDIA_CAPS`` holds usual ones) limits articles per language; there is no limit by default.
     """

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.llm.common import blocks, pick, stored
-from textloom.llm.tokens import crc, encoder, end_bytes, tokenizer_path
+from textloom.llm.tokens import crc, encoder, tokenizer_path
 from textloom.session import scratch_path
 
 LENGTH = 2048
@@ -149,15 +149,15 @@ def write_shards(
     shards = max(1, -(-((size["chars"] or 0) + size["n"]) // shard_chars))
     steps = [i / shards for i in range(1, shards)]
     bounds = sorted(set(rows.approxQuantile("key", steps, 0.1 / shards))) if steps and size["n"] else []
-    end = end_bytes(end_id)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = encoder(path)
         width = 2 if max(ready.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         for batch in blocks(batches, "text"):
-            ids = [x + end for x in ready.encode(batch.column("text").to_pylist())]
-            if width == 2:
-                ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
+            ids = [
+                np.append(x, np.uint32(end_id)).astype(f"<u{width}").tobytes()
+                for x in ready.encode(batch.column("text").to_pylist())
+            ]
             key = batch.column("key").to_numpy(zero_copy_only=False)
             shard = np.searchsorted(np.array(bounds, dtype=float), key, side="left")
             yield pa.RecordBatch.from_arrays(
@@ -178,7 +178,7 @@ def write_shards(
             writer.close()
             done.append((shard, f"{folder}/shard-{shard:08d}.arrow", writer.n_ids, writer.n_documents))
 
-        for batch in batches:
+        for batch in blocks(batches, "ids"):
             for number, width, doc_id, ids in zip(
                 *(batch.column(c).to_pylist() for c in ("shard", "width", "doc_id", "ids")), strict=True
             ):
@@ -230,8 +230,8 @@ def _documents_of(file: str, first: int, length: int, with_ids: bool) -> Iterato
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     def document() -> tuple:
-        ids = np.concatenate(rest).astype("<u4")
-        return (doc_id, first + start, len(ids), crc(ids.tobytes()), *([ids.astype(np.int64)] if with_ids else []))
+        ids = np.concatenate(rest)
+        return (doc_id, first + start, len(ids), crc(ids), *([ids.astype(np.int64)] if with_ids else []))
 
     for number in range(reader.num_record_batches):
         batch = reader.get_batch(number)

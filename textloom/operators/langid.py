@@ -1,4 +1,4 @@
-"""Language identification: a character-trigram model trained and applied with joins and groupings.
+"""Language identification: a character-trigram model, trained with groupings and applied within the row.
 
 Scores are sums of integers (log probabilities in millionths), so the result does
 not depend on the order in which Spark adds them up.
@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.operators.ordering import BROADCAST_ROWS
 from textloom.session import settle
@@ -57,20 +60,50 @@ def train(labelled: DataFrame) -> LanguageModel:
     return LanguageModel([t["lang"] for t in totals], table, vocabulary)
 
 
+def _codes(text: str) -> np.ndarray:
+    """Each trigram as one number: three code points of 21 bits."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+    return (points[:-2] << 42) | (points[1:-1] << 21) | points[2:]
+
+
+def _scorer(model: LanguageModel):  # noqa: ANN202
+    """A column function that labels a lower-cased text, with the whole model (a checked number of rows) in each worker."""
+    rows = model.table.where(F.length("gram") == 3).collect()
+    codes = np.array([_codes(r["gram"])[0] for r in rows], dtype=np.int64)
+    order = np.argsort(codes)
+    scores = np.array([r["scores"] for r in rows], dtype=np.int64).reshape(len(rows), len(model.languages))
+    shipped = model.table.sparkSession.sparkContext.broadcast((codes[order], scores[order], model.languages))
+
+    @F.arrow_udf(T.StringType())
+    def label(texts: pa.Array) -> pa.Array:
+        known, table, languages = shipped.value
+
+        def best(text: str | None) -> str:
+            if text is None or len(text) < 3 or not len(known):
+                return UNKNOWN
+            found = _codes(text)
+            at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+            at = at[known[at] == found]
+            # argmax takes the first of equals, and languages stand in order of their names
+            return languages[int(table[at].sum(axis=0).argmax())] if len(at) else UNKNOWN
+
+        return pa.array(map(best, texts.to_pylist()), pa.string())
+
+    return label
+
+
 def detect(docs: DataFrame, model: LanguageModel, keys: list[str]) -> DataFrame:
     """``docs`` with ``detected``: the best language, ``unknown`` if no trigram is in the model.
 
-    A model within the size bound is broadcast: every trigram is scored where it
-    is, and only one row of sums per text and task is shuffled.  A larger model meets the
-    trigrams in a shuffle join, after they were counted per text.
+    A model within the size bound goes to every worker and texts are scored in place: no row
+    moves.  A larger model meets the trigrams in a shuffle join, after they were counted per text.
     """
     if not model.languages:
         return docs.withColumn("detected", F.lit(UNKNOWN))
-    grams = docs.select(*keys, F.explode(trigrams(F.col("text"))).alias("gram"))
     if model.grams <= BROADCAST_ROWS:
-        scored = grams.withColumn("n", F.lit(1)).join(F.broadcast(model.table), "gram")
-    else:
-        scored = grams.groupBy(*keys, "gram").agg(F.count("*").alias("n")).join(model.table, "gram")
+        return docs.withColumn("detected", _scorer(model)(F.lower("text")))
+    grams = docs.select(*keys, F.explode(trigrams(F.col("text"))).alias("gram"))
+    scored = grams.groupBy(*keys, "gram").agg(F.count("*").alias("n")).join(model.table, "gram")
     sums = scored.groupBy(*keys).agg(
         *[F.sum(F.col("n") * F.col("scores")[i]).alias(f"_s{i}") for i in range(len(model.languages))]
     )

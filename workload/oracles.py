@@ -462,20 +462,26 @@ SELECT * FROM sources WHERE source NOT IN (SELECT source FROM manifest WHERE r =
         select="""
 SELECT source, 'cleaning' AS stage, CAST(ok AS INTEGER) AS ok, num_records, languages FROM manifest WHERE r = 2""",
     ),
+    # the half of a document is the first character of its keys; a model's keys carry the other half
     "lang_detect": """
 WITH grams AS (
-  SELECT doc_id, lang, substr(low, CAST(i AS BIGINT), 3) AS gram
-  FROM (SELECT doc_id, lang, lower(text) AS low FROM documents), unnest(range(1, length(low) - 1)) AS w(i)),
-counts AS (SELECT lang, gram, count(*) AS n FROM grams GROUP BY lang, gram),
-totals AS (SELECT lang, sum(n) AS total FROM counts GROUP BY lang),
-vocabulary AS (SELECT DISTINCT gram FROM counts),
+  SELECT doc_id, lang, doc_id % 2 AS half,
+    unnest(list_transform(range(1, len(cs) - 1), lambda i: cs[i] || cs[i + 1] || cs[i + 2])) AS gram
+  FROM (SELECT doc_id, lang, regexp_extract_all(lower(text), '(?s).') AS cs FROM documents)),
+counts AS (
+  SELECT half, lang, gram, CAST(half AS VARCHAR) || lang || '|' || gram AS key, count(*) AS n FROM grams GROUP BY half, lang, gram),
+totals AS (SELECT half, lang, sum(n) AS total FROM counts GROUP BY half, lang),
+vocabulary AS (SELECT DISTINCT half, gram FROM counts),
+sizes AS (SELECT half, count(*) AS v FROM vocabulary GROUP BY half),
 model AS (
-  SELECT t.lang, v.gram, CAST(floor(ln(CAST(coalesce(c.n, 0) + 1 AS DOUBLE)
-    / CAST(t.total + (SELECT count(*) FROM vocabulary) AS DOUBLE)) * 1000000) AS BIGINT) AS score
-  FROM vocabulary v CROSS JOIN totals t LEFT JOIN counts c ON c.lang = t.lang AND c.gram = v.gram),
-doc_grams AS (SELECT doc_id, gram, count(*) AS n FROM grams GROUP BY doc_id, gram),
+  SELECT CAST(1 - v.half AS VARCHAR) || v.gram AS key, t.lang, CAST(floor(ln(CAST(coalesce(c.n, 0) + 1 AS DOUBLE)
+    / CAST(t.total + z.v AS DOUBLE)) * 1000000) AS BIGINT) AS score
+  FROM vocabulary v JOIN totals t ON t.half = v.half JOIN sizes z ON z.half = v.half
+  LEFT JOIN counts c ON c.key = CAST(v.half AS VARCHAR) || t.lang || '|' || v.gram),
+doc_grams AS (
+  SELECT doc_id, CAST(any_value(half) AS VARCHAR) || gram AS key, count(*) AS n FROM grams GROUP BY doc_id, gram),
 scores AS (
-  SELECT doc_id, m.lang, sum(n * score) AS score FROM doc_grams JOIN model m USING (gram) GROUP BY doc_id, m.lang),
+  SELECT doc_id, m.lang, sum(n * score) AS score FROM doc_grams JOIN model m ON m.key = doc_grams.key GROUP BY doc_id, m.lang),
 best AS (SELECT doc_id, lang FROM scores QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) = 1)
 SELECT d.doc_id, coalesce(b.lang, 'unknown') AS detected FROM documents d LEFT JOIN best b USING (doc_id)""",
 }

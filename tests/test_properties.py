@@ -103,6 +103,13 @@ def test_concat_runs(spark, seed, buckets):
     assert sorted((r.start["at"], r.book, r.text) for r in got.collect()) == brute_runs(lines, 10)
 
 
+def test_lines_without_a_group_stay_in_their_bucket(spark):
+    rows = [(i, i // 10, None, f"line {i}", "en") for i in range(40)]
+    df = spark.createDataFrame(rows, "at int, _b int, key string, line string, lang string")
+    got = shaping.concat_groups(df.repartition(3), "key", "line", "lang", ["_b"], ["at"], min_chars=1).collect()
+    assert sorted(r.text.count("\n") + 1 for r in got) == [10] * 4
+
+
 def test_concat_groups_spreads_a_hot_group(spark):
     rows = [(at, key, "en" if at % 2 else "de", f" {at} ") for at, key in skewed(3, 240)]
     df = ordering.range_bucket(spark.createDataFrame(rows, "at long, key string, lang string, line string"), "at", "_b", 8)

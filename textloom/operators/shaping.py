@@ -150,7 +150,8 @@ def concat_groups(
     """Join all lines of a group in order; the language is that of its first non-blank line.
 
     Returns ``(start, group, lang, text)``.  Lines are joined per bucket first, so
-    a large group is spread over its buckets.
+    a large group is spread over its buckets.  Lines without an id are no group: they are only joined
+    within their bucket, so however many there are they never meet in one row.
     """
     lines = _stripped_lines(lines, text).withColumn("_at", F.struct(*order))
     parts = lines.groupBy(group, *buckets).agg(
@@ -158,12 +159,13 @@ def concat_groups(
         F.min_by(F.struct(F.col(lang).alias("lang")), "_at").alias("_lang"),
         _ordered_text(["_at"], text, separator).alias("_joined"),
     )
-    joined = parts.groupBy(group).agg(
+    apart = F.when(F.col(group).isNull(), F.struct(*buckets)).alias("_apart")
+    joined = parts.groupBy(group, apart).agg(
         F.min("_at").alias("start"),
         F.min_by("_lang", "_at")["lang"].alias("lang"),
         _ordered_text(["_at"], "_joined", separator).alias("text"),
     )
-    return joined.where(F.length("text") >= min_chars)
+    return joined.drop("_apart").where(F.length("text") >= min_chars)
 
 
 def keep_first_by_hash(df: DataFrame, text: str, order: list[str]) -> DataFrame:

@@ -108,16 +108,24 @@ class QualityModel:
 
 def fit_linear(x: np.ndarray, y: np.ndarray, weights: np.ndarray, penalty: float, steps: int = 200) -> Linear:
     """By accelerated gradient descent; one pass over the sample per step."""
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
-    design = np.hstack([np.ones((len(x), 1)), (x - mean) / scale])
-    weights = weights / weights.sum()
+    mean, scale = x.mean(axis=0, dtype=np.float64), x.std(axis=0, dtype=np.float64) + 1e-3
+    design = np.ones((len(x), x.shape[1] + 1), dtype=np.float32)  # the largest thing the driver holds
+    np.subtract(x, mean, out=design[:, 1:], casting="same_kind")
+    design[:, 1:] /= scale
+    weights = (weights / weights.sum()).astype(np.float32)
     ridge = np.full(design.shape[1], penalty)
     ridge[0] = 0
-    spectral = np.linalg.norm(design.T @ (design * weights[:, None]), 2)
-    rate = 1.0 / (0.25 * spectral + penalty)
+    # the largest eigenvalue of the weighted design by power iteration, with some room
+    vector = np.ones(design.shape[1], dtype=np.float32)
+    for _ in range(30):
+        vector = design.T @ (weights * (design @ vector))
+        spectral = float(np.linalg.norm(vector))
+        vector /= max(spectral, 1e-12)
+    rate = 1.0 / (0.3 * spectral + penalty)
     beta = look = np.zeros(design.shape[1])
     for step in range(steps):
-        gradient = design.T @ (weights * (sigmoid(design @ look) - y)) + ridge * look
+        wrong = weights * (sigmoid(design @ look.astype(np.float32)) - y)
+        gradient = design.T @ wrong.astype(np.float32) + ridge * look
         following = look - rate * gradient
         look = following + step / (step + 3) * (following - beta)
         beta = following
@@ -137,6 +145,7 @@ def co_train(
         for v in (0, 1):
             x, t, w = (np.concatenate(part) for part in zip(*given[v], strict=True))
             models[v] = fit_linear(x, t, w, penalty=1e-3)
+            del x
         if round_ == rounds:
             break
         for v in (0, 1):
@@ -173,11 +182,11 @@ def _sample_views(texts: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
                 [batch.column("place"), batch.column("label"), pa.array(made, pa.binary())], ["place", "label", "views"]
             )
 
-    rows = texts.mapInArrow(run, "place long, label int, views binary").toPandas()
-    rows = rows.sort_values(["place", "views"], kind="stable")
-    width = HASHED + 3
-    x = np.frombuffer(b"".join(rows["views"]), dtype=np.float16).reshape(len(rows), -1).astype(np.float32)
-    return [x[:, :width], x[:, width:]], rows["label"].to_numpy()
+    rows = texts.mapInArrow(run, "place long, label int, views binary").toArrow()
+    rows = rows.sort_by([("place", "ascending"), ("label", "ascending")])
+    width, label = HASHED + 3, rows.column("label").to_numpy()
+    x = np.stack([np.frombuffer(v.as_py(), dtype=np.float16) for v in rows.column("views")]) if len(label) else np.zeros((0, width + 1), np.float16)
+    return [x[:, :width].astype(np.float32), x[:, width:].astype(np.float32)], label
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, pool_rows: int = 4000, rounds: int = 3) -> QualityModel:

@@ -106,7 +106,8 @@ def template_verdicts(counts: DataFrame, options: TreeOptions = TreeOptions(), l
             .otherwise("*")
         )
         chosen = kids.join(nodes, node).select(*node, name, branch.alias(f"b{d}"))
-        rows = rows.join(chosen, [*node, name])
+        # every level reads the one before several times: written, it is worked out once
+        rows = stored(rows.join(chosen, [*node, name]), "url-level")
     branches = [f"b{d}" for d in range(1, levels + 1)]
     purity = (F.sum("bad") + options.weight * prior) / (F.sum("labelled") + options.weight)
     judged = rows.groupBy("host", *branches).agg(purity.alias("purity"), F.sum("labelled").alias("known"))

@@ -18,8 +18,8 @@ from functools import lru_cache
 import numpy as np
 
 SLOTS = 1 << 20  # pairs of cache places
-POOL_IDS = 6_000_000
-LONG_WORDS = 50_000
+POOL_IDS = 12_000_000
+LONG_WORDS = 100_000
 TOKENIZER = "word_bpe_49k.json"
 MARKS = b".,!?*#$%&|;:"
 

@@ -22,7 +22,9 @@ from textloom.llm import (
     toxicity,
     url_templates,
 )
+from textloom.llm.common import stored, with_place
 from textloom.llm.tokens import WordEncoder, tokenizer_path
+from textloom.session import scratch_path
 
 
 # ------------------------------------------------------------------ tokens
@@ -70,6 +72,50 @@ def test_packing_special_cases(spark):
     assert packing.pack_documents(no_documents(spark)).collect() == []
 
 
+def test_packing_follows_the_mix(spark):
+    random.seed(8)
+    sources = ["a"] * 300 + ["b"] * 300
+    random.shuffle(sources)
+    given = [(i, " ".join(["the"] * random.choice([3, 9, 20, 50, 150])), s) for i, s in enumerate(sources)]
+    docs = spark.createDataFrame(given, "doc_id long, text string, source string")
+    weights = spark.createDataFrame([("a", 3), ("b", 1)], "source string, weight int")
+    mixed = mixing_pfair.mixed(docs, weights, block_rows=5)
+    # from the stored files and straight from the plan
+    for table in (stored(mixed, "mixed"), mixed):
+        order = [r["doc_id"] for r in mixed.collect()]
+        packed = packing.pack_documents(table, size=64, group_rows=80).toPandas().sort_values(["sequence_id", "offset"])
+        assert len(packed) == sum(-(-(len(t.split()) + 1) // 64) for _, t, _ in given)
+        assert packed.groupby("sequence_id")["length"].sum().max() <= 64
+        # three parts of "a" to one of "b" until "a" runs out
+        is_a = np.array([sources[i] == "a" for i in packed["doc_id"]])
+        tokens = packed["length"].to_numpy()
+        at = tokens.cumsum() / tokens.sum()
+        for low, high in ((0, 0.3), (0.3, 0.6)):
+            part = (at > low) & (at <= high)
+            assert 0.65 <= tokens[part & is_a].sum() / tokens[part].sum() <= 0.85
+        assert not is_a[at > 0.85].any()
+        # groups are consecutive ranges: no piece is further from its place than a group and its last run
+        place = {doc: i for i, doc in enumerate(order)}
+        drift = [abs(place[doc] - i * len(order) / len(packed)) for i, doc in enumerate(packed["doc_id"])]
+        assert max(drift) < 120
+
+
+def test_order_of_stored_files(spark):
+    df = spark.range(1000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), F.col("id").cast("int") % 300).alias("text"))
+    sizes = [3, 400, 5, 300, 292]  # the scan takes large files first
+    path, at = scratch_path(spark, "order"), 0
+    for number, n in enumerate(sizes):
+        part = df.where(F.col("doc_id").between(at, at + n - 1)).coalesce(1).sortWithinPartitions("doc_id")
+        part.write.parquet(f"{path}/{number}")
+        at += n
+    read = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    for table in (read, read.where("doc_id % 3 = 0"), df, read.orderBy(F.desc("doc_id"))):
+        rows_ = with_place(table).orderBy("place_file", "place_row").collect()
+        ids = [r["doc_id"] for r in rows_]
+        assert ids == [r["doc_id"] for r in table.orderBy("doc_id").collect()][:: -1 if ids[0] > ids[-1] else 1]
+    assert ids[0] == 999
+
+
 # ------------------------------------------------------------ Arrow output
 def test_arrow_files_special_cases(spark, tmp_path):
     shards = arrow_output.write_shards(odd_documents(spark), length=32, shard_chars=100_000, folder=f"file://{tmp_path}/out")

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +62,36 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_place(df: DataFrame) -> DataFrame:
+    """``df`` with ``place_file`` and ``place_row``, which rise in the order of its rows.
+
+    For a scan of Parquet files that is the order they were written in: part number and row in the file, whatever
+    the split of the scan.  Any other table has the order of its partitions.
+    """
+    if _is_scan(df):
+        try:
+            stored_at = df.metadataColumn("_metadata")
+            path = stored_at["file_path"]
+            name = F.substring_index(path, "/", -1)
+            number = F.lpad(F.regexp_extract(name, "^part-([0-9]+)", 1), 10, "0")
+            folder = F.substring(path, F.lit(1), F.length(path) - F.length(name))
+            file = F.concat(folder, number, F.lit(" "), name)
+            return df.select("*", file.alias("place_file"), stored_at["row_index"].alias("place_row"))
+        except AnalysisException:  # files without row numbers
+            pass
+    place = F.monotonically_increasing_id()  # partition and row in it
+    file = F.lpad(F.shiftright(place, 33).cast("string"), 10, "0")
+    return df.select("*", file.alias("place_file"), place.bitwiseAND(F.lit((1 << 33) - 1)).alias("place_row"))
+
+
+def _is_scan(df: DataFrame) -> bool:
+    """Whether ``df`` reads files and at most filters rows and picks columns, so that places in the files tell its order."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.child()
+    return node.getClass().getSimpleName() == "LogicalRelation"
+
+
 def blocks(batches: Iterator[pa.RecordBatch], column: str, size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches whose ``column`` holds about ``size`` bytes (one row at least)."""
     for batch in batches:

@@ -1,14 +1,18 @@
 """Best-fit packing of documents into sequences of a fixed number of tokens.
 
 Documents are cut only where they are longer than a sequence; the last piece may be
-shorter.  Full pieces are sequences of their own.  All other pieces are dealt by a hash
-of their place in the table into groups of about ``group_rows`` pieces, and each group is packed by
+shorter.  Full pieces are sequences of their own.  Pieces are dealt to groups of about ``group_rows``
+by consecutive ranges of the order of the documents, and each group is packed by
 best-fit decreasing: pieces go from the longest to the shortest, each into the open
 sequence with the least room that still holds it.  The sequences are leaves of a segment
 tree over remaining room, so a step takes logarithmic time.  A group leaves
 at most one sequence less filled than it could be, which is some
 ``1 / group_rows`` of all; groups are independent, so no task sees more than one.
 
+``sequence_id`` follows the order of the documents, so a mix of sources stays a mix: groups are numbered one after
+the other, and in a group the sequences stand in the order of their longest pieces.  The pieces that fill the rest of a
+sequence come from anywhere in the group.  The ids rise, but leave gaps between groups.
+
 Defined cases: a null text is empty and holds the end id only; repeated rows are packed
 once each; a null ``doc_id`` is packed like any other; an empty table gives no rows.
 """
@@ -20,15 +24,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import blocks, pick, stored
+from textloom.llm.common import blocks, pick, stored, with_place
 from textloom.llm.tokens import crc, encoder, tokenizer_path
 
 SEQUENCE_TOKENS = 2048
 GROUP_ROWS = 50_000
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, place_file string, place_row long"
+PLACE = ["place_file", "place_row"]
 
 
 class RoomTree:
@@ -92,50 +97,66 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = encoder(path)
         for batch in blocks(batches, "text"):
-            rows = []
-            for doc, ids in zip(
-                batch.column("doc_id").to_pylist(), ready.encode(batch.column("text").to_pylist()), strict=True
+            rows, source = [], []
+            for i, (doc, ids) in enumerate(
+                zip(batch.column("doc_id").to_pylist(), ready.encode(batch.column("text").to_pylist()), strict=True)
             ):
                 ids = np.append(ids, np.uint32(end_id))
                 for piece, at in enumerate(range(0, len(ids), size)):
                     part = ids[at : at + size]
                     rows.append((doc, piece, at, len(part), crc(part)))
+                    source.append(i)
             columns = list(zip(*rows, strict=True))
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "ids_crc32"])
+            places = [batch.column(c).take(pa.array(source)) for c in PLACE]
+            yield pa.RecordBatch.from_arrays(
+                [*arrays, *places], ["doc_id", "piece", "start", "length", "ids_crc32", *PLACE]
+            )
 
-    return pick(docs, doc_id="long", text="string").mapInArrow(cut, PIECES)
+    return with_place(pick(docs, doc_id="long", text="string")).mapInArrow(cut, PIECES)
 
 
 def pack(pieces: DataFrame, size: int = SEQUENCE_TOKENS, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; needs ``doc_id``, ``piece`` and ``length`` and keeps all columns.
 
-    ``pieces`` is used twice and should be cheap to read (a table or a checkpoint).
+    The order of the documents is that of ``place_file`` and ``place_row``, which are dropped; without them it
+    is the order of the rows.  ``pieces`` is used twice and should be cheap to read (a table or a checkpoint).
     """
-    short = pieces.where(F.col("length") < size)
-    groups = max(1, -(-short.count() // group_rows))
-    # dealt by the place in the stored table, so that even repeated rows spread evenly
-    place = F.xxhash64(F.monotonically_increasing_id())
-    # a full piece is a sequence of its own; its negative number is its place in the stored table
-    full = pieces.where(F.col("length") >= size).select(
-        "*",
-        (-1 - F.monotonically_increasing_id()).alias("sequence_id"),
-        F.lit(0).cast("long").alias("offset"),
+    if not set(PLACE) <= set(pieces.columns):
+        pieces = with_place(pieces)
+    # runs of neighbouring documents exchange one summary row each
+    run = F.floor(F.col("place_row") / max(1, group_rows // 32))
+    placed = pieces.withColumn("_run", run)
+    counts = stored(placed.groupBy("place_file", "_run").agg(F.count("*").alias("_n")), "pack-runs")
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    groups = max(1, -(-total // group_rows))
+    before = Window.orderBy("place_file", "_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = counts.select("place_file", "_run", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    dealt = placed.join(runs, ["place_file", "_run"]).withColumn(
+        "_group", F.expr(f"cast(_before * {groups} div {max(1, total)} as int)")
     )
-    dealt = short.withColumn("_group", F.pmod(place, F.lit(groups)).cast("int"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
+    kept = [f for f in pieces.schema.fields if f.name not in PLACE]
+    names = [f.name for f in kept]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
 
     def fill(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
-        number, offset = best_fit_decreasing(group["length"].to_numpy(), size)
-        out = group.drop(columns="_group")
-        out["sequence_id"] = number * groups + int(group["_group"].iloc[0])
+        group = group.sort_values(["_before", "place_row", "piece"], kind="stable")
+        length = group["length"].to_numpy()
+        number, offset = best_fit_decreasing(length, size)
+        # a sequence stands where its longest piece does, the first one it got
+        order = np.argsort(-length, kind="stable")
+        opener = order[np.unique(number[order], return_index=True)[1]]
+        rank = np.empty(len(opener), dtype=np.int64)
+        rank[np.argsort(opener)] = np.arange(len(opener))
+        out = group[names].copy()
+        # a group has no more sequences than pieces, so ids of groups do not meet
+        out["sequence_id"] = int(group["_before"].iloc[0]) + rank[number]
         out["offset"] = offset
         return out
 
-    packed = dealt.groupBy("_group").applyInPandas(fill, f"{schema}, sequence_id long, offset long")
-    return packed.unionByName(full.select(*packed.columns))
+    wanted = dealt.select(*names, "_before", "place_row", "_group")
+    return wanted.groupBy("_group").applyInPandas(fill, f"{schema}, sequence_id long, offset long")
 
 
 def pack_documents(

@@ -413,3 +413,13 @@ def test_templates_generalise_and_reject(spark):
     assert got[3] == ("/spam/{n}.html", "block")
     assert got[103] == ("/news/{n}", "allow")
     assert got[1000] == got[1059] == ("/u/*/{n}", "allow")
+
+
+def test_a_bad_directory_among_many_keeps_its_branch(spark):
+    pages = [(i, f"http://h.org/{chr(97 + i % 30 // 26)}{chr(97 + i % 30 % 26)}/{i}") for i in range(3000)]
+    labels = [(i, int(i % 30 == 7)) for i in range(3000)]
+    made = spark.createDataFrame(pages, "page_id long, url string")
+    found = url_templates.judge_urls(made, (), spark.createDataFrame(labels, "key long, bad int")).collect()
+    got = {r["page_id"]: (r["template"], r["verdict"]) for r in found}
+    assert {got[i] for i in range(3000) if i % 30 == 7} == {("/ah/{n}", "block")}
+    assert {got[i] for i in range(3000) if i % 30 != 7} == {("/*/{n}", "allow")}

@@ -7,8 +7,8 @@ with the rule's; the longest fitting rule decides.
 Other URLs are judged by the template of their path.  Segments lose their numbers first (``page12.html`` is
 ``page{n}.html``).  Then, level by level from the root of each host:
 
-* a node with many children of which none stands out is variable: all of them become one wildcard;
-* a child whose share of bad labels differs significantly from its node's keeps a branch of its own;
+* a child whose share of bad labels differs significantly from its node's keeps a branch of its own, however many
+  children the node has;
 * all other children, statistically alike, are merged into one wildcard branch (an only child keeps its name).
 
 A template is blocked if its share of bad labels, smoothed towards the share of all, reaches a threshold; one
@@ -47,8 +47,8 @@ class Rule(NamedTuple):
 
 
 class TreeOptions(NamedTuple):
-    many: int = 20  # children from which on a node may be variable
-    stands_out: float = 0.05  # share of a node's pages that makes a child stand out
+    many: int = 20  # SQL counterpart only: children from which on a node may be variable
+    stands_out: float = 0.05  # SQL counterpart only: share of a node's pages that makes a child stand out
     least: int = 5  # labels a branch of its own needs
     z: float = 3.0  # how far its share must differ, in standard errors
     weight: float = 8.0  # labels that the share of all counts for in smoothing
@@ -87,21 +87,17 @@ def template_verdicts(counts: DataFrame, options: TreeOptions = TreeOptions(), l
     prior = (total["bad"] / total["labelled"]) if total["labelled"] else 0.0
     for d, name in enumerate(names, 1):
         node = ["host", *[f"b{i}" for i in range(1, d)]]
-        kids = rows.groupBy(*node, name).agg(*[F.sum(c).alias(f"c_{c}") for c in ("n", "labelled", "bad")])
+        kids = rows.groupBy(*node, name).agg(*[F.sum(c).alias(f"c_{c}") for c in ("labelled", "bad")])
         nodes = kids.groupBy(*node).agg(
-            F.count("*").alias("kids"),
-            F.max("c_n").alias("top"),
-            *[F.sum(f"c_{c}").alias(f"t_{c}") for c in ("n", "labelled", "bad")],
+            F.count("*").alias("kids"), *[F.sum(f"c_{c}").alias(f"t_{c}") for c in ("labelled", "bad")]
         )
         share = F.col("t_bad") / F.greatest(F.col("t_labelled"), F.lit(1))
         error = F.sqrt(share * (1 - share) / F.greatest(F.col("c_labelled"), F.lit(1)))
         apart = (F.col("c_labelled") >= options.least) & (
             F.abs(F.col("c_bad") / F.greatest(F.col("c_labelled"), F.lit(1)) - share) > options.z * error
         )
-        variable = (F.col("kids") > options.many) & (F.col("top") < options.stands_out * F.col("t_n"))
         branch = (
             F.when(F.col(name) == "", "")
-            .when(variable, "*")
             .when((F.col("kids") == 1) | apart, F.col(name))
             .otherwise("*")
         )

@@ -44,6 +44,18 @@ def test_words_encode_like_whole_texts():
             assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in part]
 
 
+def test_case_is_folded_in_plain_words_only():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    # only the lower-case letter has a composed form, and the tokenizer composes before it folds
+    marked = ["H\u0331", "T\u0308", "W\u030a", "Y\u030a", "J\u030c"]
+    texts = [*marked, *map(str.lower, marked), "Ba" + marked[0] + "T and THE Word " + marked[4] + "OB " + marked[4].lower() + "ob", "The WORD", LONG]
+    assert any(plain.encode(m).ids != plain.encode(m.lower()).ids for m in marked)
+    got = [ids.tolist() for ids in WordEncoder(tokenizer_path(), 1 << 12, 100_000).encode(texts)]
+    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 # ----------------------------------------------------------------- packing
 def test_best_fit_takes_the_tightest_bin():
     random.seed(5)

@@ -2,7 +2,8 @@
 
 The tokenizer never joins characters across ASCII white space: it drops white space
 and its pieces hold none.  So the ids of a text are the ids of its words in a row, and only
-words that were not seen lately have to be encoded.  Words are looked up for a whole block of texts at
+words that were not seen lately have to be encoded.  Words of plain ASCII are looked up in lower case, as the
+tokenizer folds them; all others as they are.  Words are looked up for a whole block of texts at
 once, in arrays: a word of up to 16 bytes is told exactly by its length, its first and its last eight bytes;
 longer ones go through a dictionary.  The cache is bounded, and what it forgets changes no result.
 """
@@ -41,6 +42,25 @@ def little_endian(ids: list[int]) -> array:
     return packed
 
 
+def _framed(texts: list[bytes]) -> bytes:
+    return b" " * 8 + b"\n".join(texts) + b"\n" + b" " * 8
+
+
+def _case_restored(lower: bytes, given: bytes, starts: np.ndarray) -> bytes:
+    """``lower`` with the given case in words that are not plain ASCII.
+
+    The tokenizer composes characters before it folds case: where only the lower-case letter has a composed
+    form (h, j, t, w or y and a mark), the case decides the ids.
+    """
+    out, old = np.frombuffer(lower, dtype=np.uint8).copy(), np.frombuffer(given, dtype=np.uint8)
+    wide = np.zeros(len(starts), dtype=bool)
+    wide[np.searchsorted(starts, np.flatnonzero(out >= 0x80), side="right") - 1] = True
+    folded = np.flatnonzero(out != old)
+    back = folded[wide[np.searchsorted(starts, folded, side="right") - 1]]
+    out[back] = old[back]
+    return out.tobytes()
+
+
 class WordEncoder:
     """Ids of texts as arrays of unsigned 32-bit numbers."""
 
@@ -64,12 +84,15 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         # upper and lower case share a place, but a text that may name a special token keeps its case
-        data = [(raw if b"<|" in raw else raw.lower()) for raw in ((t or "").encode() for t in texts)]
-        joined = b" " * 8 + b"\n".join(data) + b"\n" + b" " * 8
+        given = [(t or "").encode() for t in texts]
+        data = [(raw if b"<|" in raw else raw.lower()) for raw in given]
+        joined = _framed(data)
         whole = np.frombuffer(joined, dtype=np.uint8)
         space = SPACE[whole]
         starts = np.flatnonzero(~space[1:] & space[:-1]) + 1
         ends = np.flatnonzero(space[1:] & ~space[:-1]) + 1
+        if not joined.isascii():
+            joined = _case_restored(joined, _framed(given), starts)
         at, count = self._find(joined, starts, ends)
         total = np.concatenate([[0], np.cumsum(count)])
         ids = self.pool[np.repeat(at - total[:-1], count) + np.arange(total[-1])].astype("<u4")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import arrow_output, cotraining, cross_polytope, impact_index, mixing_pfair, ngram_jaccard, packing, recompression, reply_trees, toxicity, url_templates
+from textloom.llm import arrow_output, cotraining, cross_polytope, fp_tree, impact_index, mixing_pfair, ngram_jaccard, packing, recompression, reply_trees, toxicity, url_templates
 from textloom.llm.common import pick, stored, table
 
 
@@ -88,6 +88,10 @@ def op11_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.remove_repeats(table(spark, sf_dir, "documents"), window=50, with_text=False)
 
 
+def op13_fp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fp_tree.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 PAGE_LABELS_SQL = """SELECT doc_id AS key,
   CASE WHEN quality = 0 OR toxic = 1 THEN 1 WHEN quality IS NOT NULL THEN 0 END AS bad FROM labels"""
 
@@ -103,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_impact_index": op9_impact_index,
     "op10_url_templates": op10_url_templates,
     "op11_recompression": op11_recompression,
+    "op13_fp_tree": op13_fp_tree,
 }
 
 ORACLES: dict[str, str] = {
@@ -111,4 +116,5 @@ ORACLES: dict[str, str] = {
     "op9_impact_index": impact_index.oracle("embeddings", "embedding", "{} % 20 = 0"),
     "op10_url_templates": url_templates.oracle(URL_RULES, PAGE_LABELS_SQL),
     "op11_recompression": recompression.ORACLE,
+    "op13_fp_tree": fp_tree.ORACLE,
 }

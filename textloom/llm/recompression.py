@@ -212,42 +212,54 @@ class Shipment:
         yield from self.packed(None, owner[done], places[done], owners)
 
     def packed(self, names: np.ndarray | None, owner: np.ndarray, places: np.ndarray, owners: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not len(owner):
-            return
-        if names is None:
-            bucket = mix(owner.astype(U64)) % U64(self.buckets)
-        else:
-            bucket = mix(names[:, 0]) % U64(self.buckets)
-        order = np.lexsort((places, owner, bucket))
-        bucket, owner, places = bucket[order], owner[order], places[order]
-        by_bucket, by_owner = _runs(bucket), _runs(bucket, owner)
-        owner_cuts = np.searchsorted(by_owner, by_bucket)
-        columns = [
-            pa.array(bucket[by_bucket[:-1]].astype(np.int64)),
-            _binary(owners[owner[by_owner[:-1]]], owner_cuts),
-            _binary(np.diff(by_owner).astype(np.int32), owner_cuts),
-            pa.nulls(len(by_bucket) - 1, pa.binary()) if names is None else _binary(names[order].view(f"V{8 * names.shape[1]}").ravel(), by_bucket),
-            _binary(places.astype(np.int32), by_bucket),
-        ]
-        batch = pa.RecordBatch.from_arrays(columns, ["bucket", "owners", "counts", "names", "places"])
+        bucket = mix(owner.astype(U64) if names is None else names[:, 0]) % U64(self.buckets)
+        batch = _packed(bucket.astype(np.int64), names, owner, places, owners)
         for start in range(0, batch.num_rows, 1000):
             yield batch.slice(start, 1000)
 
 
+def _packed(bucket: np.ndarray, names: np.ndarray | None, owner: np.ndarray, places: np.ndarray, owners: np.ndarray) -> pa.RecordBatch:
+    """One row per bucket, see ``SHIPPED``; ``counts`` says how many entries each of the row's owners has."""
+    order = np.lexsort((places, owner, bucket))
+    bucket, owner, places = bucket[order], owner[order], places[order]
+    by_bucket, by_owner = _runs(bucket), _runs(bucket, owner)
+    owner_cuts = np.searchsorted(by_owner, by_bucket)
+    columns = [
+        pa.array(bucket[by_bucket[:-1]]),
+        _binary(owners[owner[by_owner[:-1]]], owner_cuts),
+        _binary(np.diff(by_owner).astype(np.int32), owner_cuts),
+        pa.nulls(len(by_bucket) - 1, pa.binary()) if names is None else _binary(names[order].view(f"V{8 * names.shape[1]}").ravel(), by_bucket),
+        _binary(places.astype(np.int32), by_bucket),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "owners", "counts", "names", "places"])
+
+
 def _unpacked(table: pa.Table, wide: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(names, owner, places, owners) of rows of one kind."""
     read = lambda column, kind: np.frombuffer(b"".join(x or b"" for x in table.column(column).to_pylist()), dtype=kind)
     owners, counts = read("owners", OWNER), read("counts", np.int32)
-    names = read("names", U64).reshape(-1, 2 if wide else 1)
+    names = read("names", U64).reshape(-1, 2 if wide else 1) if "names" in table.column_names else None
     return names, np.repeat(np.arange(len(owners)), counts), read("places", np.int32), owners
 
 
+def _owner_keys(owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    halves = np.ascontiguousarray(owners["key"]).view(U64).reshape(-1, 2)
+    return halves[:, 0], halves[:, 1]
+
+
 def _settled(owner: np.ndarray, places: np.ndarray, owners: np.ndarray) -> pa.Table:
+    """One row per owner with all its places."""
+    high, low = _owner_keys(owners)
+    order = np.lexsort((low, high, owners["id"]))
+    cuts = _runs(owners["id"][order], high[order], low[order])
+    number = np.empty(len(owners), dtype=np.int64)
+    number[order] = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+    who = owners[order[cuts[:-1]]]
+    owner = number[owner]
     order = np.argsort(owner, kind="stable")
-    owner, places = owner[order], places[order]
-    cuts = _runs(owner)
-    who = owners[owner[cuts[:-1]]]
-    return pa.table({"id": who["id"].copy(), "key": _binary(who["key"].copy(), np.arange(len(who) + 1)), "places": _binary(places, cuts)})
+    places = places[order].astype(np.int32)
+    ends = np.searchsorted(owner[order], np.arange(len(who) + 1))
+    return pa.table({"id": who["id"].copy(), "key": _binary(who["key"].copy(), np.arange(len(who) + 1)), "places": _binary(places, ends)})
 
 
 def _by_name(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -264,8 +276,7 @@ def _several(first: np.ndarray, values: list[np.ndarray]) -> np.ndarray:
 def share_in_block(names: np.ndarray, owners: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Names of several classes are shared whatever else there is; one marked entry tells their bucket so."""
     first, run = _by_name(names)
-    key = np.ascontiguousarray(owners["key"]).view(U64).reshape(-1, 2)[owner]
-    shared = _several(first, [key[:, 0], key[:, 1]])[run]
+    shared = _several(first, [half[owner] for half in _owner_keys(owners)])[run]
     mark = np.zeros(len(owner), dtype=bool)
     mark[first] = shared[first]
     return np.flatnonzero(shared), np.flatnonzero(~shared | mark), mark
@@ -273,9 +284,8 @@ def share_in_block(names: np.ndarray, owners: np.ndarray, owner: np.ndarray) ->
 
 def share_in_bucket(names: np.ndarray, owners: np.ndarray, owner: np.ndarray, places: np.ndarray) -> np.ndarray:
     first, run = _by_name(names)
-    key = np.ascontiguousarray(owners["key"]).view(U64).reshape(-1, 2)[owner]
     told = np.minimum.reduceat(places, first) < 0
-    return (told | _several(first, [key[:, 0], key[:, 1]]))[run] & (places >= 0)
+    return (told | _several(first, [half[owner] for half in _owner_keys(owners)]))[run] & (places >= 0)
 
 
 def cover_in_block(names: np.ndarray, owners: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -292,31 +302,37 @@ def cover_in_bucket(names: np.ndarray, owners: np.ndarray, owner: np.ndarray, pl
     return ids > np.minimum.reduceat(ids, first)[run]
 
 
-def _group(shipped: DataFrame, wide: bool, test: Callable) -> DataFrame:
-    """(id, key, places): the entries that the block or their bucket tells apart; a bucket is one bounded group."""
+def _group(shipped: DataFrame, wide: bool, buckets: int, test: Callable) -> DataFrame:
+    """(id, key, places), one row per owner: the entries that their block or their bucket tells apart.
+
+    Both groupings are by hash buckets of bounded size, the first of names and the second of owners.
+    """
 
     def judge(table: pa.Table) -> pa.Table:
-        passed = pc.is_null(table.column("names"))
         out = []
-        mine = table.filter(pc.invert(passed))
-        if mine.num_rows:
+        passed = pc.is_null(table.column("names"))
+        for mine, settled in ((table.filter(pc.invert(passed)), False), (table.filter(passed), True)):
             names, owner, places, owners = _unpacked(mine, wide)
-            order = np.lexsort(names.T[::-1])
-            chosen = order[test(names[order], owners, owner[order], places[order])]
-            out.append(_settled(owner[chosen], places[chosen], owners))
-        rest = table.filter(passed)
-        if rest.num_rows:
-            _, owner, places, owners = _unpacked(rest, wide)
-            out.append(_settled(owner, places, owners))
-        return pa.concat_tables(out)
+            if not settled and len(owner):
+                order = np.lexsort(names.T[::-1])
+                chosen = order[test(names[order], owners, owner[order], places[order])]
+                owner, places = owner[chosen], places[chosen]
+            high, _ = _owner_keys(owners)
+            bucket = (mix(high + owners["id"].astype(U64)) % U64(buckets)).astype(np.int64)
+            out.append(pa.Table.from_batches([_packed(bucket[owner], None, owner, places, owners)]))
+        return pa.concat_tables(out).select(["bucket", "owners", "counts", "places"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        _, owner, places, owners = _unpacked(table, wide)
+        return _settled(owner, places, owners)
 
-    found = shipped.groupBy("bucket").applyInArrow(judge, SETTLED)
-    return found.groupBy("id", "key").agg(F.collect_list("places").alias("places"))
+    found = shipped.groupBy("bucket").applyInArrow(judge, "bucket long, owners binary, counts binary, places binary")
+    return found.groupBy("bucket").applyInArrow(merge, SETTLED)
 
 
 def _merged(places: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All places of a column of lists of binary values, and the row of each."""
-    rows = [b"".join(x) if x else b"" for x in places.to_pylist()]
+    """All places of a column of binary values, and the row of each."""
+    rows = [x or b"" for x in places.to_pylist()]
     return np.frombuffer(b"".join(rows), dtype=np.int32), np.repeat(np.arange(len(rows)), [len(r) // 4 for r in rows])
 
 
@@ -364,7 +380,7 @@ def shared_anchors(docs: DataFrame, window: int, one_in: int, buckets: int) -> D
         yield from held.rows()
 
     shipped = pick(docs, doc_id="long", text="string").withColumn("id", _own()).mapInArrow(ship, SHIPPED)
-    return _group(shipped, False, share_in_bucket).select("key", "places")
+    return _group(shipped, False, buckets, share_in_bucket).select("key", "places")
 
 
 def covered_windows(docs: DataFrame, classes: DataFrame, anchors: DataFrame, window: int, one_in: int, buckets: int) -> DataFrame:
@@ -391,7 +407,7 @@ def covered_windows(docs: DataFrame, classes: DataFrame, anchors: DataFrame, win
 
     told = classes.join(anchors, "key", "left").select("id", "key", "places")
     texts = pick(docs, doc_id="long", text="string").select(_own().alias("id"), "text")
-    return _group(texts.join(told, "id").mapInArrow(ship, SHIPPED), True, cover_in_bucket)
+    return _group(texts.join(told, "id").mapInArrow(ship, SHIPPED), True, buckets, cover_in_bucket)
 
 
 def without_covered(docs: DataFrame, covered: DataFrame, window: int, with_text: bool) -> DataFrame:

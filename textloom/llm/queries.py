@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import arrow_output, cotraining, cross_polytope, fp_tree, impact_index, mixing_pfair, ngram_jaccard, packing, recompression, reply_trees, toxicity, url_templates
+from textloom.llm import arrow_output, cotraining, cross_polytope, fp_tree, gnat, impact_index, mixing_pfair, ngram_jaccard, packing, recompression, reply_trees, toxicity, url_templates
 from textloom.llm.common import pick, stored, table
 
 
@@ -88,6 +88,14 @@ def op11_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.remove_repeats(table(spark, sf_dir, "documents"), window=50, with_text=False)
 
 
+RELABELLED = "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"
+
+
+def op12_gnat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.expr(RELABELLED).alias("label"), F.col("embedding").alias("vector"))
+    return gnat.hard_negatives(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=10)
+
+
 def op13_fp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fp_tree.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
@@ -107,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_impact_index": op9_impact_index,
     "op10_url_templates": op10_url_templates,
     "op11_recompression": op11_recompression,
+    "op12_gnat": op12_gnat,
     "op13_fp_tree": op13_fp_tree,
 }
 
@@ -116,5 +125,6 @@ ORACLES: dict[str, str] = {
     "op9_impact_index": impact_index.oracle("embeddings", "embedding", "{} % 20 = 0"),
     "op10_url_templates": url_templates.oracle(URL_RULES, PAGE_LABELS_SQL),
     "op11_recompression": recompression.ORACLE,
+    "op12_gnat": gnat.oracle(RELABELLED, "{} % 100 = 0"),
     "op13_fp_tree": fp_tree.ORACLE,
 }

@@ -40,7 +40,7 @@ def plain(value):
 
 
 def test_all_are_registered():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
     assert set(ORACLES) <= set(entry_points.oracle_sql())
 

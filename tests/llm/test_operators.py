@@ -345,15 +345,37 @@ def test_exact_top_k_special_cases(spark):
     assert impact_index.top_k(odd_vectors(spark).where("vec_id > 100"), F.lit(True)).collect() == []
 
 
+def test_exact_top_k_keeps_large_components(spark):
+    import duckdb
+
+    rng = np.random.default_rng(6)
+    wide = rng.normal(size=(60, 1024)) * 20
+    wide[5:9] *= 1000
+    for rows in ([[1.0, 0.0], [70000.0, 0.0], [0.5, 0.0], [0.25, 0.1], [-70000.0, 9.0]], wide.tolist(), [[1e15, 1.0], [1e15, 2.0], [-1e15, 0.5], [1.0, 1.0]]):
+        made = spark.createDataFrame([(20 * i, v) for i, v in enumerate(rows)], "vec_id long, vector array<double>")
+        found = sorted(map(tuple, impact_index.top_k(made, F.lit(True), k=3, block_rows=25, block_queries=30).collect()))
+        whole = [[int(np.floor(64 * x)) for x in v] for v in rows]
+        score = [[min(max(sum(x * y for x, y in zip(a, b)), -(1 << 63)), (1 << 63) - 1) for b in whole] for a in whole]
+        want = []
+        for i in range(len(rows)):
+            best = sorted((-score[i][j], 20 * j) for j in range(len(rows)) if j != i)[:3]
+            want += [(20 * i, r, j, -s) for r, (s, j) in enumerate(best, 1)]
+        assert found == sorted(want)
+        if np.abs(rows).max() < 1e9:
+            con = duckdb.connect()
+            given = made.selectExpr("vec_id", "vector AS embedding").toPandas()  # noqa: F841
+            assert sorted(con.execute(impact_index.oracle("given", "embedding", "{} >= 0", k=3)).fetchall()) == found
+
+
 def test_impact_blocks_stop_only_on_proof():
     generator = np.random.default_rng(4)
     for spread in (1, 9, 40):
         x = np.rint(generator.normal(size=(500, 16)) * spread).astype(np.int64)
         x[100:160] = x[7]
         ids = generator.permutation(500)
-        block = impact_index.ImpactBlock(x)
+        block = impact_index.ImpactBlock(x, ids)
         queries = x[:40]
-        who, rows_, score = block.best(queries, ids, 10)
+        who, rows_, score = block.best(queries.astype(np.float64), 10)
         exact = queries @ x.T
         for q in range(40):
             best = np.lexsort((ids, -exact[q]))[:10]

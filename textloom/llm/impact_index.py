@@ -1,7 +1,7 @@
 """Exact top-k by integer inner products with an impact-ordered, score-at-a-time index.
 
 Components are quantised to whole numbers first (``floor(scale * x)``); scores are their inner products.  Rows are
-dealt to blocks of about ``block_rows``; each block is an index of posting segments: for a dimension and
+dealt to blocks of about ``block_rows``; each block is an index of posting segments, built once and stored: for a dimension and
 a quantised impact (a multiple of a step) the rows that have it.  A batch of queries takes the segments
 in falling order of impact and adds query component times impact to its accumulators.  After a level the part of a
 row that is not yet added is bounded by |query| * |rest of the row|.  Processing stops only when these bounds prove that
@@ -11,99 +11,113 @@ are processed and the possible rows are rescored just the same, so the result is
 Every query block meets every row block once (a stated query set against all rows), and a pair returns only its best ``k + 1``
 rows per query; the merge takes the first ``k``.
 
-Defined cases: a vector that is null or holds null or non-finite components takes no part, nor does one with a component
-beyond 2^22 after quantising (scores would not fit); a zero vector takes part with score 0; a shorter vector counts as
+Defined cases: a vector that is null or holds null or non-finite components (also after scaling) takes no part; rows with components of
+2^20 or more stay outside the segments and are always rescored, and products that doubles do not hold exactly are computed in whole
+numbers of any size; a score beyond a long stops at its bounds; a zero vector takes part with score 0; a shorter vector counts as
 padded with zeros; of repeated ids the row with the smallest vector counts; with fewer candidates than ``k`` all are
 returned; ties go to the smaller id; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import pick, stored
+from textloom.llm.common import stored
+from textloom.llm.vector_blocks import BLOCK_QUERIES, BLOCK_ROWS, EXACT, block_index, matrix, padded, products, search_blocks, size_of, whole_vectors
 
-BLOCK_ROWS = 4096
-BLOCK_QUERIES = 4096
 BATCH_QUERIES = 256
 LEVELS = 12
-LARGEST = 1 << 22
+BIG = float(1 << 20)
+# a segment this full is added as a matrix, a thinner one by its postings
+FULL = 0.02
 
 
 class ImpactBlock:
-    """Posting segments of one block of integer vectors, by falling impact."""
+    """Posting segments of one block of whole-number vectors, by falling impact."""
 
-    def __init__(self, vectors: np.ndarray, levels: int = LEVELS) -> None:
-        self.vectors = vectors.astype(np.float64)
-        top = int(np.abs(vectors).max()) if vectors.size else 0
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray, levels: int = LEVELS) -> None:
+        self.vectors, self.ids = np.asarray(vectors, dtype=np.float64), ids
+        self.loose = size_of(self.vectors) >= BIG
+        rest = np.where(self.loose[:, None], 0, self.vectors)
+        top = int(np.abs(rest).max(initial=0))
         self.step = max(1, -(-top // levels))
-        level = np.rint(vectors / self.step).astype(np.int64)
-        self.segments: list[tuple[int, list[tuple[int, int, np.ndarray]]]] = []
-        rest = vectors.astype(np.float64)
+        level = np.rint(rest / self.step).astype(np.int64)
+        self.segments: list[tuple[int, np.ndarray | list[tuple[int, int, np.ndarray]]]] = []
         self.rest_norm: list[np.ndarray] = []
         for height in sorted({int(h) for h in np.unique(np.abs(level)) if h}, reverse=True):
-            postings = []
-            for sign in (1, -1):
-                dims, rows = np.nonzero((level == sign * height).T)
-                cut = np.flatnonzero(np.diff(dims)) + 1
-                for part, at in zip(np.split(rows, cut), np.concatenate([[0], cut]), strict=True):
-                    if len(part):
-                        postings.append((int(dims[at]), sign * height * self.step, part))
-            self.segments.append((height * self.step, postings))
-            rest = np.where(np.abs(level) == height, vectors - level * self.step, rest)
+            at = np.abs(level) == height
+            if at.mean() > FULL:
+                segment = np.where(at, level * self.step, 0).astype(np.float64)
+            else:
+                segment = []
+                for sign in (1, -1):
+                    dims, rows = np.nonzero((level == sign * height).T)
+                    cut = np.flatnonzero(np.diff(dims)) + 1
+                    for part, first in zip(np.split(rows, cut), np.concatenate([[0], cut]), strict=True):
+                        if len(part):
+                            segment.append((int(dims[first]), sign * height * self.step, part))
+            self.segments.append((height * self.step, segment))
+            rest = np.where(at, rest - level * self.step, rest)
             self.rest_norm.append(np.sqrt((rest * rest).sum(axis=1)))
 
     def possible(self, queries: np.ndarray, k: int, few: float) -> np.ndarray:
         """Rows (by query) that can still be among the best ``k``: processed until at most a share ``few`` is left."""
         n = len(self.vectors)
         open_rows = np.ones((len(queries), n), dtype=bool)
-        if k >= n:
+        if k >= n or size_of(queries).max(initial=0) >= BIG:
             return open_rows
         score = np.zeros((n, len(queries)))
         length = np.sqrt((queries * queries).sum(axis=1))
-        for (impact, postings), norm in zip(self.segments, self.rest_norm, strict=True):
-            for dim, value, rows in postings:
-                score[rows] += queries[:, dim] * value
-            bound = norm[:, None] * length[None, :] * (1 + 1e-12) + 1e-6
+        for (impact, segment), norm in zip(self.segments, self.rest_norm, strict=True):
+            if isinstance(segment, np.ndarray):
+                score += segment @ queries.T
+            else:
+                for dim, value, rows in segment:
+                    score[rows] += queries[:, dim] * value
             if impact > 4 * self.step:
                 continue  # no proof to expect yet
-            least = np.partition(score - bound, n - k, axis=0)[n - k]
-            open_rows = (score + bound >= least[None, :]).T
+            bound = norm[:, None] * length[None, :] * (1 + 1e-12) + 1e-6
+            # loose rows prove nothing, and nothing is proved of them
+            proved = np.where(self.loose[:, None], -np.inf, score - bound)
+            least = np.partition(proved, n - k, axis=0)[n - k]
+            open_rows = (self.loose[:, None] | (score + bound >= least[None, :])).T
             if open_rows.mean() <= few:
                 break
         return open_rows
 
-    def best(self, queries: np.ndarray, ids: np.ndarray, k: int, few: float = 0.2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def best(self, queries: np.ndarray, k: int, few: float = 0.2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query number, row number, score) of the best ``k`` rows of each query, exact."""
         who, rows, scores = [], [], []
+        dim = max(queries.shape[1], self.vectors.shape[1])
+        # a query may have dimensions that no row of the block has, and the other way round
+        held, asked = padded(self.vectors, dim), padded(queries, dim)
+        of_rows, of_queries = size_of(held), size_of(asked)
         for start in range(0, len(queries), BATCH_QUERIES):
-            batch = queries[start : start + BATCH_QUERIES].astype(np.float64)
-            for i, able in enumerate(self.possible(batch, k, few)):
+            batch = asked[start : start + BATCH_QUERIES]
+            able_rows = self.possible(batch[:, : self.vectors.shape[1]], k, few)
+            for i, able in enumerate(able_rows):
                 chosen = np.flatnonzero(able)
-                exact = self.vectors[chosen] @ batch[i]  # whole numbers below 2^53: exact
+                if of_rows[chosen].max(initial=0) * of_queries[start + i] * dim < EXACT:
+                    exact = (held[chosen] @ batch[i]).astype(np.int64)
+                else:
+                    exact = products(batch[i : i + 1], held[chosen])[0]
                 if len(chosen) > k:
                     edge = np.partition(exact, len(chosen) - k)[len(chosen) - k]
                     near = exact >= edge
                     chosen, exact = chosen[near], exact[near]
-                order = np.lexsort((ids[chosen], -exact))[:k]
+                order = np.lexsort((self.ids[chosen], ~exact))[:k]
                 who.append(np.full(len(order), start + i))
                 rows.append(chosen[order])
-                scores.append(exact[order].astype(np.int64))
+                scores.append(exact[order])
         return np.concatenate(who), np.concatenate(rows), np.concatenate(scores)
 
 
-def quantised(vectors: DataFrame, scale: int) -> DataFrame:
-    """(vec_id, vector): whole-number vectors that take part, one row per id."""
-    rows = pick(vectors, vec_id="long", vector="array<double>").where("vec_id is not null and vector is not null")
-    finite = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v * scale) < F.lit(float(LARGEST)))
-    rows = rows.where(F.forall("vector", finite))
-    whole = rows.select("vec_id", F.transform("vector", lambda v: F.floor(v * scale).cast("int")).alias("vector"))
-    return whole.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+def _build(table: pa.Table) -> ImpactBlock:
+    table = table.combine_chunks()
+    return ImpactBlock(matrix(table.column("vector").combine_chunks()), table.column("vec_id").to_numpy())
 
 
 def top_k(
@@ -115,62 +129,20 @@ def top_k(
     block_queries: int = BLOCK_QUERIES,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the exact ``k`` best other rows for each row chosen by ``is_query`` over ``vec_id``."""
-    rows = stored(quantised(vectors, scale), "impact-rows")
-    sizes = rows.agg(
-        F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q"), F.max(F.size("vector")).alias("dim")
-    ).first()
-    dim = max(1, sizes["dim"] or 1)
-    row_blocks, query_blocks = (max(1, -(-a // b)) for a, b in ((sizes["n"], block_rows), (sizes["q"], block_queries)))
-    place = F.xxhash64("vec_id")
-    index = rows.select(
-        F.pmod(place, F.lit(row_blocks)).alias("r"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("q"),
-        F.lit(False).alias("query"),
-        "vec_id",
-        "vector",
-    )
-    asked = rows.where(is_query).select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(row_blocks - 1).cast("long"))).alias("r"),
-        F.pmod(place, F.lit(query_blocks)).alias("q"),
-        F.lit(True).alias("query"),
-        "vec_id",
-        "vector",
-    )
-    met = index.union(asked).repartition(row_blocks * query_blocks, "r", "q").sortWithinPartitions("r", "q", "query", "vec_id")
-
-    def matrix(column: pa.Array) -> np.ndarray:
-        out = np.zeros((len(column), dim), dtype=np.int64)
-        lengths = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False)
-        flat = column.flatten().to_numpy(zero_copy_only=False)
-        out[np.arange(dim)[None, :] < lengths[:, None]] = flat
-        return out
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, ids, held, block, names = None, [], [], None, None
-        for batch in batches:
-            r, q = (batch.column(c).to_numpy() for c in ("r", "q"))
-            asks = batch.column("query").to_numpy(zero_copy_only=False)
-            vec, x = batch.column("vec_id").to_numpy(), matrix(batch.column("vector"))
-            change = np.flatnonzero((np.diff(r) != 0) | (np.diff(q) != 0) | (np.diff(asks.astype(np.int8)) != 0)) + 1
-            for low, high in zip([0, *change], [*change, len(vec)], strict=True):
-                if (r[low], q[low]) != here:
-                    here, ids, held, block = (r[low], q[low]), [], [], None
-                if not asks[low]:
-                    ids.append(vec[low:high])
-                    held.append(x[low:high])
-                    continue
-                if block is None and ids:
-                    names, block = np.concatenate(ids), ImpactBlock(np.concatenate(held))
-                    ids, held = [], []
-                if block is not None:
-                    who, found, score = block.best(x[low:high], names, k + 1)
-                    other = vec[low:high][who] != names[found]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(vec[low:high][who][other]), pa.array(names[found][other]), pa.array(score[other])],
-                        ["query_id", "vec_id", "score"],
-                    )
-
-    parts = met.mapInArrow(search, "query_id long, vec_id long, score long")
+    rows = stored(whole_vectors(vectors, scale), "impact-rows")
+    sizes = rows.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
+    blocks = max(1, -(-sizes["n"] // block_rows))
+    index = block_index(rows, blocks, _build, "impact-index")
+
+    def answer(block: ImpactBlock, asked: pa.RecordBatch) -> pa.RecordBatch:
+        names = asked.column("vec_id").to_numpy()
+        who, found, score = block.best(matrix(asked.column("vector")), k + 1)
+        other = names[who] != block.ids[found]
+        columns = (names[who][other], block.ids[found][other], score[other])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
+
+    asked = rows.where(is_query)
+    parts = search_blocks(index, blocks, asked, "vec_id", sizes["q"], answer, "query_id long, vec_id long, score long", block_queries)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return parts.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

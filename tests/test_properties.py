@@ -3,6 +3,7 @@
 import contextlib
 import io
 import random
+import time
 from itertools import groupby
 
 import pytest
@@ -13,6 +14,7 @@ from textloom import schemas
 from textloom.operators import chunking, export, langid, mixing, ordering, records, shaping
 from textloom.options import ChunkOptions, CleanOptions
 from textloom.session import spread
+from workload.queries import QUERIES
 
 
 def plan_text(df, mode="formatted"):
@@ -50,6 +52,38 @@ def test_exclusive_prefix_of_several_sums(spark):
     assert got == {i: (sum(a for _, a, _ in rows[:i]), sum(b for _, _, b in rows[:i])) for i in range(200)}
 
 
+@pytest.mark.parametrize("fanout", [2, 7, 10_000])
+def test_sums_over_sums(spark, monkeypatch, fanout):
+    monkeypatch.setattr(ordering, "FANOUT", fanout)
+    rows = [(f"s{i % 3}", i // 3, i % 5, i) for i in range(60)]
+    df = spark.createDataFrame(rows, "s string, b int, n int, m long").repartition(5)
+    got = ordering.running_totals(df, ["s", "b"], ["n", "m"]).collect()
+    rows.sort()
+    expected = {(s, b): (sum(r[2] for r in rows[:i]), sum(r[3] for r in rows[:i])) for i, (s, b, _, _) in enumerate(rows)}
+    assert {(r.s, r.b): (r._offset_n, r._offset_m) for r in got} == expected
+
+
+def plans_of(spark, action):
+    """The plans of all jobs of ``action``, as text."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    action()
+    time.sleep(0.5)  # events arrive a little later
+    done = store.executionsList()
+    return [done.apply(i).physicalPlanDescription() for i in range(int(before), done.size())]
+
+
+def test_no_single_task_and_one_text_scan(spark, sf_dir):
+    for name in ("chunk_ids", "shard_assign", "src_run_concat", "dense_index"):
+        plans = plans_of(spark, lambda name=name: QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save())
+        assert len(plans) > 1
+        for plan in plans:
+            assert "Window" not in plan or "SinglePartition" not in plan, plan  # totals of one row are no window
+        last = plans[-1]
+        scans = [line for line in last.splitlines() if line.startswith("ReadSchema") and "text:" in line]
+        assert len(scans) == 1, last
+
+
 @pytest.mark.parametrize("limit", [0, 1, 2, 37, 99, 100, 101, 10**6, None])
 def test_first_per_group(spark, limit):
     rows = skewed(2, 300)

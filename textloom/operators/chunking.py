@@ -87,19 +87,51 @@ def chunk_rows_sizes(docs: DataFrame, sizes: Sequence[ChunkOptions]) -> DataFram
     return exploded.withColumn("char_count", F.length("text").cast("long"))
 
 
+def window_bytes(text: Column, lang: Column, options: ChunkOptions) -> Column:
+    """Struct of ``chunks`` and ``bytes``: number and UTF-8 bytes of the chunks of a text, without making them.
+
+    In a text of one-byte characters the bytes follow from its length; only other texts are cut to be measured.
+    """
+    most = options.max_document_chars
+    whole = F.coalesce(text if most is None else F.substring(text, 1, most), F.lit(""))
+
+    def measure(t: Column, b: Column) -> Column:
+        n = chunk_count(F.length(t), b, options.max_chunks)
+
+        def plain(k: Column) -> Column:
+            # all windows that end within the text are full, the others reach its end
+            full = F.least(k, F.greatest(F.floor((F.length(t) - b["target"]) / b["stride"]) + 1, F.lit(0))).cast("long")
+            rest = k - full
+            before = (full + k - 1) * rest / 2 * b["stride"]  # starts of the windows cut short
+            return full * b["target"] + rest * F.length(t) - before.cast("long")
+
+        def cut(k: Column) -> Column:
+            starts = F.sequence(F.lit(0), F.greatest(k - 1, F.lit(0)))
+            pieces = F.transform(starts, lambda i: F.octet_length(F.substring(t, i * b["stride"] + 1, b["target"])).cast("long"))
+            return F.aggregate(pieces, F.lit(0).cast("long"), lambda total, size: total + size)
+
+        size = lambda k: F.when(k == 0, 0).when(F.octet_length(t) == F.length(t), plain(k)).otherwise(cut(k))
+        return bind(n, lambda k: F.struct(k.cast("long").alias("chunks"), size(k).cast("long").alias("bytes")))
+
+    return bind(whole, lambda t: bind(chunk_budgets(lang, options), lambda b: measure(t, b)))
+
+
 def number_chunks(
     docs: DataFrame, buckets: list[str], order: list[str], options: ChunkOptions
 ) -> DataFrame:
     """Chunk rows with a dense global ``id`` and ``byte_start``, the UTF-8 bytes of all chunks before.
 
-    Numbering happens per document, so each text crosses the network once; both
-    running sums share that one shuffle.
+    The totals of the buckets are measured without cutting the texts or moving them.  Numbering then happens per
+    document, so each text is cut once and crosses the network once; both running sums share that one shuffle.
     """
+    size = window_bytes(F.col("text"), F.col("lang"), options)
+    measured = docs.select(*buckets, size.alias("_size"))
+    measured = measured.select(*buckets, F.col("_size.chunks").alias("_first_id"), F.col("_size.bytes").alias("_first_byte"))
     cut = docs.withColumn("_chunks", chunk_texts(F.col("text"), F.col("lang"), options)).drop("text")
     sizes = F.transform("_chunks", lambda c: F.octet_length(c).cast("long"))
     total = F.aggregate(sizes, F.lit(0).cast("long"), lambda a, s: a + s)
     based = exclusive_prefix(
-        cut, buckets, order, {"_first_id": F.size("_chunks"), "_first_byte": total}
+        cut, buckets, order, {"_first_id": F.size("_chunks"), "_first_byte": total}, measured
     )
     exploded = based.select(
         "*", F.posexplode("_chunks").alias("k", "text")

@@ -13,10 +13,13 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.session import settle
 
 BEFORE = (Window.unboundedPreceding, -1)
+# rows of a level of sums over sums; the driver holds one level at most
+FANOUT = 10_000
 BROADCAST_ROWS = 100_000
 ROWS_PER_BUCKET, MAX_BUCKETS = 250_000, 20_000
 
@@ -52,26 +55,58 @@ def hash_bucket(digest: Column, hex_digits: int) -> Column:
     return F.conv(F.substring(digest, 1, hex_digits), 16, 10).cast("int")
 
 
+def in_groups(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
+    """``rows``, computed once, with ``_group``: consecutive ranges of at most about ``FANOUT`` rows in the order of ``keys``.
+
+    For summaries of buckets, whose keys are unique.  What is left to exchange between groups is one
+    row each; with ``FANOUT`` groups of that size they cover 10^8 buckets.
+    """
+    settled, count = settle(rows.withColumn("_group", F.lit(0)))
+    groups = max(1, -(-count // FANOUT))
+    if groups > 1:
+        settled, _ = settle(settled.repartitionByRange(groups, *keys).withColumn("_group", F.spark_partition_id()))
+    return settled, groups
+
+
+def running_totals(totals: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+    """``keys`` and, as ``_offset_<name>``, the sums of the rows before, for a table with unique keys.
+
+    Sums over sums: rows are summed within groups of ``FANOUT``, and the totals of the groups the same way, until
+    so few are left that the driver adds them up.  No window covers the table.
+    """
+    placed, groups = in_groups(totals.select(*keys, *sums), keys)
+    if groups == 1:
+        rows = placed.drop("_group").orderBy(*keys).collect()  # FANOUT rows at most
+        running, out = dict.fromkeys(sums, 0), []
+        for row in rows:
+            out.append((*[row[k] for k in keys], *running.values()))
+            for name in sums:
+                running[name] += row[name] or 0
+        kinds = [T.StructField(k, totals.schema[k].dataType) for k in keys]
+        kinds += [T.StructField(f"_offset_{name}", T.LongType()) for name in sums]
+        return totals.sparkSession.createDataFrame(out, T.StructType(kinds))
+    upper = placed.groupBy(F.col("_group").alias("_range")).agg(*[F.sum(name).alias(name) for name in sums])
+    above = running_totals(upper, ["_range"], sums).withColumnRenamed("_range", "_group")
+    inside = Window.partitionBy("_group").orderBy(*keys).rowsBetween(*BEFORE)
+    local = placed.select(*keys, "_group", *[F.coalesce(F.sum(name).over(inside), F.lit(0)).alias(f"_in_{name}") for name in sums])
+    offsets = [(F.col(f"_offset_{name}") + F.col(f"_in_{name}")).cast("long").alias(f"_offset_{name}") for name in sums]
+    return local.join(F.broadcast(above) if groups <= FANOUT else above, "_group").select(*keys, *offsets)
+
+
 def exclusive_prefix(
-    df: DataFrame, buckets: list[str], order: list[str], sums: dict[str, Column]
+    df: DataFrame, buckets: list[str], order: list[str], sums: dict[str, Column], measured: DataFrame | None = None
 ) -> DataFrame:
     """For each output name, the sum of its expression over all rows before this one.
 
     Rows are ordered by ``buckets``, then ``order``.  One shuffle by bucket; the
     totals of earlier buckets come from a table with one row per bucket, joined
-    on the partitioning the window already has (or broadcast, if small).
+    on the partitioning the window already has (or broadcast, if small).  That table is
+    computed here and now, from ``measured(*buckets, *sums)`` if the sums are cheaper to get without ``df``.
     """
-    totals = df.groupBy(*buckets).agg(
-        *[F.sum(expr).cast("long").alias(f"_total_{name}") for name, expr in sums.items()]
-    )
-    over_buckets = Window.orderBy(*buckets).rowsBetween(*BEFORE)
-    offsets = totals.select(
-        *buckets,
-        *[
-            F.coalesce(F.sum(f"_total_{name}").over(over_buckets), F.lit(0)).alias(f"_offset_{name}")
-            for name in sums
-        ],
-    )
+    if measured is None:
+        measured = df.select(*buckets, *[expr.alias(name) for name, expr in sums.items()])
+    totals = measured.groupBy(*buckets).agg(*[F.sum(name).cast("long").alias(name) for name in sums])
+    offsets = running_totals(totals, buckets, list(sums))
     inside = Window.partitionBy(*buckets).orderBy(*order).rowsBetween(*BEFORE)
     local = df.select(
         "*",
@@ -127,14 +162,14 @@ def first_per_group(
     key_rows = df.select(*dict.fromkeys([*keys, *order]))
     if costly:
         key_rows, _ = settle(key_rows)
-    counts = key_rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    by_group = Window.partitionBy(group)
-    running = counts.select(
-        *keys,
-        "_n",
-        F.coalesce(F.sum("_n").over(by_group.orderBy(*buckets).rowsBetween(*BEFORE)), F.lit(0)).alias("_before"),
-        F.sum("_n").over(by_group).alias("_all"),
+    counts, _ = settle(key_rows.groupBy(*keys).agg(F.count("*").alias("_n")))
+    # running counts of the whole table, less those before the group
+    offsets = running_totals(counts, keys, ["_n"])
+    of_group = offsets.groupBy(group).agg(F.min("_offset__n").alias("_start")).join(
+        counts.groupBy(group).agg(F.sum("_n").alias("_all")), group
     )
+    running = counts.join(offsets, keys).join(of_group, group)
+    running = running.select(*keys, "_n", (F.col("_offset__n") - F.col("_start")).alias("_before"), "_all")
     beyond = running.join(limits, group).where(F.col("max_rows") < F.col("_all"))
     before, limit = F.col("_before"), F.col("max_rows")
     # one row per limited group: where its limit falls; a limit of zero falls before the first bucket

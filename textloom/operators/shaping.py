@@ -11,10 +11,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.functions.binding import bind
 from textloom.functions.cleaning import py_strip
-from textloom.operators.ordering import first_per_group, join_small
+from textloom.operators.ordering import first_per_group, in_groups, join_small
 from textloom.options import MIN_SOURCE_CHARS
 
 RECORD = ("doc_id", "part", "lang", "text")
@@ -116,19 +117,7 @@ def concat_runs(
         F.min("_piece").alias("_first_piece"),
         F.max("_piece").alias("_last_piece"),
     )
-    along = Window.orderBy(*buckets)
-    continued = F.lag("_last").over(along).eqNullSafe(F.col("_first"))
-    own_start = F.when(~F.col("_continued") | (F.col("_first_piece") != F.col("_last_piece")), F.col("_last_piece"))
-    carried = (
-        edges.withColumn("_continued", continued)
-        .withColumn("_own", own_start)
-        .withColumn(
-            "_carry",
-            F.last("_own", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)),
-        )
-        .where(F.col("_continued"))
-        .select(F.col("_first_piece").alias("_piece"), "_carry")
-    )
+    carried = _carried(edges, buckets)
     runs = (
         join_small(pieces, carried, ["_piece"], "left")
         .groupBy(F.coalesce("_carry", "_piece").alias("start"), F.col("_id").alias(run_id))
@@ -137,6 +126,35 @@ def concat_runs(
     return runs.where(F.length("text") >= min_chars)
 
 
+def _carried(edges: DataFrame, buckets: list[str]) -> DataFrame:
+    """(_piece, _carry): for pieces that go on with the run of the bucket before, the piece where that run starts.
+
+    Looks back within groups of buckets; between groups the driver hands on one row each.
+    """
+    placed, _ = in_groups(edges, buckets)
+    along = Window.partitionBy("_group").orderBy(*buckets)
+    is_first = F.row_number().over(along) == 1
+    # the last id of the group before
+    lasts = placed.groupBy("_group").agg(F.max_by("_last", F.struct(*buckets)).alias("_last")).orderBy("_group").collect()
+    handed = [(row["_group"], before["_last"]) for before, row in zip(lasts, lasts[1:], strict=False)]
+    kind = T.StructType([T.StructField("_group", T.IntegerType()), T.StructField("_handed", edges.schema["_last"].dataType)])
+    with_handed = placed.join(F.broadcast(edges.sparkSession.createDataFrame(handed, kind)), "_group", "left")
+    previous = F.when(is_first, F.col("_handed")).otherwise(F.lag("_last").over(along))
+    # a piece that does not go on, or is followed by another one, starts the run that the next bucket may continue
+    own_start = F.when(~F.col("_continued") | (F.col("_first_piece") != F.col("_last_piece")), F.col("_last_piece"))
+    seen = with_handed.withColumn("_continued", previous.eqNullSafe(F.col("_first"))).withColumn("_own", own_start)
+    starts = seen.groupBy("_group").agg(F.max_by("_own", F.when(F.col("_own").isNotNull(), F.struct(*buckets))).alias("_own")).orderBy("_group").collect()
+    passed, newest = [], None
+    for row in starts:
+        passed.append((row["_group"], newest))
+        newest = row["_own"] if row["_own"] is not None else newest
+    kind = T.StructType([T.StructField("_group", T.IntegerType()), T.StructField("_passed", edges.schema["_last_piece"].dataType)])
+    with_passed = seen.join(F.broadcast(edges.sparkSession.createDataFrame(passed, kind)), "_group", "left")
+    within = F.last("_own", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    carry = with_passed.withColumn("_carry", F.coalesce(within, F.col("_passed")))
+    return carry.where(F.col("_continued")).select(F.col("_first_piece").alias("_piece"), "_carry")
+
+
 def concat_groups(
     lines: DataFrame,
     group: str,

@@ -125,8 +125,9 @@ def number_chunks(
     document, so each text is cut once and crosses the network once; both running sums share that one shuffle.
     """
     size = window_bytes(F.col("text"), F.col("lang"), options)
-    measured = docs.select(*buckets, size.alias("_size"))
-    measured = measured.select(*buckets, F.col("_size.chunks").alias("_first_id"), F.col("_size.bytes").alias("_first_byte"))
+    # a generator's input is computed once, however often its fields are used
+    measured = docs.select(*buckets, F.inline(F.array(size)))
+    measured = measured.select(*buckets, F.col("chunks").alias("_first_id"), F.col("bytes").alias("_first_byte"))
     cut = docs.withColumn("_chunks", chunk_texts(F.col("text"), F.col("lang"), options)).drop("text")
     sizes = F.transform("_chunks", lambda c: F.octet_length(c).cast("long"))
     total = F.aggregate(sizes, F.lit(0).cast("long"), lambda a, s: a + s)

@@ -10,8 +10,12 @@ Order columns identify a row, and neither they nor the buckets are null.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,36 +59,44 @@ def hash_bucket(digest: Column, hex_digits: int) -> Column:
     return F.conv(F.substring(digest, 1, hex_digits), 16, 10).cast("int")
 
 
-def in_groups(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
-    """``rows``, computed once, with ``_group``: consecutive ranges of at most about ``FANOUT`` rows in the order of ``keys``.
+def in_groups(rows: DataFrame, keys: list[str], count: int | None = None) -> tuple[DataFrame, int]:
+    """``rows``, computed once (before, if their ``count`` is given), with ``_group``: consecutive ranges of at most about ``FANOUT`` rows in the order of ``keys``.
 
     For summaries of buckets, whose keys are unique.  What is left to exchange between groups is one
     row each; with ``FANOUT`` groups of that size they cover 10^8 buckets.
     """
-    settled, count = settle(rows.withColumn("_group", F.lit(0)))
+    settled = rows.withColumn("_group", F.lit(0))
+    if count is None:
+        settled, count = settle(settled)
     groups = max(1, -(-count // FANOUT))
     if groups > 1:
         settled, _ = settle(settled.repartitionByRange(groups, *keys).withColumn("_group", F.spark_partition_id()))
     return settled, groups
 
 
-def running_totals(totals: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+def by_keys(keys: list[str]) -> Callable[[Row], tuple]:
+    """Sorts collected rows as Spark does: nulls first."""
+    return lambda row: tuple((row[k] is not None, row[k] if row[k] is not None else 0) for k in keys)
+
+
+def running_totals(totals: DataFrame, keys: list[str], sums: list[str], count: int | None = None) -> DataFrame:
     """``keys`` and, as ``_offset_<name>``, the sums of the rows before, for a table with unique keys.
 
     Sums over sums: rows are summed within groups of ``FANOUT``, and the totals of the groups the same way, until
     so few are left that the driver adds them up.  No window covers the table.
     """
-    placed, groups = in_groups(totals.select(*keys, *sums), keys)
+    placed, groups = in_groups(totals.select(*keys, *sums), keys, count)
     if groups == 1:
-        rows = placed.drop("_group").orderBy(*keys).collect()  # FANOUT rows at most
-        running, out = dict.fromkeys(sums, 0), []
-        for row in rows:
-            out.append((*[row[k] for k in keys], *running.values()))
-            for name in sums:
-                running[name] += row[name] or 0
+        table = placed.drop("_group").toArrow()  # FANOUT rows at most
+        table = table.take(pc.sort_indices(table, [(k, "ascending") for k in keys], null_placement="at_start"))
+        columns = [table.column(k) for k in keys]
+        for name in sums:
+            own = pc.fill_null(table.column(name).cast("int64"), 0)
+            columns.append(pc.subtract(pc.cumulative_sum(own), own))
+        made = pa.table(columns, [*keys, *[f"_offset_{name}" for name in sums]])
         kinds = [T.StructField(k, totals.schema[k].dataType) for k in keys]
         kinds += [T.StructField(f"_offset_{name}", T.LongType()) for name in sums]
-        return totals.sparkSession.createDataFrame(out, T.StructType(kinds))
+        return totals.sparkSession.createDataFrame(made, T.StructType(kinds))
     upper = placed.groupBy(F.col("_group").alias("_range")).agg(*[F.sum(name).alias(name) for name in sums])
     above = running_totals(upper, ["_range"], sums).withColumnRenamed("_range", "_group")
     inside = Window.partitionBy("_group").orderBy(*keys).rowsBetween(*BEFORE)
@@ -162,9 +174,9 @@ def first_per_group(
     key_rows = df.select(*dict.fromkeys([*keys, *order]))
     if costly:
         key_rows, _ = settle(key_rows)
-    counts, _ = settle(key_rows.groupBy(*keys).agg(F.count("*").alias("_n")))
+    counts, many = settle(key_rows.groupBy(*keys).agg(F.count("*").alias("_n")))
     # running counts of the whole table, less those before the group
-    offsets = running_totals(counts, keys, ["_n"])
+    offsets = running_totals(counts, keys, ["_n"], many)
     of_group = offsets.groupBy(group).agg(F.min("_offset__n").alias("_start")).join(
         counts.groupBy(group).agg(F.sum("_n").alias("_all")), group
     )

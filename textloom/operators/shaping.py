@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from textloom.functions.binding import bind
 from textloom.functions.cleaning import py_strip
-from textloom.operators.ordering import first_per_group, in_groups, join_small
+from textloom.operators.ordering import by_keys, first_per_group, in_groups, join_small
 from textloom.options import MIN_SOURCE_CHARS
 
 RECORD = ("doc_id", "part", "lang", "text")
@@ -135,7 +135,8 @@ def _carried(edges: DataFrame, buckets: list[str]) -> DataFrame:
     along = Window.partitionBy("_group").orderBy(*buckets)
     is_first = F.row_number().over(along) == 1
     # the last id of the group before
-    lasts = placed.groupBy("_group").agg(F.max_by("_last", F.struct(*buckets)).alias("_last")).orderBy("_group").collect()
+    lasts = placed.groupBy("_group").agg(F.max_by("_last", F.struct(*buckets)).alias("_last")).collect()
+    lasts.sort(key=by_keys(["_group"]))
     handed = [(row["_group"], before["_last"]) for before, row in zip(lasts, lasts[1:], strict=False)]
     kind = T.StructType([T.StructField("_group", T.IntegerType()), T.StructField("_handed", edges.schema["_last"].dataType)])
     with_handed = placed.join(F.broadcast(edges.sparkSession.createDataFrame(handed, kind)), "_group", "left")
@@ -143,7 +144,8 @@ def _carried(edges: DataFrame, buckets: list[str]) -> DataFrame:
     # a piece that does not go on, or is followed by another one, starts the run that the next bucket may continue
     own_start = F.when(~F.col("_continued") | (F.col("_first_piece") != F.col("_last_piece")), F.col("_last_piece"))
     seen = with_handed.withColumn("_continued", previous.eqNullSafe(F.col("_first"))).withColumn("_own", own_start)
-    starts = seen.groupBy("_group").agg(F.max_by("_own", F.when(F.col("_own").isNotNull(), F.struct(*buckets))).alias("_own")).orderBy("_group").collect()
+    starts = seen.groupBy("_group").agg(F.max_by("_own", F.when(F.col("_own").isNotNull(), F.struct(*buckets))).alias("_own")).collect()
+    starts.sort(key=by_keys(["_group"]))
     passed, newest = [], None
     for row in starts:
         passed.append((row["_group"], newest))

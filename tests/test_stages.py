@@ -15,7 +15,8 @@ from textloom.options import AssemblyOptions, ChunkOptions, CleanOptions
 from textloom.plans.assemble import run_assembly
 from textloom.plans.clean import run_clean
 from textloom.plans.extract import run_extract
-from textloom.plans.layout import Layout
+from textloom.plans import extract
+from textloom.plans.layout import WHOLE, Layout
 from textloom.sources import parquet_io
 from textloom.sources import catalog
 from textloom.sources.catalog import SourceSpec, builtin_sources
@@ -211,6 +212,131 @@ def test_failed_source_is_recorded_and_retried(spark, tmp_path):
     assert run_extract(spark, mended, "unused", layout) == {"bad": 8}
 
 
+def test_failed_subset_is_skipped_named_and_retried(spark, tmp_path):
+    root, layout = f"{tmp_path}/landed", Layout(f"{tmp_path}/corpus")
+    articles = [(f"{lang} {long('text')} {i}", lang) for lang in ("en", "de", "fr", None) for i in range(3)]
+    spark.createDataFrame(articles, "text string, lang string").write.partitionBy("lang").parquet(f"{root}/encyclopedia")
+    folder = f"{root}/encyclopedia/lang=de"
+    parts = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+    whole = {f: open(f"{folder}/{f}", "rb").read() for f in parts}
+    for f, data in whole.items():  # cut short: the footer is missing
+        with open(f"{folder}/{f}", "wb") as out:
+            out.write(data[: len(data) // 2])
+        os.path.exists(f"{folder}/.{f}.crc") and os.remove(f"{folder}/.{f}.crc")
+    specs = [s for s in builtin_sources() if s.name == "encyclopedia"]
+    raw = lambda: extract.read_published(
+        spark, extract.published_paths(spark, layout, "raw_extraction", layout.raw, "text"), schemas.TEXT, layout.raw("text")
+    )
+    assert run_extract(spark, specs, root, layout) == {"encyclopedia": 9}
+    assert sorted({str(r.lang) for r in raw().collect()}) == ["None", "en", "fr"]
+    entries = load_manifest(spark, layout.manifest).collect()
+    assert {r.subset: r.ok for r in entries if r.subset} == {"en": True, "fr": True, "de": False, catalog.NO_VALUE: True}
+    assert [(r.ok, r.failed_subsets) for r in entries if r.subset is None] == [(False, ["de"])]
+    options = CleanOptions(("en", "de"))
+    assert run_clean(spark, specs, layout, options) == {"encyclopedia": {"input": 9, "output": 3}}
+
+    # only the failed one runs again, and cleaning sees that there is more
+    for f, data in whole.items():
+        with open(f"{folder}/{f}", "wb") as out:
+            out.write(data)
+    assert run_extract(spark, specs, root, layout) == {"encyclopedia": 12}
+    again = load_manifest(spark, layout.manifest).collect()
+    assert len(again) == len(entries) + 3 and sorted(r.subset for r in again if r.subset).count("de") == 2
+    assert run_clean(spark, specs, layout, options) == {"encyclopedia": {"input": 12, "output": 6}}
+    assert run_extract(spark, specs, root, layout) == {} == run_clean(spark, specs, layout, options)
+
+
+def test_stopped_run_publishes_nothing(spark, tmp_path, monkeypatch):
+    layout, specs = Layout(str(tmp_path)), debug_sources()[:1]
+    run_extract(spark, specs, "unused", layout)
+    rows = lambda: extract.read_published(
+        spark, extract.published_paths(spark, layout, "raw_extraction", layout.raw, "text"), schemas.TEXT, layout.raw("text")
+    )
+    before = sorted(map(str, rows().collect()))
+
+    class Stopped(BaseException):
+        pass
+
+    def stop(*_, **__):
+        raise Stopped
+
+    other = [SourceSpec("debug_text", 1, "text", lambda s, _: s.createDataFrame([(1, 0, "en", "other")], schemas.TEXT))]
+    with monkeypatch.context() as patch:
+        patch.setattr(extract, "record_result", stop)
+        with pytest.raises(Stopped):
+            run_extract(spark, other, "unused", layout, force=True)
+    folder = f"{layout.raw('text', 'debug_text')}/subset={WHOLE}"
+    assert len(os.listdir(folder)) == 2  # written, but not in the manifest
+    assert sorted(map(str, rows().collect())) == before
+    # results that newer ones replace are removed, but for the last of them
+    for _ in range(3):
+        assert run_extract(spark, other, "unused", layout, force=True) == {"debug_text": 1}
+    assert [r.text for r in rows().collect()] == ["other"]
+    assert len(os.listdir(folder)) == 3  # two results, and what the stopped run has left
+
+
+def test_unreadable_files_are_named(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.range(100).repartition(4).write.parquet(path)
+    spark.createDataFrame([], "id long").write.mode("append").parquet(path)
+    assert parquet_io.file_counts(spark, [path]) == (100, [])
+    part = sorted(f for f in os.listdir(path) if f.endswith(".parquet") and os.path.getsize(f"{path}/{f}") > 0)[0]
+    rows = spark.read.parquet(f"{path}/{part}").count()
+    with open(f"{path}/{part}", "r+b") as cut:
+        cut.truncate(20)
+    os.path.exists(f"{path}/.{part}.crc") and os.remove(f"{path}/.{part}.crc")
+    left, bad = parquet_io.file_counts(spark, [path, f"{tmp_path}/missing"])
+    assert left == 100 - rows and [b.rsplit("/", 1)[1] for b in bad] == [part]
+
+
+def test_json_lines_are_like_parquet(spark, tmp_path):
+    rows = [(i, f"text {i}\nwith \u2028 and \r é", f"{i % 3}") for i in range(500)]
+    df = spark.createDataFrame(rows, "n long, text string, lang string").repartition(3)
+    df.write.partitionBy("lang").parquet(f"{tmp_path}/p/data")
+    # the same records in files of the same names
+    for folder, _, files in os.walk(f"{tmp_path}/p/data"):
+        for f in files:
+            if f.endswith(".parquet") and not f.startswith("."):
+                below = os.path.relpath(folder, f"{tmp_path}/p/data")
+                os.makedirs(f"{tmp_path}/j/data/{below}", exist_ok=True)
+                with open(f"{tmp_path}/j/data/{below}/{f.split('.')[0]}.jsonl", "w") as out:
+                    for r in spark.read.parquet(f"{folder}/{f}").collect():
+                        out.write(json.dumps({"n": r.n, "text": r.text, "more": [1]}) + "\n")
+    schema = "n long, text string, lang string"
+    expected = sorted(map(tuple, catalog.landed(spark, f"{tmp_path}/p/data", schema).collect()))
+    for size in ("700", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            found = catalog.landed(spark, f"{tmp_path}/j/data", schema)
+            assert found.columns == ["n", "text", "lang", "_file", "_row", "doc_id", "_block"]
+            assert sorted(map(tuple, found.collect())) == expected
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    with open(f"{tmp_path}/j/data/lang=0/torn.json", "w") as out:
+        out.write('{"n": 1, "text": "a"}\n\n{"n": 2, "te\nnull\n{"n": "x"}\n  \n{"n": 7, "text": "z"}')
+    with catalog.noticing() as noticed:
+        found = catalog.landed(spark, f"{tmp_path}/j/data", schema).where("_file like '%torn'")
+        assert sorted((r.n, r.text, r._row) for r in found.collect()) == [(1, "a", 0), (7, "z", 6)]
+    assert noticed.bad_lines == 3
+    spark.range(1).write.parquet(f"{tmp_path}/j/data/lang=1/more")
+    with pytest.raises(ValueError):
+        catalog.landed(spark, f"{tmp_path}/j/data", schema)
+
+
+def test_bad_lines_are_in_the_manifest(spark, tmp_path):
+    os.makedirs(f"{tmp_path}/landed/chemistry_shelves")
+    with open(f"{tmp_path}/landed/chemistry_shelves/a.json", "w") as out:
+        out.write(json.dumps({"text": long("atom")}) + "\n{broken\n" + json.dumps({"text": long("ion")}) + "\n")
+    layout = Layout(f"{tmp_path}/corpus")
+    scratch = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(scratch))
+    specs = [s for s in builtin_sources() if s.name == "chemistry_shelves"]
+    assert run_extract(spark, specs, f"{tmp_path}/landed", layout) == {"chemistry_shelves": 2}
+    (entry,) = load_manifest(spark, layout.manifest).collect()
+    assert (entry.ok, entry.num_records, entry.bad_lines, entry.languages) == (True, 2, 1, ["en"])
+    assert not [f for f in set(os.listdir(scratch)) - before if f.startswith("landed-lines")]
+
+
 def test_source_without_rows_is_done(spark, tmp_path):
     layout = Layout(str(tmp_path))
     specs = [SourceSpec("none", 1, "text", lambda s, _: s.createDataFrame([], schemas.TEXT))]

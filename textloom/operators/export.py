@@ -42,14 +42,14 @@ def global_shuffle(chunks: DataFrame, seed: int, keys: list[str], partitions: in
     return placed.sortWithinPartitions("_hash", *keys).drop("_hash")
 
 
-def compression_ratio(spark: SparkSession, path: str) -> DataFrame:
-    """``(raw_bytes, rows, parquet_bytes, ratio)``: UTF-8 bytes of text per Parquet byte of a written table.
+def compression_ratio(spark: SparkSession, *paths: str) -> DataFrame:
+    """``(raw_bytes, rows, parquet_bytes, ratio)``: UTF-8 bytes of text per Parquet byte of written tables.
 
     All files count: one pass over the text column, and the lengths in the listing of the files.  An empty table has the ratio 1.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-    stored = files.load(path).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
-    texts = spark.read.parquet(path)
+    stored = files.load(list(paths)).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
+    texts = spark.read.parquet(*paths)
     size = F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))
     raw = texts.agg(size.alias("raw_bytes"), F.count("*").alias("rows"), F.lit(stored).cast("long").alias("parquet_bytes"))
     measured = F.when((F.col("raw_bytes") > 0) & (F.col("parquet_bytes") > 0), F.col("raw_bytes") / F.col("parquet_bytes"))

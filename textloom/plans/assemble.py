@@ -20,10 +20,11 @@ from textloom.operators.export import (
 from textloom.operators.mixing import mix_ordered, mix_plan, mix_sample, with_tier_overrides
 from textloom.operators.ordering import range_bucket
 from textloom.options import AssemblyOptions
+from textloom.plans.extract import published_paths, read_published
 from textloom.plans.layout import Layout
 from textloom.sources import manifest as M
 from textloom.sources.catalog import SourceSpec, sources_table
-from textloom.sources.parquet_io import path_exists, read_or_empty, write_json, write_table
+from textloom.sources.parquet_io import write_json, write_table
 
 BY_SOURCE = schemas.T.StructType([*schemas.TEXT, schemas.T.StructField("source", schemas.T.StringType())])
 DIALOGUES_BY_SOURCE = schemas.T.StructType([*schemas.DIALOGUE, schemas.T.StructField("source", schemas.T.StringType())])
@@ -31,21 +32,23 @@ MOST_SHARD_TASKS = 100_000
 PART_OF_SHARD = schemas.T.StructType([*schemas.CHUNK, schemas.T.StructField("shard", schemas.T.LongType())])
 
 
+def cleaned_paths(spark: SparkSession, layout: Layout, content_type: str) -> list[str]:
+    return published_paths(spark, layout, M.CLEAN, layout.cleaned, content_type)
+
+
 def source_counts(spark: SparkSession, specs: Iterable[SourceSpec], layout: Layout) -> DataFrame:
-    """Rows of every source that has been cleaned, from its newest manifest entry."""
-    there = [(s.name,) for s in specs if path_exists(spark, layout.cleaned(s.content_type, s.name))]
-    cleaned = M.latest_results(M.load_manifest(spark, layout.manifest)).where(
-        (F.col("stage") == M.CLEAN) & F.col("ok")
-    )
+    """Rows of every source with a published cleaned table."""
+    there = [(s.name,) for s in specs if published_paths(spark, layout, M.CLEAN, layout.cleaned, s.content_type, s.name)]
+    cleaned = M.published(M.load_manifest(spark, layout.manifest), M.CLEAN)
     existing = spark.createDataFrame(there, "source string")
     return cleaned.join(existing, "source", "left_semi").select("source", "num_records")
 
 
-def measured_ratio(spark: SparkSession, layout: Layout) -> tuple[float, int]:
-    """Text bytes per Parquet byte of all cleaned texts, and their text bytes."""
-    if not path_exists(spark, layout.cleaned("text")):
+def measured_ratio(spark: SparkSession, paths: list[str]) -> tuple[float, int]:
+    """Text bytes per Parquet byte of the cleaned texts, and their text bytes."""
+    if not paths:
         return 1.0, 0
-    row = compression_ratio(spark, layout.cleaned("text")).first()
+    row = compression_ratio(spark, *paths).first()
     return row["ratio"], row["raw_bytes"]
 
 
@@ -72,7 +75,8 @@ def run_assembly(
         rules = spark.createDataFrame([], schemas.RULE)
     sources = with_tier_overrides(sources_table(spark, specs), options.tier_overrides)
     plan = mix_plan(sources, source_counts(spark, specs, layout), rules, options.base_tier)
-    texts = read_or_empty(spark, layout.cleaned("text"), BY_SOURCE)
+    paths = cleaned_paths(spark, layout, "text")
+    texts = read_published(spark, paths, BY_SOURCE, layout.cleaned("text"))
     if options.shuffle_documents:
         order = ["_hash", "doc_id", "part"]
         docs = mix_sample(texts, plan, options.seed)
@@ -80,7 +84,7 @@ def run_assembly(
         order = ["doc_id", "part"]
         docs = mix_ordered(range_bucket(texts, "doc_id", "_bucket"), plan, order)
 
-    ratio, text_bytes = measured_ratio(spark, layout)
+    ratio, text_bytes = measured_ratio(spark, paths)
     shard_bytes = max(1, int(options.shard_bytes * ratio))
 
     numbered = number_chunks(docs, ["source", "_bucket"], order, options.chunking)
@@ -102,9 +106,9 @@ def run_assembly(
 
 def write_chat(spark: SparkSession, layout: Layout, options: AssemblyOptions) -> int:
     """The cleaned dialogues within the given bounds, in seeded random order; returns their number."""
-    folder = layout.cleaned("dialogue")
-    if not path_exists(spark, folder):
+    paths = cleaned_paths(spark, layout, "dialogue")
+    if not paths:
         return 0
-    dialogues = read_or_empty(spark, folder, DIALOGUES_BY_SOURCE)
+    dialogues = read_published(spark, paths, DIALOGUES_BY_SOURCE, layout.cleaned("dialogue"))
     chosen = chat_dialogues(dialogues, options.min_messages, options.max_tokens, options.chunking)
     return write_table(global_shuffle(chosen, options.seed, ["source", "doc_id"]), layout.dialogues)

@@ -47,6 +47,13 @@ MANIFEST = T.StructType(
         T.StructField("duration_sec", T.DoubleType()),
         T.StructField("finished_at", T.TimestampType()),
         T.StructField("languages", T.ArrayType(T.StringType())),
+        # a part of a source that is worked on by itself; null: the whole source
+        T.StructField("subset", T.StringType()),
+        # folder of the result that this entry publishes
+        T.StructField("version", T.StringType()),
+        T.StructField("bad_files", T.ArrayType(T.StringType())),
+        T.StructField("bad_lines", T.LongType()),
+        T.StructField("failed_subsets", T.ArrayType(T.StringType())),
     ]
 )
 

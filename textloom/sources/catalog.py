@@ -6,8 +6,11 @@ folder to records; adding one means adding a ``SourceSpec``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +20,10 @@ from textloom import schemas
 from textloom.functions.cleaning import py_strip
 from textloom.functions.patterns import CYRILLIC
 from textloom.operators import shaping
+from textloom.operators.ordering import join_small, running_totals
 from textloom.options import MIN_SOURCE_CHARS
+from textloom.session import scratch_path, settle
+from textloom.sources.parquet_io import list_files, write_table
 
 # ---------------------------------------------------------------- fixed values
 ENCYCLOPEDIA_CAPS = {
@@ -46,6 +52,8 @@ STOP_MARKERS = {
 # ------------------------------------------------------------ end fixed values
 
 ROWS_PER_BLOCK = 1 << 20
+JSON_FILES = "*.{json,jsonl,ndjson,json.gz,jsonl.gz,ndjson.gz,json.bz2,jsonl.bz2,json.zst,jsonl.zst}"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 # (texts, key columns) -> texts with a column "detected"; see operators.langid.detect
 Detector = Callable[[DataFrame, list[str]], DataFrame]
@@ -56,7 +64,29 @@ class SourceSpec:
     name: str
     tier: int
     content_type: str  # "text" or "dialogue"
-    build: Callable[[SparkSession, str], DataFrame]
+    build: Callable[..., DataFrame]  # (spark, landed folder), and the subset if the source is divided
+    subset_column: str | None = None  # partition column of the landed files; its values are extracted one by one
+
+
+@dataclass
+class Noticed:
+    """What a scan came across that no record shows, and the tables it wrote for its own use."""
+
+    bad_lines: int = 0
+    scratch: list[str] = field(default_factory=list)
+
+
+_noticed: ContextVar[Noticed | None] = ContextVar("noticed", default=None)
+
+
+@contextmanager
+def noticing() -> Iterator[Noticed]:
+    """Collects what the scans of this thread notice."""
+    token = _noticed.set(Noticed())
+    try:
+        yield _noticed.get()
+    finally:
+        _noticed.reset(token)
 
 
 def sources_table(spark: SparkSession, specs: Iterable[SourceSpec]) -> DataFrame:
@@ -64,24 +94,72 @@ def sources_table(spark: SparkSession, specs: Iterable[SourceSpec]) -> DataFrame
     return spark.createDataFrame(rows, schemas.SOURCE)
 
 
-def landed(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """Scan landed Parquet files.
+def landed(spark: SparkSession, path: str, schema: str | T.StructType, json_files: str = JSON_FILES) -> DataFrame:
+    """Scan landed files: Parquet, or lines of JSON (``.json``, ``.jsonl``, ``.ndjson``, compressed or not, or as ``json_files`` says).
 
-    ``_file`` (below ``path``) and ``_row`` give each row's fixed place, whatever the split of the
+    ``_file`` (below ``path``, without extension) and ``_row`` give each row's fixed place, whatever the split of the
     scan; ``_block`` groups neighbouring rows.  ``doc_id`` is a 64-bit hash of the place, so samples and shuffles
-    that go by it are the same for any split, cluster and landed root.
+    that go by it are the same for any split, cluster, landed root and file format.
     """
-    rows = spark.read.schema(schema).parquet(path)
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if list_files(spark, path, json_files).limit(1).count():
+        if list_files(spark, path, "*.parquet").limit(1).count():
+            raise ValueError(f"{path}: Parquet files and lines of JSON, but a landed folder has one format")
+        rows = _json_lines(spark, path, schema, json_files)
+    else:
+        rows = spark.read.schema(schema).parquet(path)
+        rows = rows.select("*", _file_below(path).alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return rows.select("*", place_key(F.col("_file"), F.col("_row")).alias("doc_id"), F.floor(F.col("_row") / ROWS_PER_BLOCK).alias("_block"))
+
+
+def _file_below(path: str) -> Column:
     name = path.rstrip("/").rpartition("/")[2]
-    file = F.substring_index(F.col("_metadata.file_path"), f"/{name}/", -1)
-    row = F.col("_metadata.row_index")
-    return rows.select(
-        "*",
-        place_key(file, row).alias("doc_id"),
-        file.alias("_file"),
-        row.alias("_row"),
-        F.floor(row / ROWS_PER_BLOCK).alias("_block"),
+    below = F.substring_index(F.col("_metadata.file_path"), f"/{name}/", -1)
+    return F.regexp_replace(below, r"\.[^/]*$", "")
+
+
+def _json_lines(spark: SparkSession, path: str, schema: T.StructType, json_files: str) -> DataFrame:
+    """The records of JSON lines, with the number of their line in its file as ``_row``.
+
+    A split knows the order of its lines, but not how many come before it.  So the lines are parsed and written once, with their
+    split and their place in it; the written table tells how many lines each split has, and sums over them give the numbers.
+    A line that is no object of the schema is left out, and counted for ``noticing``; an empty line only takes a number.
+    """
+    lines = spark.read.option("pathGlobFilter", json_files).option("lineSep", "\n").text(path)
+    partitions = [c for c in lines.columns if c != "value"]
+    own = T.StructType([f for f in schema if f.name not in partitions])
+    parsed = F.from_json("value", T.StructType([*own, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad"})
+    placed = lines.select(
+        _file_below(path).alias("_file"),
+        F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_at"),
+        (F.trim("value") == "").alias("_empty"),
+        parsed.alias("_record"),
+        *[F.col(f.name).cast(f.dataType) for f in schema if f.name in partitions],
     )
+    staged = scratch_path(spark, "landed-lines")
+    write_table(placed, staged)
+    written = spark.read.schema(placed.schema).parquet(staged)
+    splits, many = settle(written.groupBy("_file", "_split").agg(F.count("*").alias("_lines"), F.min("_at").alias("_first")))
+    # lines before a split, in its file
+    before = running_totals(splits, ["_file", "_split"], ["_lines"], many).join(splits, ["_file", "_split"])
+    start = before.groupBy("_file").agg(F.min("_offset__lines").alias("_file_start"))
+    offsets = before.join(start, "_file").select("_file", "_split", "_first", (F.col("_offset__lines") - F.col("_file_start")).alias("_before"))
+    bad = ~F.col("_empty") & (F.col("_record").isNull() | F.col("_record._bad").isNotNull())
+    noticed = _noticed.get()
+    if noticed is not None:
+        noticed.scratch.append(staged)
+        noticed.bad_lines += written.where(bad).count()
+    good = join_small(written.where(~F.col("_empty") & ~bad), offsets, ["_file", "_split"])
+    row = F.col("_before") + F.col("_at") - F.col("_first")
+    return good.select(*[F.col(f.name if f.name in partitions else f"_record.{f.name}") for f in schema], "_file", row.alias("_row"))
+
+
+def landed_subsets(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of a partition column of landed files, from the listing of the files alone."""
+    value = F.regexp_extract("path", f"/{column}=([^/]*)/", 1)
+    found = list_files(spark, path).select(value.alias("value")).where("value <> ''").distinct().collect()  # one row per folder
+    return sorted(unquote(r["value"]) for r in found)
 
 
 def place_key(file: Column, row: Column) -> Column:
@@ -146,9 +224,11 @@ def _wiki_reading(detector: Detector):
 
 
 def _encyclopedia(caps: Mapping[str, int]):
-    def build(spark: SparkSession, path: str) -> DataFrame:
-        """Articles landed below ``lang=<code>`` folders; missing languages are simply not there."""
+    def build(spark: SparkSession, path: str, lang: str | None = None) -> DataFrame:
+        """Articles landed below ``lang=<code>`` folders, of one language if given; missing languages are simply not there."""
         rows = landed(spark, path, "text string, lang string").withColumn("part", F.lit(0))
+        if lang is not None:  # prunes the other folders: what is broken there does no harm
+            rows = rows.where(F.col("lang").isNull() if lang == NO_VALUE else F.col("lang") == lang)
         cut = shaping.cut_at_marker(rows, STOP_MARKERS, DEFAULT_STOP_MARKERS)
         return shaping.cap_per_language(cut, caps, BLOCK, PLACE).select(*shaping.RECORD)
 
@@ -181,5 +261,5 @@ def builtin_sources(
         SourceSpec("subtitles", 1, "text", _subtitles),
         columns_source("toki_pona", 1, {"translated_text": "tok"}),
         SourceSpec("wiki_reading", 2, "text", _wiki_reading(detector)),
-        SourceSpec("encyclopedia", 3, "text", _encyclopedia(encyclopedia_caps or {})),
+        SourceSpec("encyclopedia", 3, "text", _encyclopedia(encyclopedia_caps or {}), subset_column="lang"),
     ]

@@ -1,4 +1,7 @@
-"""Parquet scans and sinks with the reference semantics for missing and empty data."""
+"""Parquet scans and sinks.
+
+A missing table reads as empty where that is asked for and raises elsewhere; an empty table is written like any other.
+"""
 
 from __future__ import annotations
 
@@ -34,8 +37,49 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         raise
 
 
+def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(path, length) of the data files below ``path``, from the listing alone; a missing path has none."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    try:
+        return files.load(path).select("path", "length")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], "path string, length long")
+        raise
+
+
+def file_counts(spark: SparkSession, paths: list[str]) -> tuple[int, list[str]]:
+    """Rows of all readable Parquet files below ``paths``, and the names of the unreadable ones.
+
+    One job counts by file from the footers.  A file it does not name is empty or unreadable and is opened once more by itself;
+    the driver holds the names of those only.
+    """
+    rows, bad = 0, []
+    for path in paths:
+        if not path_exists(spark, path):
+            continue
+        readable = spark.read.option("ignoreCorruptFiles", "true").schema(T.StructType([])).parquet(path)
+        counted = readable.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
+        plain = lambda file: F.regexp_replace(file, "^file:/+", "file:/")
+        there = list_files(spark, path, "*.parquet").select(plain(F.col("path")).alias("name"), F.col("path").alias("at"))
+        joined = there.join(counted.select(plain(F.col("file")).alias("name"), "n"), "name", "left")
+        rows += joined.agg(F.sum("n")).first()[0] or 0
+        for row in joined.where("n is null").select("at").collect():
+            try:
+                spark.read.parquet(row["at"]).count()
+            except Exception:  # whatever a broken file makes Spark raise
+                bad.append(row["at"])
+    return rows, sorted(bad)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote; a missing one is no error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def count_rows(spark: SparkSession, path: str) -> int:
-    """Row count from the file footers; missing and unreadable files count as zero."""
+    """Row count from the file footers; missing and unreadable files count as zero (``file_counts`` names them)."""
     if not path_exists(spark, path):
         return 0
     files = spark.read.option("ignoreCorruptFiles", "true").schema(T.StructType([]))

@@ -273,6 +273,18 @@ WHERE max_rows IS NULL OR rn <= max_rows""",
     "src_union": f"""
 SELECT doc_id, 0 AS part, lang, t AS text FROM (SELECT *, {_strip("text")} AS t FROM documents)
 WHERE length(t) >= 100""",
+    "src_union_partial": f"""
+WITH t AS (SELECT coalesce(lang, '__HIVE_DEFAULT_PARTITION__') AS subset, {_strip("text")} AS t FROM documents),
+s AS (SELECT subset, CASE WHEN subset = (SELECT min(subset) FROM t) THEN 0 ELSE 1 END AS ok, length(t) AS n FROM t)
+SELECT subset, ok, 1 - ok AS named, CAST(coalesce(sum(CASE WHEN ok = 1 AND n >= 100 THEN 1 END), 0) AS BIGINT) AS records,
+       CAST(coalesce(sum(CASE WHEN ok = 1 AND n >= 100 THEN n END), 0) AS BIGINT) AS chars FROM s GROUP BY subset, ok""",
+    "landed_json": """
+WITH l AS (
+  SELECT *, 0 AS kind FROM documents UNION ALL SELECT *, 1 FROM documents WHERE doc_id % 7 = 3
+  UNION ALL SELECT *, 2 FROM documents WHERE doc_id % 5 = 2),
+n AS (SELECT *, doc_id // 2000 AS part, row_number() OVER (PARTITION BY lang, doc_id // 2000 ORDER BY doc_id, kind) - 1 AS line
+      FROM l WHERE lang IS NOT NULL)
+SELECT lang, part, line, doc_id AS number, source, text, (SELECT count(*) FROM n WHERE kind = 1) AS bad_lines FROM n WHERE kind = 0""",
     "src_stop_marker": _with(
         SQL["marked"],
         MARKERS,

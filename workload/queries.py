@@ -12,10 +12,11 @@ from textloom.functions import cleaning as C
 from textloom.functions import validation as V
 from textloom.operators import chunking, export, langid, mixing, ordering, records, shaping
 from textloom.options import ChunkOptions, CleanOptions
+from textloom.plans.extract import published_paths, read_published, run_extract
 from textloom.plans.layout import Layout
 from textloom.session import scratch_path, spread
 from textloom.sources import manifest as M
-from textloom.sources.catalog import DEFAULT_STOP_MARKERS, STOP_MARKERS
+from textloom.sources.catalog import DEFAULT_STOP_MARKERS, NO_VALUE, STOP_MARKERS, SourceSpec, landed, noticing
 from textloom.sources.parquet_io import read_or_empty, read_table, write_json, write_table
 from textloom.streaming.clean_stream import clean_stream
 from workload import views
@@ -91,6 +92,51 @@ def src_union(spark: SparkSession, d: str) -> DataFrame:
     return shaping.union_subsets(shaped)
 
 
+def src_union_partial(spark: SparkSession, d: str) -> DataFrame:
+    """Documents landed by language, the first language as files nobody can read: what each language came to."""
+    root = scratch_path(spark, "landed")
+    docs = views.documents(spark, d).select("text", F.coalesce("lang", F.lit(NO_VALUE)).alias("lang"))
+    broken = docs.agg(F.min("lang")).first()[0]
+    docs.where(F.col("lang") != broken).write.partitionBy("lang").parquet(f"{root}/articles")
+    docs.where(F.col("lang") == broken).select("text").write.text(f"{root}/articles/lang={broken}")
+
+    def build(spark: SparkSession, path: str, lang: str) -> DataFrame:
+        rows = landed(spark, path, "text string, lang string")
+        mine = F.col("lang").isNull() if lang == NO_VALUE else F.col("lang") == lang
+        return shaping.unpivot_texts(rows.where(mine), {"text": F.col("lang")})
+
+    layout = Layout(scratch_path(spark, "partial"))
+    run_extract(spark, [SourceSpec("articles", 3, "text", build, subset_column="lang")], root, layout)
+    manifest = M.load_manifest(spark, layout.manifest)
+    whole = manifest.where("subset is null").select(F.explode("failed_subsets").alias("subset"), F.lit(1).alias("named"))
+    raw = read_published(
+        spark, published_paths(spark, layout, M.EXTRACT, layout.raw, "text"), schemas.TEXT, layout.raw("text")
+    )
+    texts = raw.groupBy(F.coalesce("lang", F.lit(NO_VALUE)).alias("subset")).agg(F.count("*").alias("records"), F.sum(F.length("text")).alias("chars"))
+    states = M.latest_subsets(manifest, M.EXTRACT).select("subset", F.col("ok").cast("int").alias("ok"))
+    joined = states.join(texts, "subset", "left").join(whole, "subset", "left")
+    zero = F.lit(0)
+    return joined.select("subset", "ok", F.coalesce("named", zero).alias("named"), F.coalesce("records", zero).alias("records"), F.coalesce("chars", zero).alias("chars"))
+
+
+def landed_json(spark: SparkSession, d: str) -> DataFrame:
+    """Documents landed as lines of JSON, with broken lines among them: records with the number of their line."""
+    root = scratch_path(spark, "landed-json")
+    docs = views.documents(spark, d).where("lang is not null")
+    line = F.to_json(F.struct(F.col("doc_id").alias("number"), "source", "text"))
+    lines = docs.select("lang", F.floor(F.col("doc_id") / 2000).alias("part"), "doc_id", F.lit(0).alias("kind"), line.alias("value"))
+    # a line cut short, and an empty one
+    torn = lines.where("doc_id % 7 = 3").withColumn("kind", F.lit(1)).withColumn("value", F.expr("left(value, length(value) - 3)"))
+    empty = lines.where("doc_id % 5 = 2").withColumn("kind", F.lit(2)).withColumn("value", F.lit(""))
+    every = lines.union(torn).union(empty).repartition("lang", "part").sortWithinPartitions("lang", "part", "doc_id", "kind")
+    every.select("lang", "part", "value").write.partitionBy("lang", "part").text(f"{root}/lines")
+    with noticing() as noticed:
+        schema = "number long, source string, text string, lang string, part long"
+        rows = landed(spark, f"{root}/lines", schema, json_files="*.txt")
+    found = rows.select("lang", "part", F.col("_row").alias("line"), "number", "source", "text")
+    return found.withColumn("bad_lines", F.lit(noticed.bad_lines).cast("long"))
+
+
 def src_stop_marker(spark: SparkSession, d: str) -> DataFrame:
     marked = views.marked_documents(spark, d)
     return shaping.cut_at_marker(marked, STOP_MARKERS, DEFAULT_STOP_MARKERS)
@@ -360,6 +406,8 @@ QUERIES: dict[str, Query] = {
     "src_hash_dedup": src_hash_dedup,
     "src_lang_cap": src_lang_cap,
     "src_union": src_union,
+    "src_union_partial": src_union_partial,
+    "landed_json": landed_json,
     "src_stop_marker": src_stop_marker,
     "src_schema_project": src_schema_project,
     "src_select": src_select,

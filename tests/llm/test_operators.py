@@ -57,24 +57,54 @@ def test_case_is_folded_in_plain_words_only():
 
 
 # ----------------------------------------------------------------- packing
+def plain_best_fit(lengths, size):
+    """Rooms left after best-fit decreasing, piece by piece."""
+    room: list[int] = []
+    for n in sorted(lengths, reverse=True):
+        fits = [(r, i) for i, r in enumerate(room) if r >= n]
+        if fits:
+            room[min(fits)[1]] -= n
+        else:
+            room.append(size - n)
+    return sorted(room)
+
+
 def test_best_fit_takes_the_tightest_bin():
     random.seed(5)
-    for size in (1, 7, 64, 2048):
-        lengths = np.array([random.randint(1, size) for _ in range(300)])
-        number, offset = packing.best_fit_decreasing(lengths, size)
-        room: list[int] = []
-        for i in np.argsort(-lengths, kind="stable"):
-            fits = [r for r in room if r >= lengths[i]]
-            if fits:  # the room the piece went to was the smallest that could hold it
-                assert size - offset[i] == min(fits)
-                room[number[i]] -= lengths[i]
-            else:
-                assert number[i] == len(room) and offset[i] == 0
-                room.append(size - int(lengths[i]))
+    for size, many in ((1, 300), (7, 300), (64, 300), (64, 2000), (2048, 300), (2048, 1500)):
+        lengths = [random.choice([random.randint(1, size), random.randint(1, max(1, size // 5)), size // 2 + 1]) for _ in range(many)]
+        counts = {n: lengths.count(n) for n in set(lengths)}
+        used, given = {}, {n: [] for n in counts}
+        for length, first, pieces, sequence, per, offset in packing.best_fit_decreasing(counts, size).tolist():
+            given[length] += range(first, first + pieces)
+            for i in range(pieces):
+                used.setdefault(sequence + i // per, []).append((offset + i % per * length, length))
+        assert all(sorted(g) == list(range(counts[n])) for n, g in given.items())
+        rooms = []
+        for places in used.values():
+            at = 0
+            for offset, length in sorted(places):
+                assert offset == at
+                at += length
+            rooms.append(size - at)
+        assert sorted(rooms) == plain_best_fit(lengths, size)
+        assert sorted(used) == list(range(len(used)))
+
+
+def test_packing_is_one_for_all(spark):
+    # pieces that only fit together across any division of the table; more than 100 000 of them
+    half = 52_000
+    rows = spark.range(2 * half).select(
+        F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.when(F.col("id") < half, 1100).otherwise(900).cast("long").alias("length")
+    )
+    packed = packing.pack(stored(rows.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id"), "halves"))
+    sums = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.min("offset").alias("low"), F.max("offset").alias("high"))
+    assert [tuple(r) for r in sums.groupBy("n", "low", "high").count().collect()] == [(2000, 0, 1100, half)]
+    assert sums.agg(F.max("sequence_id")).first()[0] == half - 1
 
 
 def test_packing_special_cases(spark):
-    packed = packing.pack_documents(odd_documents(spark), size=64, group_rows=7).toPandas()
+    packed = packing.pack_documents(odd_documents(spark), size=64, run_rows=3).toPandas()
     assert len(packed[packed["doc_id"] == 2]) == 2
     assert packed[packed["doc_id"] == 3][["start", "length"]].values.tolist() == [[0, 1]]
     assert packed["doc_id"].isna().sum() == 1
@@ -95,7 +125,7 @@ def test_packing_follows_the_mix(spark):
     # from the stored files and straight from the plan
     for table in (stored(mixed, "mixed"), mixed):
         order = [r["doc_id"] for r in mixed.collect()]
-        packed = packing.pack_documents(table, size=64, group_rows=80).toPandas().sort_values(["sequence_id", "offset"])
+        packed = packing.pack_documents(table, size=64, run_rows=20).toPandas().sort_values(["sequence_id", "offset"])
         assert len(packed) == sum(-(-(len(t.split()) + 1) // 64) for _, t, _ in given)
         assert packed.groupby("sequence_id")["length"].sum().max() <= 64
         # three parts of "a" to one of "b" until "a" runs out
@@ -106,10 +136,10 @@ def test_packing_follows_the_mix(spark):
             part = (at > low) & (at <= high)
             assert 0.65 <= tokens[part & is_a].sum() / tokens[part].sum() <= 0.85
         assert not is_a[at > 0.85].any()
-        # groups are consecutive ranges: no piece is further from its place than a group and its last run
+        # pieces of any place may share a sequence, but most stay near their own
         place = {doc: i for i, doc in enumerate(order)}
         drift = [abs(place[doc] - i * len(order) / len(packed)) for i, doc in enumerate(packed["doc_id"])]
-        assert max(drift) < 120
+        assert np.mean(drift) < 40
 
 
 def test_order_of_stored_files(spark):

@@ -47,8 +47,6 @@ class Rule(NamedTuple):
 
 
 class TreeOptions(NamedTuple):
-    many: int = 20  # SQL counterpart only: children from which on a node may be variable
-    stands_out: float = 0.05  # SQL counterpart only: share of a node's pages that makes a child stand out
     least: int = 5  # labels a branch of its own needs
     z: float = 3.0  # how far its share must differ, in standard errors
     weight: float = 8.0  # labels that the share of all counts for in smoothing
@@ -132,7 +130,7 @@ def judge_urls(
     host, path = host_and_path(F.col("url"))
     placed = pick(pages, page_id="long", url="string").select("page_id", host.alias("host"), path.alias("path"))
     placed = placed.select("*", *[s.alias(n) for s, n in zip(shapes(F.col("path"), levels), names, strict=True)])
-    number = F.regexp_extract("path", r"(?s)([0-9]+)[^0-9]*$", 1).try_cast("long")
+    number = F.regexp_extract("path", r"(?<![0-9])([0-9]++)[^0-9]*+\z", 1).try_cast("long")
     labels = pick(bad_pages, key="long", bad="int").where("key is not null and bad is not null")
     labels = labels.groupBy("key").agg(F.max("bad").alias("bad"))
     known = placed.withColumn("key", number).join(labels, "key", "left")
@@ -169,10 +167,10 @@ t AS (SELECT coalesce(sum(bad) / nullif(sum(labelled), 0), 0) AS prior FROM r0)"
     for d, name in enumerate(names, 1):
         node = ", ".join(["host", *[f"b{i}" for i in range(1, d)]])
         sql += f""",
-k{d} AS (SELECT {node}, {name}, sum(n) AS c_n, sum(labelled) AS c_l, sum(bad) AS c_b FROM r{d - 1} GROUP BY ALL),
-n{d} AS (SELECT {node}, count(*) AS kids, max(c_n) AS top, sum(c_n) AS t_n, sum(c_l) AS t_l, sum(c_b) / greatest(sum(c_l), 1) AS share
+k{d} AS (SELECT {node}, {name}, sum(labelled) AS c_l, sum(bad) AS c_b FROM r{d - 1} GROUP BY ALL),
+n{d} AS (SELECT {node}, count(*) AS kids, sum(c_b) / greatest(sum(c_l), 1) AS share
         FROM k{d} GROUP BY ALL),
-d{d} AS (SELECT {node}, {name}, CASE WHEN {name} = '' THEN '' WHEN kids > {o.many} AND top < {o.stands_out} * t_n THEN '*'
+d{d} AS (SELECT {node}, {name}, CASE WHEN {name} = '' THEN ''
         WHEN kids = 1 OR (c_l >= {o.least} AND abs(c_b / greatest(c_l, 1) - share) > {o.z} * sqrt(share * (1 - share) / greatest(c_l, 1)))
         THEN {name} ELSE '*' END AS b{d} FROM k{d} JOIN n{d} USING ({node})),
 r{d} AS (SELECT * FROM r{d - 1} JOIN d{d} USING ({node}, {name}))"""

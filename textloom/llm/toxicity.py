@@ -190,7 +190,8 @@ class Matcher:
             start = end - length + 1
             if start < done or (start and low[start - 1].isalpha()):
                 continue
-            before = max((m for m in (low.rfind(c, 0, start) for c in ".!?;:\n")), default=-1) + 1
+            # a clause begins after the end of the one before: no place is searched twice
+            before = max(low.rfind(c, max(done, 0), start) for c in ".!?;:\n") + 1
             after = CLAUSE_END.search(low, end)
             done = after.start() if after else len(low)
             weight = self.clause(low[before:done])

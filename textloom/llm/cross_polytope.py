@@ -12,8 +12,8 @@ Equal vectors are one entry with the ``k + 1`` smallest ids, so copies neither f
 Rows are hashed once and stored.  A bucket is cut into parts of about ``part_rows`` entries, and a
 query visits every part of its buckets; each part returns its best ``k`` per query.
 
-Defined cases: a vector that is null, zero, or holds null or non-finite components takes no part, nor does one whose length
-is not the most common one; of repeated ids the row with the smallest vector counts; with fewer candidates than ``k`` all found are returned; an empty table gives no rows.
+Defined cases: a vector that is null, zero, or holds null or non-finite components takes no part; a shorter
+vector counts as padded with zeros; equal scores go by id; of repeated ids the row with the smallest vector counts; with fewer candidates than ``k`` all found are returned; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -88,8 +88,9 @@ def usable(vectors: DataFrame) -> DataFrame:
     rows = pick(vectors, vec_id="long", vector="array<double>").where("vec_id is not null and vector is not null")
     finite = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
     rows = rows.where(F.forall("vector", finite) & F.exists("vector", lambda v: v != 0))
-    common = rows.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
-    return rows.where(F.size("vector") == (common["d"] if common else 0))
+    dim = rows.agg(F.max(F.size("vector"))).first()[0] or 0
+    missing = F.array_repeat(F.lit(0.0), F.lit(dim) - F.size("vector"))
+    return rows.withColumn("vector", F.when(F.size("vector") < dim, F.concat("vector", missing)).otherwise(F.col("vector")))
 
 
 def nearest(
@@ -176,19 +177,23 @@ def nearest(
         def best(asking: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
             ids, y = block
             score = x @ y.T
-            count = min(k + 8, len(ids))
-            top = np.argpartition(-score, count - 1, axis=1)[:, :count] if count < len(ids) else np.tile(np.arange(len(ids)), (len(x), 1))
-            # sums of single rows do not depend on their neighbours in the block: equal rows tie exactly
-            exact = np.stack([(y[top[i]] * x[i]).sum(axis=1) for i in range(len(x))])
-            order = np.lexsort((ids[top], -exact), axis=1)[:, : k + 1]
-            top, exact = np.take_along_axis(top, order, 1), np.take_along_axis(exact, order, 1)
-            size = top.shape[1]
-            offsets = pa.array(np.arange(len(x) + 1, dtype=np.int32) * size)
+            count = min(k + 1, len(ids))
+            edge = -np.partition(-score, count - 1, axis=1)[:, count - 1]
+            found, exact, sizes = [], [], []
+            for i in range(len(x)):
+                # all that may tie with the last one; sums of single rows do not depend on their neighbours in the block
+                near = np.flatnonzero(score[i] >= edge[i] - 1e-10 * longest)
+                value = (y[near] * x[i]).sum(axis=1)
+                order = np.lexsort((ids[near], -value))[:count]
+                found.append(ids[near[order]])
+                exact.append(value[order])
+                sizes.append(len(order))
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(asking),
-                    pa.ListArray.from_arrays(offsets, pa.array(ids[top].reshape(-1))),
-                    pa.ListArray.from_arrays(offsets, pa.array(exact.reshape(-1))),
+                    pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found))),
+                    pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(exact))),
                 ],
                 ["query", "entries", "scores"],
             )

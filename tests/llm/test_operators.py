@@ -487,3 +487,66 @@ def test_a_bad_directory_among_many_keeps_its_branch(spark):
     got = {r["page_id"]: (r["template"], r["verdict"]) for r in found}
     assert {got[i] for i in range(3000) if i % 30 == 7} == {("/ah/{n}", "block")}
     assert {got[i] for i in range(3000) if i % 30 != 7} == {("/*/{n}", "allow")}
+
+
+# ------------------------------------------- inputs that once took too long or went wrong
+def test_words_of_any_structure_differ(spark):
+    swap = str.maketrans("ab", "ba")
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(swap)
+    rows = [(1, word), (2, word.translate(swap)), (3, word), (4, f"{word} {word} x"), (5, f"{word.translate(swap)} {word} x")]
+    found = ngram_jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+
+
+def test_neighbours_with_equal_scores(spark):
+    rng = np.random.default_rng(0)
+    rows = [(0, [1.0, 0.0, 0.0, 0.0])]
+    ids = rng.permutation(np.arange(1, 301)).tolist()
+    for n, i in enumerate(ids):
+        angle = rng.random() * 6.28
+        side = [float(np.cos(angle)), float(np.sin(angle)), 0.0]
+        rows.append((i, [0.95 if n < 10 else 0.9 if n < 240 else 0.85, *(0.2 * c for c in side)]))
+    found = cross_polytope.nearest(spark.createDataFrame(rows, "vec_id long, vector array<double>"), F.col("vec_id") == 0, k=20)
+    want = sorted(ids[:10]) + sorted(ids[10:240])[:10]
+    assert [r["vec_id"] for r in found.orderBy("rank").collect()] == want
+
+
+def test_toxicity_takes_long_texts():
+    import time
+
+    matcher = toxicity.matcher_of(toxicity.ToxicityModel(stems={"idiot": 2.0}))
+    short = "you are an idiot, and so on; he said no idiot here!! idiot"
+    assert [short[a:b] for a, b, _ in matcher.matched(short)] == ["you are an idiot, and so on", " he said no idiot here", " idiot"]
+    begun = time.time()
+    words = "you are an idiot and so on and on. " * 290_000  # ten million characters, a hit in every clause
+    assert len(matcher.matched(words)) == 290_000
+    assert 0 <= matcher.score(words.replace(".", " ")) <= 1
+    assert time.time() - begun < 40
+
+
+def test_long_urls_and_one_bad_directory(spark):
+    import time
+
+    import duckdb
+
+    rules = (url_templates.Rule("net", "/", "block"),)
+    pages = [(1, "http://a.org/" + "7" * 1_000_000), (2, "http://a.org/" + "7a" * 500_000), (3, None), (4, "http://a.org/x/9")]
+    labels = spark.createDataFrame([(9, 1)], "key long, bad int")
+    begun = time.time()
+    found = url_templates.judge_urls(spark.createDataFrame(pages, "page_id long, url string"), rules, labels)
+    assert found.count() == 4 and time.time() - begun < 30
+    # 30 even directories, one of them all bad: the operator and its SQL agree, and both block it
+    pages = [(100 * d + i, f"http://a.org/dir{chr(97 + d % 26)}{chr(97 + d // 26)}/{100 * d + i}") for d in range(30) for i in range(100)]
+    given = spark.createDataFrame(pages, "page_id long, url string")
+    truth = [(100 * d + i, int(d == 7)) for d in range(30) for i in range(100)]
+    found = url_templates.judge_urls(given, rules, spark.createDataFrame(truth, "key long, bad int")).drop("purity")
+    con = duckdb.connect()
+    frame, bad = given.toPandas(), spark.createDataFrame(truth, "key long, bad int").toPandas()  # noqa: F841
+    con.execute("CREATE VIEW pages AS SELECT * FROM frame")
+    sql = con.execute(url_templates.oracle(rules, "SELECT * FROM bad"))
+    names = [c[0] for c in sql.description]
+    want = sorted(tuple(str(r[names.index(c)]) for c in found.columns) for r in sql.fetchall())
+    assert sorted(tuple(map(str, r)) for r in found.collect()) == want
+    assert found.where("verdict = 'block'").count() == 100

@@ -2,8 +2,10 @@
 
 import contextlib
 import io
+import math
 import random
 import time
+from collections import Counter
 from itertools import groupby
 
 import pytest
@@ -74,7 +76,7 @@ def plans_of(spark, action):
 
 
 def test_no_single_task_and_one_text_scan(spark, sf_dir):
-    for name in ("chunk_ids", "shard_assign", "src_run_concat", "dense_index"):
+    for name in ("chunk_ids", "shard_assign", "src_run_concat", "src_run_concat_lines", "dense_index"):
         plans = plans_of(spark, lambda name=name: QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save())
         assert len(plans) > 1
         for plan in plans:
@@ -137,6 +139,58 @@ def test_concat_runs(spark, seed, buckets):
     assert sorted((r.start["at"], r.book, r.text) for r in got.collect()) == brute_runs(lines, 10)
 
 
+@pytest.mark.parametrize("fanout", [2, 10_000])
+@pytest.mark.parametrize("buckets", [1, 4, 60])
+def test_run_lines_give_the_joined_texts(spark, monkeypatch, buckets, fanout):
+    """Runs over many buckets, null ids and lines, blank lines; the lines in their order are the joined text."""
+    monkeypatch.setattr(ordering, "FANOUT", fanout)
+    rng = random.Random(buckets)
+    books, book = [], 0
+    while len(books) < 400:
+        book = rng.choice([None, 1, 2, 3])
+        books += [book] * rng.choice([1, 2, 5, 5, 60])
+    rows = [(i * 3, b, rng.choice([None, "", "  ", f" l{i} ", "x", "字 y"])) for i, b in enumerate(books)]
+    df = spark.createDataFrame(rows, "at long, book long, line string").repartition(4)
+    placed = ordering.range_bucket(df, "at", "_b", buckets)
+    args = ("book", "line", ["_b"], ["at"])
+    whole = {r.start["at"]: (r.book, r.text) for r in shaping.concat_runs(placed, *args, min_chars=8).collect()}
+    lines = {}
+    for r in shaping.run_lines(placed, *args, min_chars=8).collect():
+        lines.setdefault(r.start["at"], []).append((r.position, r.book, r.line))
+    assert len(whole) > 3 and lines.keys() == whole.keys()
+    for at, found in lines.items():
+        found.sort()
+        assert [p for p, _, _ in found] == list(range(len(found)))
+        assert (found[0][1], " ".join(line for _, _, line in found)) == whole[at]
+
+
+@pytest.mark.parametrize("fanout", [2, 10_000])
+def test_group_lines_give_the_joined_texts(spark, monkeypatch, fanout):
+    monkeypatch.setattr(ordering, "FANOUT", fanout)
+    rng = random.Random(5)
+    keys = ["hot"] * 80 + [f"k{rng.randrange(9)}" for _ in range(140)] + [None] * 20
+    rng.shuffle(keys)
+    rows = [(i, key, rng.choice([None, "", f" l{i} ", "x"]), rng.choice(["en", "de", None])) for i, key in enumerate(keys)]
+    df = spark.createDataFrame(rows, "at long, key string, line string, lang string").repartition(4)
+    placed = ordering.range_bucket(df, "at", "_b", 11)
+    args = ("key", "line", "lang", ["_b"], ["at"])
+    whole = {(r.key, r.start["at"]): (r.lang, r.text) for r in shaping.concat_groups(placed, *args, min_chars=6).collect()}
+    lines = {}
+    for r in shaping.group_lines(placed, *args, min_chars=6).collect():
+        lines.setdefault((r.key, r.start["at"]), []).append((r.position, r.lang, r.line))
+    assert len(whole) > 8 and lines.keys() == whole.keys()
+    for at, found in lines.items():
+        found.sort(key=lambda f: f[0])
+        assert [p for p, _, _ in found] == list(range(len(found)))
+        assert (found[0][1], "\n".join(line for _, _, line in found)) == whole[at]
+
+
+def test_lines_of_nothing(spark):
+    none = spark.createDataFrame([], "at long, key string, line string, lang string").withColumn("_b", F.lit(0))
+    assert shaping.run_lines(none, "key", "line", ["_b"], ["at"]).count() == 0
+    assert shaping.group_lines(none, "key", "line", "lang", ["_b"], ["at"]).count() == 0
+
+
 def test_lines_without_a_group_stay_in_their_bucket(spark):
     rows = [(i, i // 10, None, f"line {i}", "en") for i in range(40)]
     df = spark.createDataFrame(rows, "at int, _b int, key string, line string, lang string")
@@ -308,19 +362,65 @@ def test_compression_ratio(spark, sf_dir, tmp_path):
 
 
 # ----------------------------------------------------------------- language
-def test_language_detection_paths_agree(spark, sf_dir, monkeypatch):
-    docs = documents(spark, sf_dir, 4).select("doc_id", "lang", "text")
-    model = langid.train(docs)
-    texts = docs.select("doc_id", "text").unionByName(
-        spark.createDataFrame([(-1, ""), (-2, "字字字字"), (-3, None)], "doc_id long, text string")
-    )
-    small = {r.doc_id: r.detected for r in langid.detect(texts, model, ["doc_id"]).collect()}
-    monkeypatch.setattr(langid, "BROADCAST_ROWS", 0)
-    large = {r.doc_id: r.detected for r in langid.detect(texts, model, ["doc_id"]).collect()}
-    assert small == large
-    assert {small[i] for i in (-1, -2, -3)} == {"unknown"}
-    truth = {r.doc_id: r.lang for r in docs.collect()}
-    assert sum(small[i] == lang for i, lang in truth.items()) > 0.8 * len(truth)
+def brute_languages(labelled, texts):
+    """Every trigram on its own, in plain Python."""
+    def slots(text):
+        t = text.lower()
+        return [(ord(a) * 104_729 + ord(b) * 1_299 + ord(c)) % 262_139 for a, b, c in zip(t, t[1:], t[2:])]
+
+    counts = {}
+    for lang, text in labelled:
+        if lang is not None and text is not None and len(text) >= 3:
+            counts.setdefault(lang, Counter()).update(slots(text))
+    used = {slot for c in counts.values() for slot in c}
+    out = []
+    for text in texts:
+        known = [slot for slot in slots(text or "") if slot in used]
+        scores = [
+            (-sum(math.floor(math.log((c[slot] + 1) / (c.total() + len(used))) * 1_000_000) for slot in known), lang) for lang, c in counts.items()
+        ]
+        out.append(min(scores)[1] if known else "unknown")
+    return out
+
+
+ODD_TEXTS = ["", None, "ab", "字字字字", "\U0001F600\U0001F600\U0001F600", "aaa", "the THE"]
+
+
+@pytest.mark.parametrize("at_once", [1, 50, 1 << 22])
+def test_language_model_against_brute_force(spark, sf_dir, tmp_path, monkeypatch, at_once):
+    monkeypatch.setattr(langid, "TRIGRAMS_AT_ONCE", at_once)
+    some = [(r.lang, r.text[:300]) for r in documents(spark, sf_dir, 4).orderBy("doc_id").limit(12).collect()]
+    labelled = [*some, (None, "no label"), ("en", None), ("en", ""), ("tiny", "ab"), ("en", "the the the")]
+    schema = "lang string, text string"
+    langid.save(langid.train(spark.createDataFrame(labelled, schema).repartition(3)), f"{tmp_path}/model")
+    texts = [*ODD_TEXTS, *[text[20:80] for _, text in some]]
+    numbered = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = langid.stored_detector(f"{tmp_path}/model")(numbered, ["doc_id"])
+    assert [r.detected for r in got.orderBy("doc_id").collect()] == brute_languages(labelled, texts)
+    assert "Exchange" not in plan_text(got)
+
+
+def test_language_model_edges(spark, tmp_path):
+    texts = spark.createDataFrame([(1, "some text"), (2, None)], "doc_id long, text string")
+    empty = langid.train(spark.createDataFrame([], "lang string, text string"))
+    langid.save(empty, f"{tmp_path}/empty")
+    assert {r.detected for r in langid.stored_detector(f"{tmp_path}/empty")(texts, ["doc_id"]).collect()} == {"unknown"}
+    dirty = spark.createDataFrame([(f"label {i}", "abc") for i in range(5)], "lang string, text string")
+    assert len(langid.train(dirty, most_languages=5).languages) == 5
+    with pytest.raises(ValueError, match="more than 4 languages"):
+        langid.train(dirty, most_languages=4)
+    spark.createDataFrame([(0, 7, ["en"])], "format int, slots int, languages array<string>").write.parquet(f"{tmp_path}/old/model")
+    with pytest.raises(ValueError, match="not a language model"):
+        langid.load(spark, f"{tmp_path}/old")
+
+
+def test_language_detection_held_out(spark, sf_dir):
+    """Labels of documents the model has not seen."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text").where("lang is not null")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    found = langid.detect(docs.where(held_out), langid.train(docs.where(~held_out)))
+    right, n = found.agg(F.avg((F.col("lang") == F.col("detected")).cast("int")), F.count("*")).first()
+    assert n > 20 and right > 0.8
 
 
 # ------------------------------------------------------------------ schemas

@@ -50,11 +50,16 @@ def _nfkc(text: str | None) -> str | None:
 
 
 @F.arrow_udf(T.StringType())
-def nfkc(texts: pa.Array) -> pa.Array:
-    """Unicode NFKC, one Arrow batch at a time."""
+def _nfkc_batch(texts: pa.Array) -> pa.Array:
     return pa.array(map(_nfkc, texts.to_pylist()), pa.string())
 
 
+def nfkc(text: Column) -> Column:
+    """Unicode NFKC, one Arrow batch at a time; texts of one-byte characters are normal and do not leave the JVM."""
+    beyond_ascii = bind(text, lambda t: F.when(F.octet_length(t) != F.length(t), t))
+    return F.coalesce(_nfkc_batch(beyond_ascii), text)
+
+
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def nfkc_each(lists: pa.Array) -> pa.Array:
     """NFKC of every string of an array; a Python function cannot be called inside ``transform``."""

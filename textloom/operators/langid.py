@@ -1,116 +1,155 @@
-"""Language identification: a character-trigram model, trained with groupings and applied within the row.
+"""Language identification: a character-trigram model of fixed size, trained with a grouping and applied within the row.
 
-Scores are sums of integers (log probabilities in millionths), so the result does
-not depend on the order in which Spark adds them up.
+Trigrams fall into ``SLOTS`` numbered slots, so the model has the same bounds for any vocabulary and every text is
+scored in place.  Trigrams that share a slot share its counts: that is part of the model.  Scores are sums of integers
+(log probabilities in millionths), so the result does not depend on the order in which Spark adds them up.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.operators.ordering import BROADCAST_ROWS
 from textloom.session import settle
 
 UNKNOWN = "unknown"
 SCALE = 1_000_000
+# a prime; slot = (first * 104729 + second * 1299 + third) mod SLOTS, of code points
+SLOTS, FIRST, SECOND = 262_139, 104_729, 1_299
+# a worker holds SLOTS * MOST_LANGUAGES scores of four bytes at most
+MOST_LANGUAGES = 64
+FORMAT = 1
+TRIGRAMS_AT_ONCE = 1 << 22
+MODEL_SCHEMA = "slot long, scores array<int>"
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``table(gram, scores)`` holds one score per language, in the order of ``languages``."""
+    """``table(slot, scores)`` holds one score per language, in the order of ``languages``; slots never seen are missing."""
 
     languages: list[str]
     table: DataFrame
-    grams: int
 
 
-def trigrams(text: Column) -> Column:
-    """All overlapping three-character pieces of the lower-cased text, in one linear pass."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"(?s)(?=(...))"), F.lit(1))
+def _slots(text: str) -> np.ndarray:
+    """The slots of all overlapping trigrams of a text, one per trigram."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+    return (points[:-2] * FIRST + points[1:-1] * SECOND + points[2:]) % SLOTS
+
+
+def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Trigrams per (lang, slot), summed over some millions of them before they leave the task."""
+    names = ["lang", "slot", "n"]
+
+    def counted(lang: str, waiting: list[np.ndarray]) -> pa.RecordBatch:
+        slots, n = np.unique(np.concatenate(waiting), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(slots), pa.string()), pa.array(slots), pa.array(n.astype(np.int64))], names)
 
+    for batch in batches:
+        languages = batch.column("lang")
+        for lang in pc.unique(languages).to_pylist():
+            waiting, held = [], 0
+            for text in batch.column("text").filter(pc.equal(languages, lang)):
+                found = _slots(text.as_py())
+                waiting.append(found)
+                held += len(found)
+                if held >= TRIGRAMS_AT_ONCE:
+                    yield counted(lang, waiting)
+                    waiting, held = [], 0
+            if held:
+                yield counted(lang, waiting)
 
-def train(labelled: DataFrame) -> LanguageModel:
-    """Smoothed log probabilities of all trigrams of ``labelled(lang, text)``.
 
-    Counting is pre-aggregated on the map side; what is shuffled and kept has the
-    size of the vocabulary, not of the corpus.
+def train(labelled: DataFrame, most_languages: int = MOST_LANGUAGES) -> LanguageModel:
+    """Smoothed log probabilities of the slots, from all texts of ``labelled(lang, text)``.
+
+    Rows without a language or with fewer than three characters teach nothing.  Labels are the model's width, so more than
+    ``most_languages`` of them are refused: such a column holds something else than languages.
     """
-    grams = labelled.where(F.col("lang").isNotNull()).select(
-        "lang", F.explode(trigrams(F.col("text"))).alias("gram")
-    )
-    counts, _ = settle(grams.groupBy("lang", "gram").agg(F.count("*").alias("n")))
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").collect()  # one row per language
-    seen = counts.groupBy("gram").agg(
+    texts = labelled.where(F.col("lang").isNotNull() & (F.length("text") >= 3)).select("lang", F.lower("text").alias("text"))
+    found = texts.mapInArrow(_count_slots, "lang string, slot long, n long")
+    counts, _ = settle(found.groupBy("lang", "slot").agg(F.sum("n").alias("n")))
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").limit(most_languages + 1).collect()
+    if len(totals) > most_languages:
+        raise ValueError(f"more than {most_languages} languages: clean the labels, or raise most_languages")
+    if not totals:
+        return LanguageModel([], labelled.sparkSession.createDataFrame([], MODEL_SCHEMA))
+    seen = counts.groupBy("slot").agg(
         *[F.coalesce(F.sum(F.when(F.col("lang") == t["lang"], F.col("n"))), F.lit(0)).alias(f"_n{i}") for i, t in enumerate(totals)]
     )
-    seen, vocabulary = settle(seen)
+    seen, used = settle(seen)
 
     def score(n: Column, total: int) -> Column:
-        p = (n + 1).cast("double") / F.lit(float(total + vocabulary))
-        return F.floor(F.log(p) * SCALE).cast("long")
+        p = (n + 1).cast("double") / F.lit(float(total + used))
+        return F.floor(F.log(p) * SCALE).cast("int")
 
     scores = [score(F.col(f"_n{i}"), t["total"]) for i, t in enumerate(totals)]
-    table = seen.select("gram", (F.array(*scores) if scores else F.array().cast("array<bigint>")).alias("scores"))
-    return LanguageModel([t["lang"] for t in totals], table, vocabulary)
+    table = seen.select("slot", F.array(*scores).alias("scores"))
+    return LanguageModel([t["lang"] for t in totals], table)
 
 
-def _codes(text: str) -> np.ndarray:
-    """Each trigram as one number: three code points of 21 bits."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
-    return (points[:-2] << 42) | (points[1:-1] << 21) | points[2:]
+def save(model: LanguageModel, path: str) -> None:
+    """Store a model below ``path``.  The list of languages is written last: a model without it does not count."""
+    spark = model.table.sparkSession
+    model.table.write.mode("overwrite").parquet(f"{path}/scores")
+    rows = [(FORMAT, SLOTS, model.languages)]
+    spark.createDataFrame(rows, "format int, slots int, languages array<string>").coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
+
+
+def load(spark: SparkSession, path: str) -> LanguageModel:
+    """A stored model; one with other slots or of another format is refused."""
+    about = spark.read.parquet(f"{path}/model").first()
+    if about is None or (about["format"], about["slots"]) != (FORMAT, SLOTS):
+        raise ValueError(f"{path}: not a language model of format {FORMAT} with {SLOTS} slots")
+    return LanguageModel(list(about["languages"]), spark.read.schema(MODEL_SCHEMA).parquet(f"{path}/scores"))
+
+
+def stored_detector(path: str) -> Callable[[DataFrame, list[str]], DataFrame]:
+    """A detector for sources of unlabelled texts, by the model stored at ``path``."""
+    return lambda texts, keys: detect(texts, load(texts.sparkSession, path))
 
 
 def _scorer(model: LanguageModel):  # noqa: ANN202
-    """A column function that labels a lower-cased text, with the whole model (a checked number of rows) in each worker."""
-    rows = model.table.where(F.length("gram") == 3).collect()
-    codes = np.array([_codes(r["gram"])[0] for r in rows], dtype=np.int64)
-    order = np.argsort(codes)
-    scores = np.array([r["scores"] for r in rows], dtype=np.int64).reshape(len(rows), len(model.languages))
-    shipped = model.table.sparkSession.sparkContext.broadcast((codes[order], scores[order], model.languages))
+    """A column function that labels a lower-cased text, with the whole model, whose size is fixed, in each worker."""
+    table = model.table.toArrow().combine_chunks()  # SLOTS rows at most
+    places = np.full(SLOTS, table.num_rows, dtype=np.int32)
+    flat = pc.list_flatten(table.column("scores")).to_numpy()
+    scores = np.concatenate([flat.reshape(table.num_rows, len(model.languages)), np.zeros((1, len(model.languages)), np.int32)])
+    places[table.column("slot").to_numpy()] = np.arange(table.num_rows, dtype=np.int32)
+    shipped = model.table.sparkSession.sparkContext.broadcast((places, scores, model.languages))
 
     @F.arrow_udf(T.StringType())
     def label(texts: pa.Array) -> pa.Array:
-        known, table, languages = shipped.value
+        places, scores, languages = shipped.value
+        unseen = len(scores) - 1
 
         def best(text: str | None) -> str:
-            if text is None or len(text) < 3 or not len(known):
+            if text is None or len(text) < 3:
                 return UNKNOWN
-            found = _codes(text)
-            at = np.minimum(np.searchsorted(known, found), len(known) - 1)
-            at = at[known[at] == found]
+            total, known = np.zeros(len(languages), np.int64), 0
+            slots = _slots(text)
+            for start in range(0, len(slots), TRIGRAMS_AT_ONCE):
+                at = places[slots[start : start + TRIGRAMS_AT_ONCE]]
+                known += np.count_nonzero(at != unseen)
+                # an unseen slot adds nothing
+                total += scores[at].sum(axis=0, dtype=np.int64)
             # argmax takes the first of equals, and languages stand in order of their names
-            return languages[int(table[at].sum(axis=0).argmax())] if len(at) else UNKNOWN
+            return languages[int(total.argmax())] if known else UNKNOWN
 
         return pa.array(map(best, texts.to_pylist()), pa.string())
 
     return label
 
 
-def detect(docs: DataFrame, model: LanguageModel, keys: list[str]) -> DataFrame:
-    """``docs`` with ``detected``: the best language, ``unknown`` if no trigram is in the model.
-
-    A model within the size bound goes to every worker and texts are scored in place: no row
-    moves.  A larger model meets the trigrams in a shuffle join, after they were counted per text.
-    """
+def detect(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """``docs`` with ``detected``: the best language, ``unknown`` if no trigram's slot is in the model.  No row moves."""
     if not model.languages:
         return docs.withColumn("detected", F.lit(UNKNOWN))
-    if model.grams <= BROADCAST_ROWS:
-        return docs.withColumn("detected", _scorer(model)(F.lower("text")))
-    grams = docs.select(*keys, F.explode(trigrams(F.col("text"))).alias("gram"))
-    scored = grams.groupBy(*keys, "gram").agg(F.count("*").alias("n")).join(model.table, "gram")
-    sums = scored.groupBy(*keys).agg(
-        *[F.sum(F.col("n") * F.col("scores")[i]).alias(f"_s{i}") for i in range(len(model.languages))]
-    )
-    # highest score, then the first language name
-    ranked = F.array_min(
-        F.array(*[F.struct(-F.col(f"_s{i}"), F.lit(lang).alias("lang")) for i, lang in enumerate(model.languages)])
-    )
-    best = sums.select(*keys, ranked["lang"].alias("_best"))
-    joined = docs.join(best, keys, "left")
-    return joined.select(*docs.columns, F.coalesce("_best", F.lit(UNKNOWN)).alias("detected"))
+    return docs.withColumn("detected", _scorer(model)(F.lower("text")))

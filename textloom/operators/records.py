@@ -87,14 +87,17 @@ def clean_turns(
     spark = turns.sparkSession
     message = F.col(text)
     blank = message.isNull() | (message == "")
-    content = F.when(blank, message).when(_acceptable(message, options), clean_normalized(nfkc(message)))
+    raw = turns.where(allowed_language(F.col("lang"), options.allowed_langs))
+    rest = [c for c in turns.columns if c != text]
+    # blank messages stay; what is not acceptable becomes null and does not reach the Python step
+    tested = F.struct(F.when(blank, message).when(_acceptable(message, options), message).alias(text), blank.alias("_blank"))
+    normal = raw.select(*rest, F.inline(F.array(tested))).select(*rest, "_blank", nfkc(F.col(text)).alias(text))
+    content = F.when(F.col("_blank"), message).otherwise(clean_normalized(message))
     checked = F.transform(
         F.array(content),
-        lambda c: F.struct(c.alias(text), F.coalesce(blank | is_valid(c), F.lit(False)).alias("_ok")),
+        lambda c: F.struct(c.alias(text), F.coalesce(F.col("_blank") | is_valid(c), F.lit(False)).alias("_ok")),
     )
-    raw = turns.where(allowed_language(F.col("lang"), options.allowed_langs))
-    rest = [c for c in turns.columns if c != text]
-    cleaned = raw.select(*rest, F.inline(checked))
+    cleaned = normal.select(*rest, F.inline(checked))
     path = scratch_path(spark, "turns")
     cleaned.write.option("compression", "zstd").parquet(path)
     stored = spark.read.schema(cleaned.schema).parquet(path)

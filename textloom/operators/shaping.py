@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 
 from textloom.functions.binding import bind
 from textloom.functions.cleaning import py_strip
-from textloom.operators.ordering import by_keys, first_per_group, in_groups, join_small
+from textloom.operators.ordering import by_keys, first_per_group, in_groups, join_small, running_totals
 from textloom.options import MIN_SOURCE_CHARS
+from textloom.session import settle
 
 RECORD = ("doc_id", "part", "lang", "text")
 
@@ -80,6 +81,29 @@ def _stripped_lines(lines: DataFrame, text: str) -> DataFrame:
     return lines.select(*rest, F.explode(line).alias(text))
 
 
+def _in_pieces(lines: DataFrame, run_id: str, text: str, buckets: list[str], order: list[str]) -> DataFrame:
+    """Lines that are not blank as ``(*buckets, _at, _id, _line)``, with ``_piece``: where the run begins, as far as its bucket tells."""
+    lines = _stripped_lines(lines, text).select(
+        *buckets, F.struct(*order).alias("_at"), F.col(run_id).alias("_id"), F.col(text).alias("_line")
+    )
+    in_bucket = Window.partitionBy(*buckets).orderBy("_at")
+    first_row = F.row_number().over(in_bucket) == 1
+    begins = first_row | ~F.lag("_id").over(in_bucket).eqNullSafe(F.col("_id"))
+    so_far = in_bucket.rowsBetween(Window.unboundedPreceding, 0)
+    return lines.withColumn("_begins", F.when(begins, F.col("_at"))).withColumn("_piece", F.max("_begins").over(so_far)).drop("_begins")
+
+
+def _edges(pieces: DataFrame, buckets: list[str], *more: Column) -> DataFrame:
+    """One row per bucket: its first and last piece, and what ``more`` sums up."""
+    return pieces.groupBy(*buckets).agg(
+        F.min_by(F.struct("_id"), "_piece").alias("_first"),
+        F.max_by(F.struct("_id"), "_piece").alias("_last"),
+        F.min("_piece").alias("_first_piece"),
+        F.max("_piece").alias("_last_piece"),
+        *more,
+    )
+
+
 def concat_runs(
     lines: DataFrame,
     run_id: str,
@@ -96,28 +120,13 @@ def concat_runs(
     frequent id nor a long run meets in one task; a run crossing bucket bounds is
     put together from its few pieces.  Blank lines do not separate runs.
     """
-    lines = _stripped_lines(lines, text).select(
-        *buckets, F.struct(*order).alias("_at"), F.col(run_id).alias("_id"), F.col(text).alias("_line")
-    )
-    in_bucket = Window.partitionBy(*buckets).orderBy("_at")
-    first_row = F.row_number().over(in_bucket) == 1
-    begins = first_row | ~F.lag("_id").over(in_bucket).eqNullSafe(F.col("_id"))
-    so_far = in_bucket.rowsBetween(Window.unboundedPreceding, 0)
-
     pieces = (
-        lines.withColumn("_begins", F.when(begins, F.col("_at")))
-        .withColumn("_piece", F.max("_begins").over(so_far))
+        _in_pieces(lines, run_id, text, buckets, order)
         .groupBy(*buckets, "_piece", "_id")
         .agg(_ordered_text(["_at"], "_line", separator).alias("_joined"))
     )
-    # one row per bucket; the joined lines are not needed for it and pruned from the plan
-    edges = pieces.groupBy(*buckets).agg(
-        F.min_by(F.struct("_id"), "_piece").alias("_first"),
-        F.max_by(F.struct("_id"), "_piece").alias("_last"),
-        F.min("_piece").alias("_first_piece"),
-        F.max("_piece").alias("_last_piece"),
-    )
-    carried = _carried(edges, buckets)
+    # the joined lines are not needed for the edges and pruned from the plan
+    carried = _carried(_edges(pieces, buckets), buckets)
     runs = (
         join_small(pieces, carried, ["_piece"], "left")
         .groupBy(F.coalesce("_carry", "_piece").alias("start"), F.col("_id").alias(run_id))
@@ -126,6 +135,68 @@ def concat_runs(
     return runs.where(F.length("text") >= min_chars)
 
 
+def run_lines(
+    lines: DataFrame,
+    run_id: str,
+    text: str,
+    buckets: list[str],
+    order: list[str],
+    separator: str = " ",
+    min_chars: int = MIN_SOURCE_CHARS,
+) -> DataFrame:
+    """The texts of ``concat_runs`` line by line: ``(start, run_id, position, <text>)``, so a run may be longer than a row.
+
+    ``position`` counts a run's lines from 0; joining them in its order gives the text.  Positions within a bucket come from a
+    window; a run that crosses bucket bounds goes on where the sums over the buckets before leave it.  Only
+    buckets and the pieces of such runs are exchanged besides, one narrow row each.
+    """
+    placed = _in_pieces(lines, run_id, text, buckets, order)
+    extra = len(separator)
+    pieces = placed.groupBy(*buckets, "_piece", "_id").agg(
+        F.count("*").alias("_n"), F.sum(F.length("_line").cast("long") + extra).alias("_chars")
+    )
+    edges, many = settle(
+        _edges(
+            pieces,
+            buckets,
+            F.sum("_n").alias("_n"),
+            F.max_by("_n", "_piece").alias("_last_n"),
+            F.max_by("_chars", "_piece").alias("_last_chars"),
+            F.min_by("_chars", "_piece").alias("_first_chars"),
+        )
+    )
+    carried, _ = settle(_carried(edges, buckets))
+    # places of the buckets in the order of all lines, and of the pieces that later buckets go on with
+    based = edges.join(running_totals(edges, buckets, ["_n"], many), buckets)
+    begun = based.select(F.col("_last_piece").alias("_carry"), (F.col("_offset__n") + F.col("_n") - F.col("_last_n")).alias("_begun"), "_last_chars")
+    going_on = (
+        carried.join(based.select(F.col("_first_piece").alias("_piece"), "_offset__n", "_first_chars"), "_piece")
+        .join(begun, "_carry")
+        .select("_piece", "_carry", (F.col("_offset__n") - F.col("_begun")).alias("_skip"), "_first_chars", "_last_chars")
+    )
+    # characters of the runs that cross a bound: their pieces, summed on the map side
+    spanning = going_on.groupBy("_carry").agg((F.sum("_first_chars") + F.first("_last_chars")).alias("_run_chars"))
+    places = (
+        going_on.join(spanning, "_carry")
+        .select("_piece", "_carry", "_skip", "_run_chars")
+        .unionByName(spanning.select(F.col("_carry").alias("_piece"), "_carry", F.lit(0).cast("long").alias("_skip"), "_run_chars"))
+    )
+    in_piece = Window.partitionBy(*buckets, "_piece")
+    counted = placed.select(
+        "*",
+        (F.row_number().over(in_piece.orderBy("_at")) - 1).alias("_in"),
+        F.sum(F.length("_line").cast("long") + extra).over(in_piece).alias("_chars"),
+    )
+    joined = join_small(counted, places, ["_piece"], "left")
+    long = F.coalesce("_run_chars", "_chars") - extra >= min_chars
+    return joined.where(long).select(
+        F.coalesce("_carry", "_piece").alias("start"),
+        F.col("_id").alias(run_id),
+        (F.coalesce("_skip", F.lit(0)) + F.col("_in")).cast("long").alias("position"),
+        F.col("_line").alias(text),
+    )
+
+
 def _carried(edges: DataFrame, buckets: list[str]) -> DataFrame:
     """(_piece, _carry): for pieces that go on with the run of the bucket before, the piece where that run starts.
 
@@ -188,6 +259,52 @@ def concat_groups(
     return joined.drop("_apart").where(F.length("text") >= min_chars)
 
 
+def group_lines(
+    lines: DataFrame,
+    group: str,
+    text: str,
+    lang: str,
+    buckets: list[str],
+    order: list[str],
+    separator: str = "\n",
+    min_chars: int = MIN_SOURCE_CHARS,
+) -> DataFrame:
+    """The texts of ``concat_groups`` line by line: ``(start, group, lang, position, <text>)``, so a group may be larger than a row.
+
+    Positions are those within a bucket plus the lines of the group in earlier buckets: one narrow row per group and
+    bucket is summed up and meets the lines on the partitioning their window already has.
+    """
+    lines = _stripped_lines(lines, text).withColumn("_at", F.struct(*order)).withColumn("_lang", F.struct(F.col(lang).alias("lang")))
+    # lines without an id are no group, but one for each of their blocks
+    apart = F.when(F.col(group).isNull(), F.struct(*buckets))
+    extra = len(separator)
+    whose = F.to_json(F.struct(F.col(group).alias("id"), apart.alias("apart"))).alias("_whose")
+    lines = lines.select(*buckets, whose, F.col(group).alias("_id"), "_at", "_lang", F.col(text).alias("_line"))
+    keys = ["_whose", *buckets]
+    parts = lines.groupBy(*keys).agg(
+        F.count("*").alias("_n"),
+        F.sum(F.length("_line").cast("long") + extra).alias("_chars"),
+        F.min("_at").alias("_start"),
+        F.min_by("_lang", "_at").alias("_first_lang"),
+    )
+    parts, many = settle(parts)
+    wholes = parts.groupBy("_whose").agg(
+        (F.sum("_chars") - extra).alias("_length"),
+        F.min("_start").alias("start"),
+        F.min_by("_first_lang", "_start")["lang"].alias("lang"),
+        F.min(F.struct(*buckets)).alias("_first_bucket"),
+    )
+    before = running_totals(parts, keys, ["_n"], many)
+    first = before.select("_whose", F.struct(*buckets).alias("_first_bucket"), F.col("_offset__n").alias("_base"))
+    wholes = wholes.where(F.col("_length") >= min_chars).join(first, ["_whose", "_first_bucket"])
+    places = before.join(wholes, "_whose").select(*keys, "start", "lang", (F.col("_offset__n") - F.col("_base")).alias("_skip"))
+    inside = F.row_number().over(Window.partitionBy(*keys).orderBy("_at")) - 1
+    joined = lines.drop("_lang").withColumn("_in", inside).join(places, keys)
+    return joined.select(
+        "start", F.col("_id").alias(group), "lang", (F.col("_skip") + F.col("_in")).cast("long").alias("position"), F.col("_line").alias(text)
+    )
+
+
 def keep_first_by_hash(df: DataFrame, text: str, order: list[str]) -> DataFrame:
     """The first row, in key order, of every distinct text (by md5).
 

@@ -193,6 +193,16 @@ plan AS (
       THEN CAST(floor(base_total * proportion) AS BIGINT) END AS max_rows
   FROM present LEFT JOIN rules USING (source), base_rows)"""
 
+# the trigram slots of every document, and the language of the highest score
+SLOT_LISTS = """codes AS (
+  SELECT doc_id, lang, list_transform(regexp_extract_all(lower(text), '(?s).'), lambda c: CAST(unicode(c) AS BIGINT)) AS cs FROM documents),
+slot_lists AS (
+  SELECT doc_id, lang, list_transform(range(1, len(cs) - 1), lambda i: (cs[i] * 104729 + cs[i + 1] * 1299 + cs[i + 2]) % 262139) AS slots
+  FROM codes)"""
+BEST_LANGUAGE = """scores AS (
+  SELECT doc_id, m.lang, sum(n * score) AS score FROM doc_grams g JOIN model m ON {on} GROUP BY doc_id, m.lang),
+best AS (SELECT doc_id, lang FROM scores QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) = 1)
+SELECT d.doc_id, coalesce(b.lang, 'unknown') AS detected FROM documents d LEFT JOIN best b USING (doc_id)"""
 LINES = "SELECT doc_id, line_no, book, {strip} AS line FROM doc_lines"
 CAP_VALUES = ", ".join(f"('{lang}', {n})" for lang, n in CAPS.items())
 
@@ -248,6 +258,28 @@ flagged AS (
 SELECT min(doc_id) AS doc_id, arg_min(line_no, doc_id * 100000 + line_no) AS line_no, any_value(book) AS book,
   string_agg(line, ' ' ORDER BY doc_id, line_no) AS text
 FROM numbered GROUP BY run HAVING length(string_agg(line, ' ' ORDER BY doc_id, line_no)) >= 100""",
+    ),
+    "src_run_concat_lines": _with(
+        SQL["doc_lines"],
+        f"stripped AS (SELECT * FROM ({LINES.format(strip=_strip('line'))}) WHERE line <> '')",
+        """
+flagged AS (
+  SELECT *, CASE WHEN lag(book) OVER w IS DISTINCT FROM book OR row_number() OVER w = 1 THEN 1 ELSE 0 END AS s
+  FROM stripped WINDOW w AS (ORDER BY doc_id, line_no))""",
+        "numbered AS (SELECT *, sum(s) OVER (ORDER BY doc_id, line_no) AS run FROM flagged)",
+        select="""
+SELECT first_value(doc_id) OVER w AS doc_id, first_value(line_no) OVER w AS line_no, book, row_number() OVER w - 1 AS position, line
+FROM numbered WINDOW w AS (PARTITION BY run ORDER BY doc_id, line_no)
+QUALIFY sum(length(line) + 1) OVER (PARTITION BY run) - 1 >= 100""",
+    ),
+    "src_group_concat_lines": _with(
+        SQL["turns"],
+        f"""lines AS (
+  SELECT conv_id, turn, CASE WHEN role = 'user' THEN 'en' ELSE 'de' END AS lang, {_strip("text")} AS line FROM turns)""",
+        select="""
+SELECT conv_id, first_value(turn) OVER w AS turn, first_value(lang) OVER w AS lang, row_number() OVER w - 1 AS position, line
+FROM lines WHERE line <> '' WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+QUALIFY sum(length(line) + 1) OVER (PARTITION BY conv_id) - 1 >= 100""",
     ),
     "src_group_concat": _with(
         SQL["turns"],
@@ -475,25 +507,36 @@ SELECT * FROM sources WHERE source NOT IN (SELECT source FROM manifest WHERE r =
 SELECT source, 'cleaning' AS stage, CAST(ok AS INTEGER) AS ok, num_records, languages FROM manifest WHERE r = 2""",
     ),
     # the half of a document is the first character of its keys; a model's keys carry the other half
-    "lang_detect": """
-WITH grams AS (
-  SELECT doc_id, lang, doc_id % 2 AS half,
-    unnest(list_transform(range(1, len(cs) - 1), lambda i: cs[i] || cs[i + 1] || cs[i + 2])) AS gram
-  FROM (SELECT doc_id, lang, regexp_extract_all(lower(text), '(?s).') AS cs FROM documents)),
-counts AS (
-  SELECT half, lang, gram, CAST(half AS VARCHAR) || lang || '|' || gram AS key, count(*) AS n FROM grams GROUP BY half, lang, gram),
+    "lang_detect": f"""
+WITH {SLOT_LISTS},
+grams AS (SELECT doc_id, lang, doc_id % 2 AS half, unnest(slots) AS slot FROM slot_lists),
+counts AS (SELECT half, lang, slot, count(*) AS n FROM grams WHERE lang IS NOT NULL GROUP BY half, lang, slot),
 totals AS (SELECT half, lang, sum(n) AS total FROM counts GROUP BY half, lang),
-vocabulary AS (SELECT DISTINCT half, gram FROM counts),
+vocabulary AS (SELECT DISTINCT half, slot FROM counts),
 sizes AS (SELECT half, count(*) AS v FROM vocabulary GROUP BY half),
 model AS (
-  SELECT CAST(1 - v.half AS VARCHAR) || v.gram AS key, t.lang, CAST(floor(ln(CAST(coalesce(c.n, 0) + 1 AS DOUBLE)
+  SELECT 1 - v.half AS half, v.slot, t.lang, CAST(floor(ln(CAST(coalesce(c.n, 0) + 1 AS DOUBLE)
     / CAST(t.total + z.v AS DOUBLE)) * 1000000) AS BIGINT) AS score
   FROM vocabulary v JOIN totals t ON t.half = v.half JOIN sizes z ON z.half = v.half
-  LEFT JOIN counts c ON c.key = CAST(v.half AS VARCHAR) || t.lang || '|' || v.gram),
-doc_grams AS (
-  SELECT doc_id, CAST(any_value(half) AS VARCHAR) || gram AS key, count(*) AS n FROM grams GROUP BY doc_id, gram),
-scores AS (
-  SELECT doc_id, m.lang, sum(n * score) AS score FROM doc_grams JOIN model m ON m.key = doc_grams.key GROUP BY doc_id, m.lang),
-best AS (SELECT doc_id, lang FROM scores QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) = 1)
-SELECT d.doc_id, coalesce(b.lang, 'unknown') AS detected FROM documents d LEFT JOIN best b USING (doc_id)""",
+  LEFT JOIN counts c ON c.half = v.half AND c.lang = t.lang AND c.slot = v.slot),
+doc_grams AS (SELECT doc_id, half, slot, count(*) AS n FROM grams GROUP BY doc_id, half, slot),
+{BEST_LANGUAGE.format(on="m.half = g.half AND m.slot = g.slot")}""",
+    "detect_stored_model": f"""
+WITH {SLOT_LISTS},
+grams AS (SELECT doc_id, lang, unnest(slots) AS slot FROM slot_lists),
+counts AS (SELECT lang, slot, count(*) AS n FROM grams WHERE lang IS NOT NULL GROUP BY lang, slot),
+totals AS (SELECT lang, sum(n) AS total FROM counts GROUP BY lang),
+vocabulary AS (SELECT DISTINCT slot FROM counts),
+model AS (
+  SELECT v.slot, t.lang, CAST(floor(ln(CAST(coalesce(c.n, 0) + 1 AS DOUBLE)
+    / CAST(t.total + (SELECT count(*) FROM vocabulary) AS DOUBLE)) * 1000000) AS BIGINT) AS score
+  FROM vocabulary v CROSS JOIN totals t LEFT JOIN counts c ON c.lang = t.lang AND c.slot = v.slot),
+doc_grams AS (SELECT doc_id, slot, count(*) AS n FROM grams GROUP BY doc_id, slot),
+{BEST_LANGUAGE.format(on="m.slot = g.slot")}""",
+    "detect_by_script": """
+WITH letters AS (
+  SELECT doc_id, length(regexp_replace(text, '[^\u0400-\u04FF]', '', 'g')) AS cyrillic,
+    length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS latin FROM documents)
+SELECT doc_id, CASE WHEN cyrillic > 0 AND cyrillic >= latin THEN 'ru' WHEN latin > 0 THEN 'en' ELSE 'unknown' END AS detected
+FROM letters""",
 }

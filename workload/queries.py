@@ -16,7 +16,7 @@ from textloom.plans.extract import published_paths, read_published, run_extract
 from textloom.plans.layout import Layout
 from textloom.session import scratch_path, spread
 from textloom.sources import manifest as M
-from textloom.sources.catalog import DEFAULT_STOP_MARKERS, NO_VALUE, STOP_MARKERS, SourceSpec, landed, noticing
+from textloom.sources.catalog import DEFAULT_STOP_MARKERS, NO_VALUE, STOP_MARKERS, SourceSpec, by_script, landed, noticing
 from textloom.sources.parquet_io import read_or_empty, read_table, write_json, write_table
 from textloom.streaming.clean_stream import clean_stream
 from workload import views
@@ -61,13 +61,29 @@ def src_run_concat(spark: SparkSession, d: str) -> DataFrame:
     return runs.select("start.doc_id", "start.line_no", "book", "text")
 
 
-def src_group_concat(spark: SparkSession, d: str) -> DataFrame:
+def src_run_concat_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The same runs, one row per line."""
+    lines = views.doc_lines(spark, d)
+    runs = shaping.run_lines(lines, "book", "line", ["_bucket"], ["doc_id", "line_no"])
+    return runs.select("start.doc_id", "start.line_no", "book", "position", "line")
+
+
+def _turns_by_role(spark: SparkSession, d: str) -> DataFrame:
     turns = views.dirty_turns(spark, d).withColumn("_block", F.floor(F.col("turn") / 64))
-    turns = turns.withColumn("lang", F.when(F.col("role") == "user", "en").otherwise("de"))
-    joined = shaping.concat_groups(turns, "conv_id", "text", "lang", ["_block"], ["turn"])
+    return turns.withColumn("lang", F.when(F.col("role") == "user", "en").otherwise("de"))
+
+
+def src_group_concat(spark: SparkSession, d: str) -> DataFrame:
+    joined = shaping.concat_groups(_turns_by_role(spark, d), "conv_id", "text", "lang", ["_block"], ["turn"])
     return joined.select("conv_id", "start.turn", "lang", "text")
 
 
+def src_group_concat_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The same groups, one row per line."""
+    lines = shaping.group_lines(_turns_by_role(spark, d), "conv_id", "text", "lang", ["_block"], ["turn"])
+    return lines.select("conv_id", "start.turn", "lang", "position", F.col("text").alias("line"))
+
+
 def src_hash_dedup(spark: SparkSession, d: str) -> DataFrame:
     docs = views.documents(spark, d).select(
         "doc_id",
@@ -391,18 +407,32 @@ def lang_detect(spark: SparkSession, d: str) -> DataFrame:
     docs = views.spread_documents(spark, d).select("doc_id", "lang", "text")
     odd = F.col("doc_id") % 2 == 1
     halves = [
-        langid.detect(docs.where(half).select("doc_id", "text"), langid.train(docs.where(~half)), ["doc_id"])
+        langid.detect(docs.where(half).select("doc_id", "text"), langid.train(docs.where(~half)))
         for half in (odd, ~odd)
     ]
     return halves[0].union(halves[1]).select("doc_id", "detected")
 
 
+def detect_stored_model(spark: SparkSession, d: str) -> DataFrame:
+    """All documents, labelled as a source of unlabelled texts would be: by a model that was trained and stored before."""
+    docs = views.spread_documents(spark, d).select("doc_id", "lang", "text")
+    path = scratch_path(spark, "language-model")
+    langid.save(langid.train(docs), path)
+    return langid.stored_detector(path)(docs.select("doc_id", "text"), ["doc_id"]).select("doc_id", "detected")
+
+
+def detect_by_script(spark: SparkSession, d: str) -> DataFrame:
+    return by_script(views.documents(spark, d), ["doc_id"]).select("doc_id", "detected")
+
+
 QUERIES: dict[str, Query] = {
     "src_min_length": src_min_length,
     "src_unpivot": src_unpivot,
     "src_nested_explode": src_nested_explode,
     "src_run_concat": src_run_concat,
     "src_group_concat": src_group_concat,
+    "src_run_concat_lines": src_run_concat_lines,
+    "src_group_concat_lines": src_group_concat_lines,
     "src_hash_dedup": src_hash_dedup,
     "src_lang_cap": src_lang_cap,
     "src_union": src_union,
@@ -452,4 +482,6 @@ QUERIES: dict[str, Query] = {
     "stage_pending": stage_pending,
     "stage_latest": stage_latest,
     "lang_detect": lang_detect,
+    "detect_stored_model": detect_stored_model,
+    "detect_by_script": detect_by_script,
 }

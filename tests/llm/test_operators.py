@@ -1,7 +1,9 @@
 """Special cases and inner workings of the operators of this package, against plain versions."""
 
 import itertools
+import math
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -256,6 +258,39 @@ def test_pfair_deviation_stays_below_one_block(spark):
         assert all(abs(got[n] - slot * w / 16) < 1 for n, w in weights.items())
 
 
+def plain_pfair(weights):
+    """Earliest deadline first over the released blocks, slot by slot."""
+    period, got, picks = sum(weights.values()), dict.fromkeys(weights, 0), []
+    for slot in range(period):
+        released = [n for n, w in weights.items() if got[n] * period // w <= slot]
+        best = min(released, key=lambda n: (-(-(got[n] + 1) * period // weights[n]), -weights[n], n))
+        got[best] += 1
+        picks.append(best)
+    return picks
+
+
+@pytest.mark.parametrize("weights", [{"a": 1}, {"a": 3, "b": 2, "c": 2}, {"a": 97, "b": 31, "c": 1, "d": 31}, {"x": 7, "y": 7}, {"x": 1, "y": 99}])
+@pytest.mark.parametrize("times", [1, 6, 1_000_003])
+def test_pfair_schedule_against_plain_steps(spark, weights, times):
+    """Weights count by their ratios: a multiple of all of them repeats the same schedule."""
+    given = [(name, weight * times) for name, weight in weights.items()]
+    rows = mixing_pfair.period_schedule(spark.createDataFrame(given, "name string, weight int")).collect()
+    least = math.gcd(*weights.values())
+    reduced = {name: weight // least for name, weight in weights.items()}
+    assert [r.name for r in sorted(rows, key=lambda r: r.slot)] == plain_pfair(reduced)
+    assert {r.period for r in rows} == {sum(reduced.values())}
+
+
+def test_pfair_schedule_of_fine_weights(spark):
+    """Shares given as hundred-thousandths: no step may copy a list of the period's length."""
+    weights = {"a": 33_331, "b": 27_773, "c": 19_997, "d": 18_899}
+    given = spark.createDataFrame(list(weights.items()), "name string, weight int")
+    began = time.monotonic()
+    rows = mixing_pfair.period_schedule(given).collect()
+    assert time.monotonic() - began < 30
+    assert [r.name for r in sorted(rows, key=lambda r: r.slot)] == plain_pfair(weights)
+
+
 def test_mixing_special_cases(spark):
     docs = odd_documents(spark)
     weights = spark.createDataFrame([("src1", 2), ("src3", 1)], "source string, weight int")

@@ -6,7 +6,7 @@ the integer weights) may run its k-th block (k from 1) in the time slots from it
 earliest deadline (ties: larger weight, then name).  Up to any slot a source has then got its share
 of the slots to within less than one block.
 
-The windows repeat after W slots, so the schedule of one period is enough: it is worked out once
+The windows repeat after W slots (less, if the weights have a common divisor), so the schedule of one period is enough: it is worked out once
 for each set of weights, a table of W rows.  The slot of any block follows from its
 period and its place in the period, by one join on that table.  Blocks are numbered with a two-level
 count: rows are dealt to hash buckets of bounded size within their source, rows are
@@ -31,24 +31,46 @@ BLOCK_ROWS = 64
 BUCKET_ROWS = 4_000
 
 
+EUCLID_STEPS = 48  # enough for any two integers of 31 bits
+
+
+def _common_divisor(weights: Column) -> Column:
+    """The greatest common divisor of an array of positive integers; 0 of an empty one."""
+
+    def step(pair: Column, _: Column) -> Column:
+        more = pair["b"] != 0
+        left = F.when(more, pair["b"]).otherwise(pair["a"])
+        return F.struct(left.alias("a"), F.when(more, pair["a"] % pair["b"]).otherwise(pair["b"]).alias("b"))
+
+    def of_two(a: Column, b: Column) -> Column:
+        start = F.struct(b.cast("long").alias("a"), a.alias("b"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(EUCLID_STEPS)), start, step, lambda pair: pair["a"])
+
+    return F.aggregate(weights, F.lit(0).cast("long"), of_two)
+
+
 def period_schedule(weights: DataFrame) -> DataFrame:
     """(name, k, slot, period) for the blocks of one period, from ``weights(name, weight)``.
 
-    The work is W steps over the sources, W the sum of the weights: it depends on the weights alone.
+    Weights count by their ratios, so they are divided by their greatest common divisor first: the schedule
+    of the whole weights is that many repetitions of this one.  The work is W steps over the sources, W the sum of what is left: it
+    depends on the weights alone.  The steps are taken in spans of about sqrt(W), so that no step copies a list longer than that.
     """
     total = weights.agg(
-        F.sum("weight").cast("long").alias("period"),
+        F.sum("weight").cast("long").alias("whole"),
         F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("minus"), "name", "weight"))).alias("sources"),
-    )
+    ).where("whole > 0")
+    total = total.withColumn("divisor", _common_divisor(F.transform("sources", lambda s: s["weight"])))
+    total = total.select("sources", "divisor", (F.col("whole") / F.col("divisor")).cast("long").alias("period"))
+    total = total.withColumn("span", F.ceil(F.sqrt("period")).cast("long"))
     got = F.transform("sources", lambda s: F.lit(0).cast("long"))
-    start = F.struct(got.alias("got"), F.array().cast("array<int>").alias("picks"))
 
     def step(state: Column, slot: Column) -> Column:
         # of the released blocks the one with the earliest deadline; sources stand in the order of ties
         number = F.sequence(F.lit(0), F.size("sources") - 1)
 
         def window(i: Column) -> Column:
-            done, weight = F.get(state["got"], i), F.get(F.col("sources"), i)["weight"].cast("long")
+            done, weight = F.get(state["got"], i), (F.get(F.col("sources"), i)["weight"] / F.col("divisor")).cast("long")
             release = F.floor(done * F.col("period") / weight)
             deadline = F.ceil((done + 1) * F.col("period") / weight)
             return F.struct((release > slot).alias("later"), deadline.alias("deadline"), i.alias("i"))
@@ -59,9 +81,19 @@ def period_schedule(weights: DataFrame) -> DataFrame:
             F.concat(state["picks"], F.array(best)).alias("picks"),
         )
 
-    slots = F.sequence(F.lit(0).cast("long"), F.col("period") - 1)
-    picks = total.where("period > 0").select(
-        "period", "sources", F.posexplode(F.aggregate(slots, start, step, lambda s: s["picks"])).alias("slot", "pick")
+    def span(state: Column, first: Column) -> Column:
+        slots = F.sequence(first, F.least(first + F.col("span"), F.col("period")) - 1)
+        begun = F.struct(state["got"].alias("got"), F.array().cast("array<int>").alias("picks"))
+        done = F.aggregate(slots, begun, step)
+        return F.transform(
+            F.array(done),
+            lambda d: F.struct(d["got"].alias("got"), F.concat(state["spans"], F.array(d["picks"])).alias("spans")),
+        )[0]
+
+    start = F.struct(got.alias("got"), F.array().cast("array<array<int>>").alias("spans"))
+    firsts = F.sequence(F.lit(0).cast("long"), F.col("period") - 1, F.col("span"))
+    picks = total.select(
+        "period", "sources", F.posexplode(F.flatten(F.aggregate(firsts, start, span, lambda s: s["spans"]))).alias("slot", "pick")
     )
     named = picks.select("period", "slot", F.get(F.col("sources"), F.col("pick"))["name"].alias("name"))
     k = F.row_number().over(Window.partitionBy("name").orderBy("slot"))
@@ -123,9 +155,9 @@ def mix(
     schedule = stored(period_schedule(sources), "mix-schedule")
     numbered = with_numbers(rows, bucket_rows, seed)
     block = F.floor(F.col("mix_number") / block_rows)
-    placed = _slot_of(numbered.select("*", block.alias("block")), sources, schedule)
+    placed = _slot_of(numbered.select("*", block.alias("block")), schedule)
     # the first slot without a full block of its source
-    ends = _slot_of(sources.select(F.col("name").alias("mix_name"), F.floor(F.col("n") / block_rows).alias("block")), sources, schedule)
+    ends = _slot_of(sources.select(F.col("name").alias("mix_name"), F.floor(F.col("n") / block_rows).alias("block")), schedule)
     end = ends.agg(F.min("slot")).first()[0]
     return placed.select(
         "doc_id",
@@ -138,12 +170,13 @@ def mix(
     )
 
 
-def _slot_of(rows: DataFrame, sources: DataFrame, schedule: DataFrame) -> DataFrame:
+def _slot_of(rows: DataFrame, schedule: DataFrame) -> DataFrame:
     """Adds ``slot`` to rows with ``mix_name`` and ``block``: whole periods, then the place in the period.
 
-    Both tables hold one row per source or slot of a period: their size is that of the weights, not of the data.
+    The schedule holds one row per slot of a period: its size is that of the weights, not of the data.
     """
-    share = sources.select(F.col("name").alias("mix_name"), F.col("weight").cast("long").alias("w"))
+    # a source has as many blocks in a period as its reduced weight says
+    share = schedule.groupBy(F.col("name").alias("mix_name")).agg(F.max("k").cast("long").alias("w"))
     near = rows.join(share, "mix_name").withColumn("k", (F.col("block") % F.col("w") + 1).cast("int"))
     named = schedule.select(F.col("name").alias("mix_name"), "k", F.col("slot").alias("first"), "period")
     slotted = near.join(named, ["mix_name", "k"])

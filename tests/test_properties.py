@@ -386,9 +386,7 @@ def brute_languages(labelled, texts):
 ODD_TEXTS = ["", None, "ab", "字字字字", "\U0001F600\U0001F600\U0001F600", "aaa", "the THE"]
 
 
-@pytest.mark.parametrize("at_once", [1, 50, 1 << 22])
-def test_language_model_against_brute_force(spark, sf_dir, tmp_path, monkeypatch, at_once):
-    monkeypatch.setattr(langid, "TRIGRAMS_AT_ONCE", at_once)
+def test_language_model_against_brute_force(spark, sf_dir, tmp_path):
     some = [(r.lang, r.text[:300]) for r in documents(spark, sf_dir, 4).orderBy("doc_id").limit(12).collect()]
     labelled = [*some, (None, "no label"), ("en", None), ("en", ""), ("tiny", "ab"), ("en", "the the the")]
     schema = "lang string, text string"

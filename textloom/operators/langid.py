@@ -45,26 +45,38 @@ def _slots(text: str) -> np.ndarray:
 
 
 def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Trigrams per (lang, slot), summed over some millions of them before they leave the task."""
-    names = ["lang", "slot", "n"]
+    """Trigrams per (lang, slot), summed within the task as long as it meets no more labels than a model may have."""
+    sums: dict[str, np.ndarray] = {}
 
-    def counted(lang: str, waiting: list[np.ndarray]) -> pa.RecordBatch:
-        slots, n = np.unique(np.concatenate(waiting), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(slots), pa.string()), pa.array(slots), pa.array(n.astype(np.int64))], names)
+    def counted() -> Iterator[pa.RecordBatch]:
+        for lang, n in sums.items():
+            slots = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(slots), pa.string()), pa.array(slots), pa.array(n[slots])], ["lang", "slot", "n"]
+            )
+        sums.clear()
+
+    def add(lang: str, waiting: list[np.ndarray]) -> None:
+        sums[lang] += np.bincount(np.concatenate(waiting), minlength=SLOTS)
 
     for batch in batches:
         languages = batch.column("lang")
         for lang in pc.unique(languages).to_pylist():
+            if lang not in sums:
+                if len(sums) >= MOST_LANGUAGES:
+                    yield from counted()
+                sums[lang] = np.zeros(SLOTS, np.int64)
             waiting, held = [], 0
             for text in batch.column("text").filter(pc.equal(languages, lang)):
                 found = _slots(text.as_py())
                 waiting.append(found)
                 held += len(found)
                 if held >= TRIGRAMS_AT_ONCE:
-                    yield counted(lang, waiting)
+                    add(lang, waiting)
                     waiting, held = [], 0
             if held:
-                yield counted(lang, waiting)
+                add(lang, waiting)
+    yield from counted()
 
 
 def train(labelled: DataFrame, most_languages: int = MOST_LANGUAGES) -> LanguageModel:
@@ -119,29 +131,26 @@ def stored_detector(path: str) -> Callable[[DataFrame, list[str]], DataFrame]:
 def _scorer(model: LanguageModel):  # noqa: ANN202
     """A column function that labels a lower-cased text, with the whole model, whose size is fixed, in each worker."""
     table = model.table.toArrow().combine_chunks()  # SLOTS rows at most
-    places = np.full(SLOTS, table.num_rows, dtype=np.int32)
-    flat = pc.list_flatten(table.column("scores")).to_numpy()
-    scores = np.concatenate([flat.reshape(table.num_rows, len(model.languages)), np.zeros((1, len(model.languages)), np.int32)])
-    places[table.column("slot").to_numpy()] = np.arange(table.num_rows, dtype=np.int32)
-    shipped = model.table.sparkSession.sparkContext.broadcast((places, scores, model.languages))
+    at = table.column("slot").to_numpy()
+    seen, scores = np.zeros(SLOTS, bool), np.zeros((len(model.languages), SLOTS), dtype=np.int32)
+    seen[at] = True
+    # an unseen slot adds nothing
+    scores[:, at] = pc.list_flatten(table.column("scores")).to_numpy().reshape(len(at), len(model.languages)).T
+    shipped = model.table.sparkSession.sparkContext.broadcast((seen, scores, model.languages))
 
     @F.arrow_udf(T.StringType())
     def label(texts: pa.Array) -> pa.Array:
-        places, scores, languages = shipped.value
-        unseen = len(scores) - 1
+        seen, scores, languages = shipped.value
 
         def best(text: str | None) -> str:
             if text is None or len(text) < 3:
                 return UNKNOWN
-            total, known = np.zeros(len(languages), np.int64), 0
             slots = _slots(text)
-            for start in range(0, len(slots), TRIGRAMS_AT_ONCE):
-                at = places[slots[start : start + TRIGRAMS_AT_ONCE]]
-                known += np.count_nonzero(at != unseen)
-                # an unseen slot adds nothing
-                total += scores[at].sum(axis=0, dtype=np.int64)
-            # argmax takes the first of equals, and languages stand in order of their names
-            return languages[int(total.argmax())] if known else UNKNOWN
+            if not seen.take(slots).any():
+                return UNKNOWN
+            totals = [int(own.take(slots).sum(dtype=np.int64)) for own in scores]
+            # the first of equals, and languages stand in order of their names
+            return languages[totals.index(max(totals))]
 
         return pa.array(map(best, texts.to_pylist()), pa.string())
 

@@ -360,11 +360,40 @@ def test_co_training_uses_both_views():
     assert ((odds > 0) == hidden).mean() > 0.97
 
 
+def test_views_are_separate():
+    one = "Ab cd.\n\nef 12, gh!\nAb cd."
+    other = "Zq xw.\n\nyy 98- pp!\nZq xw."  # other letters, digits and inner marks in the same layout
+    assert (cotraining.metadata_view(one, "en", "a") == cotraining.metadata_view(other, "en", "a")).all()
+    assert (cotraining.content_view(one) != cotraining.content_view(other)).any()
+    assert (cotraining.metadata_view(one, "en", "a") != cotraining.metadata_view(one, "fr", "a")).any()
+    assert (cotraining.metadata_view(one, "en", "a") != cotraining.metadata_view(one + "\n", "en", "a")).any()
+
+
+def test_exchange_of_labels_helps():
+    """Few labels, many unlabelled rows, two views that are independent given the class."""
+    wrong = {0: 0, 3: 0}
+    for seed in range(5):
+        generator = np.random.default_rng(seed)
+
+        def made(n, generator=generator):
+            y = (np.arange(n) % 2).astype(float)
+            return y, [generator.normal(size=(n, 40)) + 0.45 * y[:, None] for _ in (0, 1)]
+
+        y, views = made(60)
+        _, pool = made(1500)
+        hidden, rest = made(1500)
+        for rounds in wrong:
+            model = cotraining.co_train(views, y, pool, rounds)
+            odds = model.content.log_odds(rest[0]) + model.metadata.log_odds(rest[1])
+            wrong[rounds] += int(((odds > 0) != hidden).sum())
+    assert wrong[3] < wrong[0]
+
+
 def test_quality_special_cases(spark):
     docs = odd_documents(spark)
     model = cotraining.learn(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
     assert {r["score"] for r in cotraining.score_documents(docs, model).collect()} == {1.0}
-    x = np.zeros((10, cotraining.HASHED + 3)), np.zeros((10, cotraining.META + 2 * cotraining.NAMED))
+    x = np.zeros((10, cotraining.CONTENT)), np.zeros((10, cotraining.META + 2 * cotraining.NAMED))
     linear = [cotraining.fit_linear(v, np.arange(10) % 2.0, np.ones(10), 1e-3, 5) for v in x]
     kept = cotraining.keep_good(docs, cotraining.QualityModel(*linear), threshold=0.0)
     assert kept.columns == docs.columns and kept.count() == docs.count()

@@ -1,13 +1,15 @@
 """Quality by co-training of two views of a document.
 
-* content view: shares of hashed three-byte windows of the text, and how often words repeat;
-* metadata view: what is known about the page as a whole: language, source, length, and the layout of
-  its lines (their number and length, empty and repeated ones, kinds of characters).
+* content view: what the text is written with: shares of hashed three-byte windows and of kinds of characters, and
+  how often words repeat;
+* metadata view: what is known about the page without its wording: language, source, length, and the layout of its
+  lines (their number and length, empty, short, repeated and finished ones).  It sees no letter, digit or word.
 
-Both views get a logistic classifier, fitted on a bounded, documented sample of labelled rows.  Then, for some
-rounds, each classifier labels the rows of a bounded unlabelled sample it is most sure of, and the *other* one
-learns from them.  At the end each view's score is calibrated on labelled rows it was not fitted on, and the
-score of a document is the mean of both calibrated log-odds.  All documents are scored over their whole texts.
+Both views get a logistic classifier, fitted on a bounded, documented sample of labelled rows, and calibrated on
+labelled rows it was not fitted on.  Then, for some rounds, each classifier labels the rows of a bounded unlabelled
+sample it is most sure of after calibration, and the *other* one learns from them.  Each view keeps the round whose
+loss on its calibration rows is lowest, so an exchange that does harm is not kept.  The score of a document is the
+mean of both calibrated log-odds.  All documents are scored over their whole texts.
 
 Defined cases: null texts count as empty and are scored; null languages and sources are values of their own;
 repeated rows are scored alike; without labels of both classes every document scores 1 (nothing is known
@@ -18,7 +20,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -32,7 +34,8 @@ from textloom.llm.toxicity import labelled_sample
 
 HASHED = 1024
 CLASSES = 8
-META = 16 + CLASSES
+CONTENT = HASHED + 3 + CLASSES
+META = 9
 NAMED = 32  # hash places of languages and sources
 
 # classes of bytes: other, blank, line break, lower, upper, digit, common marks, other marks; bytes above 127 count as lower
@@ -48,9 +51,11 @@ BYTE_CLASS[[ord(c) for c in "#$%&*+/<=>@[\\]^_`{|}~"]] = 7
 
 
 def content_view(text: str) -> np.ndarray:
-    """Hashed three-byte windows as shares (square roots), and three figures of word repetition."""
+    """Hashed three-byte windows as shares (square roots), three figures of word repetition, shares of kinds of characters."""
     data = np.frombuffer(text.encode(), dtype=np.uint8).astype(np.uint32)
-    out = np.zeros(HASHED + 3, dtype=np.float32)
+    out = np.zeros(CONTENT, dtype=np.float32)
+    if len(data):
+        out[HASHED + 3 :] = np.bincount(BYTE_CLASS[data], minlength=CLASSES) / len(data)
     if len(data) >= 3:
         windows = (data[:-2] * np.uint32(0x9E3779B1)) ^ (data[1:-1] * np.uint32(0x85EBCA6B)) ^ (data[2:] * np.uint32(0xC2B2AE35))
         counts = np.bincount((windows >> np.uint32(22)).astype(np.int64) & (HASHED - 1), minlength=HASHED)
@@ -65,9 +70,8 @@ def content_view(text: str) -> np.ndarray:
 
 
 def metadata_view(text: str, lang: str | None, source: str | None) -> np.ndarray:
-    """Language, source, length and layout; no word of the text."""
+    """Language, source, length and layout; nothing of the wording."""
     out = np.zeros(META + 2 * NAMED, dtype=np.float32)
-    data = np.frombuffer(text.encode(), dtype=np.uint8)
     lines = text.split("\n")
     sizes = np.array([len(line) for line in lines], dtype=np.float64)
     out[0], out[1] = np.log1p(len(text)) / 10, np.log1p(len(lines)) / 5
@@ -76,8 +80,6 @@ def metadata_view(text: str, lang: str | None, source: str | None) -> np.ndarray
     out[6] = len(set(lines)) / len(lines)
     out[7] = np.mean([line[-1:] in ".!?" for line in lines])
     out[8] = np.mean(sizes < 40)
-    if len(data):
-        out[16 : 16 + CLASSES] = np.bincount(BYTE_CLASS[data], minlength=CLASSES) / len(data)
     for start, value in ((META, lang), (META + NAMED, source)):
         out[start + zlib.crc32((value or "\0").encode()) % NAMED] = 1
     return out
@@ -132,6 +134,12 @@ def fit_linear(x: np.ndarray, y: np.ndarray, weights: np.ndarray, penalty: float
     return Linear(mean, scale, beta)
 
 
+def calibrated(model: Linear, x: np.ndarray, y: np.ndarray) -> Linear:
+    """``model`` with a slope and shift fitted on rows it has not seen; few rows give a flat slope."""
+    shift, slope = fit_logistic(model.raw(x)[:, None], y, penalty=0.1)
+    return replace(model, slope=max(float(slope), 0.05), shift=float(shift))
+
+
 def co_train(
     views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rounds: int = 3, share: float = 0.1, sure: float = 0.95
 ) -> QualityModel:
@@ -140,32 +148,36 @@ def co_train(
     fold = np.arange(n) % 5 == 0  # kept for calibration
     given = [[(views[v][~fold], y[~fold], np.ones(int((~fold).sum())))] for v in (0, 1)]
     taken = [np.zeros(len(pool[0]), dtype=bool) for _ in (0, 1)]
-    models = [None, None]
+    models, best, least = [None] * 2, [None] * 2, [np.inf, np.inf]
     for round_ in range(rounds + 1):
         for v in (0, 1):
             x, t, w = (np.concatenate(part) for part in zip(*given[v], strict=True))
-            models[v] = fit_linear(x, t, w, penalty=1e-3)
+            models[v] = calibrated(fit_linear(x, t, w, penalty=1e-3), views[v][fold], y[fold])
             del x
+            loss = _loss(models[v], views[v][fold], y[fold])
+            if loss < least[v]:
+                best[v], least[v] = models[v], loss
         if round_ == rounds:
             break
         for v in (0, 1):
             if not len(pool[v]):
                 continue
-            p = sigmoid(models[v].raw(pool[v]))
+            p = sigmoid(models[v].log_odds(pool[v]))
             confident = np.maximum(p, 1 - p)
             for label in (0, 1):
                 able = np.flatnonzero(~taken[v] & ((p >= 0.5) == label) & (confident >= sure))
                 most = max(1, int(share * len(pool[v]) * max(np.mean(y == label), 0.05)))
                 chosen = able[np.argsort(-confident[able], kind="stable")][:most]
                 taken[v][chosen] = True
-                if len(chosen):  # the other view learns from them, at half weight
-                    given[1 - v].append((pool[1 - v][chosen], np.full(len(chosen), float(label)), np.full(len(chosen), 0.5)))
-    calibrated = []
-    for v in (0, 1):
-        raw = models[v].raw(views[v][fold])
-        shift, slope = fit_logistic(raw[:, None], y[fold], penalty=0.1)
-        calibrated.append(Linear(models[v].mean, models[v].scale, models[v].beta, max(float(slope), 0.05), float(shift)))
-    return QualityModel(*calibrated)
+                if len(chosen):  # the other view learns from them; all rounds together weigh at most half as much as the labels
+                    weight = min(0.5, 0.5 / rounds * np.sum(y[~fold] == label) / len(chosen))
+                    given[1 - v].append((pool[1 - v][chosen], np.full(len(chosen), float(label)), np.full(len(chosen), weight)))
+    return QualityModel(*best)
+
+
+def _loss(model: Linear, x: np.ndarray, y: np.ndarray) -> float:
+    odds = model.log_odds(x)
+    return float(np.mean(np.logaddexp(0, odds) - y * odds))
 
 
 def _sample_views(texts: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
@@ -184,7 +196,7 @@ def _sample_views(texts: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
 
     rows = texts.mapInArrow(run, "place long, label int, views binary").toArrow()
     rows = rows.sort_by([("place", "ascending"), ("label", "ascending")])
-    width, label = HASHED + 3, rows.column("label").to_numpy()
+    width, label = CONTENT, rows.column("label").to_numpy()
     x = np.stack([np.frombuffer(v.as_py(), dtype=np.float16) for v in rows.column("views")]) if len(label) else np.zeros((0, width + 1), np.float16)
     return [x[:, :width].astype(np.float32), x[:, width:].astype(np.float32)], label
 

@@ -417,3 +417,29 @@ def keep_one_each(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFra
     found = jaccard_components(docs, words, percent).where("component_id = doc_id").select(F.col("doc_id").alias(own)).distinct()
     kept = placed.join(found, own, "left_semi").dropDuplicates([own])
     return kept.unionByName(placed.where(F.col(own).isNull())).toDF(*docs.columns)
+
+
+def oracle(words: int, percent: int) -> str:
+    """SQL counterpart over the words themselves: classes of equal sets, one prefix filter (rarest shingles first), links, reach."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+i AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {words - 1}, 1) + 1)) AS p FROM d WHERE len(w) > 0),
+g AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + {words - 1}), ' ') AS g FROM i),
+s AS (SELECT doc_id, list(g ORDER BY g) AS t FROM g GROUP BY doc_id),
+k AS (SELECT t, min(doc_id) AS c, len(t) AS n FROM s GROUP BY t),
+f AS (SELECT c, n, unnest(t) AS g FROM k),
+o AS (SELECT g, count(*) AS df FROM f GROUP BY g),
+r AS (SELECT c, n, g, row_number() OVER (PARTITION BY c ORDER BY df, g) AS p FROM f JOIN o USING (g)),
+x AS (SELECT * FROM r WHERE p <= n - ({percent} * n + 99) // 100 + 1),
+e AS (SELECT DISTINCT a.c AS a, b.c AS b FROM x a JOIN x b ON a.g = b.g AND a.c < b.c
+  AND 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)),
+v AS (SELECT e.a, e.b FROM e JOIN f p ON p.c = e.a JOIN f q ON q.c = e.b AND q.g = p.g
+  GROUP BY e.a, e.b, p.n, q.n HAVING 100 * count(*) >= {percent} * (p.n + q.n - count(*))),
+l AS (SELECT a, b FROM v UNION ALL SELECT b, a FROM v),
+z AS (SELECT a AS c, b AS seen FROM l UNION SELECT z.c, l.b FROM z JOIN l ON l.a = z.seen),
+m AS (SELECT c, min(least(c, seen)) AS least FROM z GROUP BY c)
+SELECT d.doc_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_shingles, coalesce(m.least, k.c, d.doc_id) AS component_id
+FROM d LEFT JOIN s ON s.doc_id = d.doc_id LEFT JOIN k ON k.t = s.t LEFT JOIN m ON m.c = k.c
+"""

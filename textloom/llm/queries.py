@@ -120,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_ngram_jaccard": ngram_jaccard.oracle(3, 90),
     "op4_mixing": mixing_pfair.oracle(SOURCE_WEIGHT_SQL),
     "op8_chat_format": reply_trees.ORACLE,
     "op9_impact_index": impact_index.oracle("embeddings", "embedding", "{} % 20 = 0"),

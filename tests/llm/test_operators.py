@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import re
 import time
 
 import numpy as np
@@ -336,6 +337,70 @@ def test_only_word_beginnings_match():
     assert matcher.evidence(None) == matcher.evidence("") == matcher.evidence("xidiot") == (0.0, 0.0, 0.0)
 
 
+def test_inflected_forms():
+    assert toxicity.inflected("stab") == ["stab", "stabs", "stabbed", "stabbing"]
+    assert toxicity.inflected("strangle") == ["strangle", "strangles", "strangled", "strangling"]
+    assert toxicity.inflected("reply") == ["reply", "replies", "replied", "replying"]
+    assert toxicity.inflected("poison")[2] == "poisoned" and toxicity.inflected("lynch")[1] == "lynches"
+    assert weight("you they are killing") == weight("you they are kill") > 0
+    assert weight("stable skill") == 0
+    learned = toxicity.Matcher(toxicity.ToxicityModel({"kill": 0.5}))
+    assert 0 < learned.clause("you kills") == 0.25 * weight("you kills")
+
+
+def test_nested_beginnings_give_way_to_the_longest(spark):
+    texts = [(i, f"well {'worthless' if i % 2 else 'common'} thing {i % 7}{'ab' * i}") for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    model = toxicity.learn(docs, spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int"))
+    assert "worthl" in model.stems and not {"wort", "worth"} & set(model.stems)
+    assert toxicity.Matcher(model).clause("it is worth a walk") == 0
+
+
+def plain_evidence(text, stems):
+    """The grammar in plain words: no automaton, no product of machines, every clause read."""
+    weights = []
+    for clause in re.split(r"[.!?;:\n]+", text.lower()):
+        total, insulted, threats, addressed, negated, reported = 0.0, False, 0, 0, 0, False
+        for word in re.findall(r"[^\W\d_]+(?:'[^\W\d_]+)?", clause):
+            beginnings = [word[:k] for k in (4, 5, 6) if k <= len(word)] or [word + " "]
+            learned = max([stems[b] for b in beginnings if b in stems], default=0.0)
+            threat = word in toxicity.THREATS
+            listed = threat or word in toxicity.TARGETS + toxicity.NEGATIONS + toxicity.REPORTS
+            known = 2.0 if word in toxicity.SEED_INSULTS or any(b in toxicity.SEED_INSULTS for b in beginnings) else 0.0
+            insult = 0.0 if listed else max(learned or 0.0, known if not any(b in stems for b in beginnings) else 0.0)
+            value = (learned or 2.0) if threat else insult
+            if value:
+                value *= 1.5 if insult and insulted else 1.0
+                value *= 0.5 if threat and threats else 1.0
+                value *= 2.0 if addressed else 0.25 if threat else 1.0
+                value *= 0.4 if negated else 1.0
+                value *= 0.6 if reported else 1.0
+                total += value
+            insulted, threats = bool(insult), threats + threat
+            addressed = 4 if word in toxicity.TARGETS else max(0, addressed - 1)
+            negated = 3 if word in toxicity.NEGATIONS else max(0, negated - 1)
+            reported = reported or word in toxicity.REPORTS
+        if total:
+            weights.append(total)
+    if not weights:
+        return 0.0, 0.0, 0.0
+    return math.log1p(sum(weights)), min(max(weights), 20.0), math.log1p(1000 * sum(weights) / (len(text) + 100))
+
+
+def test_toxicity_by_a_plain_parser():
+    random.seed(12)
+    stems = {"vile": 1.25, "rott": 0.75, "kill": 0.5, "oaf ": 1.5}
+    matcher = toxicity.Matcher(toxicity.ToxicityModel(stems))
+    words = "vile Rotten idiot KILLING stabbed you isn't never said reported the stable oaf oafs day été 7idiot x_vile bidiot o'idiot trash".split()
+    marks = [" "] * 8 + [". ", "!? ", "; ", ":\n", "\n", ", ", " - ", ""]
+    found = 0
+    for _ in range(3000):
+        text = "".join(random.choice(words) + random.choice(marks) for _ in range(random.randint(0, 25)))
+        assert matcher.evidence(text) == pytest.approx(plain_evidence(text, stems), abs=1e-9), text
+        found += bool(matcher.evidence(text)[0])
+    assert found > 2000
+
+
 def test_toxicity_special_cases(spark):
     docs = odd_documents(spark)
     for labels in ([], [(1, 1)], [(1, None), (None, 1)]):

@@ -14,8 +14,10 @@ transducers read the classes of a clause from left to right:
 is the sum of its arcs' weights.  The score of a text is a logistic function of the
 summed, the largest and the relative clause weight.
 
-Insult stems and their weights are learned from labelled rows: word beginnings that
-occur in toxic texts far more often than chance allows.  A text is first searched by
+Insult stems and the weights of insults and threats are learned from labelled rows: word beginnings that
+occur in toxic texts far more often than chance allows; of nested beginnings that occur equally often only the longest
+counts, so that no other word that begins alike is taken for an insult.  Threats and verbs of speech come from lists, in their
+inflected forms; a threat without a learned weight has a fixed one.  A text is first searched by
 one automaton for all stems (linear in its length); only clauses with a hit are parsed.
 
 Defined cases: a null text counts as empty; empty texts and texts without a hit get
@@ -47,10 +49,28 @@ OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 
 # word lists of the grammar, English with the most common words of three more languages
 SEED_INSULTS = "idiot moron scum loser stupid pathetic worthless disgusting trash clown imbecile dumbass".split()
-THREATS = "kill murder strangle stab shoot slaughter exterminate lynch".split()
+THREAT_VERBS = "kill murder strangle stab slaughter exterminate lynch behead torture poison drown butcher".split()
+OTHER_THREATS = "shoot shoots shooting töten erschießen ermorden umbringen erwürgen tuer égorger assassiner étrangler matar asesinar degollar estrangular".split()
 TARGETS = "you your u yourself he she they him her them these those du dich ihr sie tu vous toi usted ellos".split()
 NEGATIONS = "not never no nor isn't aren't don't wasn't without nicht kein keine nie ne pas jamais nunca".split()
-REPORTS = "said says say wrote writes claimed claims called quoted reported according sagte schrieb dit dijo".split()
+REPORT_VERBS = "claim call quote report shout reply".split()
+OTHER_REPORTS = "said says say saying tell tells telling told wrote writes write written according sagte sagt schrieb schreibt dit écrit dijo dice escribió".split()
+
+
+def inflected(verb: str) -> list[str]:
+    """An English verb with its regular endings: a last e falls, the last consonant of a short syllable doubles."""
+    short = verb[:-1] if verb.endswith("e") else verb
+    if re.search(r"^[^aeiou]*[aeiou][bdgmnpt]$", verb):
+        short = verb + verb[-1]
+    plural = verb + ("es" if verb.endswith(("ch", "sh", "s", "x")) else "s")
+    if re.search(r"[^aeiou]y$", verb):
+        short, plural = verb[:-1] + "i", verb[:-1] + "ies"
+    going = (verb if short.endswith("i") else short) + "ing"
+    return [verb, plural, short + "ed", going]
+
+
+THREATS = [*(form for verb in THREAT_VERBS for form in inflected(verb)), *OTHER_THREATS]
+REPORTS = [*(form for verb in REPORT_VERBS for form in inflected(verb)), *OTHER_REPORTS]
 
 LETTERS = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE_END = re.compile(r"[.!?;:\n]+")
@@ -157,7 +177,9 @@ class Matcher:
     """A model made ready in a worker."""
 
     def __init__(self, model: ToxicityModel) -> None:
+        # whole words of the lists are looked up as such, learned beginnings by ``features_of_word``
         self.weights = {**{w: SEED_WEIGHT for w in SEED_INSULTS if len(w) >= 4}, **model.stems}
+        self.threats = {w: max((model.stems[f] for f in features_of_word(w) if f in model.stems), default=SEED_WEIGHT) for w in THREATS}
         self.coefficients = np.array(model.coefficients)
         self.following, self.factors = compose()
         self.automaton = ahocorasick.Automaton()
@@ -174,8 +196,10 @@ class Matcher:
     def clause(self, clause: str) -> float:
         state, total = 0, 0.0
         for word in LETTERS.findall(clause):
-            symbol, weight = CLASSES.get(word, OTHER), SEED_WEIGHT
-            if symbol == OTHER and (weight := self.weight(word)):
+            symbol, weight = CLASSES.get(word, OTHER), 0.0
+            if symbol == THREAT:
+                weight = self.threats[word]
+            elif symbol == OTHER and (weight := self.weight(word)):
                 symbol = INSULT
             total += weight * self.factors[state][symbol]
             state = self.following[state][symbol]
@@ -280,12 +304,13 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 6000, max_stems:
     odds = F.log(((F.col("pos") + 0.5) / (n[1] + 1.0)) / ((F.col("neg") + 0.5) / (n[0] + 1.0)))
     chosen = (
         stems.where((z >= MIN_Z) & (F.col("pos") >= MIN_PRECISION * seen))
-        .select("feature", F.least(odds, F.lit(6.0)).alias("weight"), z.alias("z"))
+        .select("feature", F.least(odds, F.lit(6.0)).alias("weight"), z.alias("z"), seen.alias("seen"))
         .orderBy(F.desc("z"), "feature")
         .limit(max_stems)
         .collect()
     )
-    stems_found = {r["feature"]: float(r["weight"]) / 3.0 for r in chosen}
+    longer = {(r["feature"][:-1], r["seen"]) for r in chosen if not r["feature"].endswith(" ")}
+    stems_found = {r["feature"]: float(r["weight"]) / 3.0 for r in chosen if (r["feature"], r["seen"]) not in longer}
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = matcher_of(ToxicityModel(stems_found))

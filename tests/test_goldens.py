@@ -1,5 +1,9 @@
 """Fixed records and literals with hand-derived results."""
 
+import tracemalloc
+import unicodedata
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +86,33 @@ def test_nfkc_precedes_the_patterns(spark):
     assert apply(spark, raw, C.clean_text) == ["текст, ещё текст... и конец", "and words"]
 
 
+@pytest.mark.parametrize("batch,wrap", [(C._nfkc_batch, lambda t: t), (C._nfkc_lists, lambda t: [t, "plain"])])
+def test_nfkc_holds_few_texts_of_a_batch_at_a_time(batch, wrap):
+    kind = pa.list_(pa.string()) if isinstance(wrap(""), list) else pa.string()
+    composed = pa.array([wrap(f"{i} ﬁ" + "д" * 20_000) for i in range(600)], kind)
+    normal = pa.array([wrap("é" * 20_000)] * 600 + [None], kind)
+    tracemalloc.start()
+    try:
+        changed, same = batch.func(composed), batch.func(normal)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < composed.nbytes / 4
+    # texts that stay as they are do not come back
+    assert (len(same), same.null_count) == (601, 601) and same.nbytes < normal.nbytes / 100
+    assert changed.to_pylist() == [wrap(f"{i} fi" + "д" * 20_000) for i in range(600)]
+
+
+def test_nfkc_of_texts_and_lists_with_and_without_changes(spark):
+    texts = [None, "", "plain", "é", "e\u0301", "ﬁ", "д…", "д", "\u1100\u1161", "\U0001d400", "a\u0323\u0307", "a\u0307\u0323"]
+    normal = lambda t: None if t is None else unicodedata.normalize("NFKC", t)
+    assert apply(spark, texts, C.nfkc) == [normal(t) for t in texts]
+    lists = [None, [], [None], ["plain"], ["é", None], ["ﬁ", None, "é", ""], texts]
+    df = spark.createDataFrame(list(enumerate(lists)), "i int, texts array<string>")
+    found = df.select("i", C.nfkc_each(F.col("texts")).alias("out")).orderBy("i").collect()
+    assert [r.out for r in found] == [None if ts is None else list(map(normal, ts)) for ts in lists]
+
+
 def test_steps(spark):
     cases = [
         (C.drop_special_tokens, "a<|x y|>b[inst]c[/SYS]d<EndOfText>e<|\n|>", "abcde<|\n|>"),

@@ -19,6 +19,9 @@ from textloom.functions import patterns as P
 from textloom.functions.binding import bind, contains_any
 from textloom.functions.validation import is_garbage
 
+# changed characters that a Python task gathers before they become Arrow data
+PIECE_CHARS = 1 << 20
+
 
 def _replace(text: Column, step: tuple[str, str]) -> Column:
     pattern, replacement = step
@@ -42,34 +45,63 @@ def py_strip(text: Column) -> Column:
     return F.btrim(text, F.lit(P.STRIP_CHARS))
 
 
-def _nfkc(text: str | None) -> str | None:
-    """Most texts are normal already, which is quick to tell."""
-    if text is None or text.isascii() or unicodedata.is_normalized("NFKC", text):
-        return text
-    return unicodedata.normalize("NFKC", text)
+def _changed(text: str | None) -> str | None:
+    """NFKC of a text that it changes, else null; most texts are normal already, which is quick to tell."""
+    if text is None or text.isascii():
+        return None
+    normal = unicodedata.normalize("NFKC", text)
+    return None if normal == text else normal
+
+
+def _changed_each(texts: list[str | None] | None) -> list[str | None] | None:
+    """The same for all strings of a list, whole if any of them changes."""
+    changed = list(map(_changed, texts or ()))
+    if all(c is None for c in changed):
+        return None
+    return [t if c is None else c for t, c in zip(texts, changed)]
+
+
+def _size(value: str | list[str | None] | None) -> int:
+    return sum(map(_size, value)) if isinstance(value, list) else len(value or "")
+
+
+def _mapped(values: pa.Array, change: Callable, kind: pa.DataType) -> pa.Array:
+    """``change`` of each value, of which few are Python objects at any time: a batch may hold thousands of long texts."""
+    pieces, piece, chars = [], [], 0
+    for value in values:
+        piece.append(change(value.as_py()))
+        chars += _size(piece[-1])
+        if chars >= PIECE_CHARS:
+            pieces.append(pa.array(piece, kind))
+            piece, chars = [], 0
+    pieces.append(pa.array(piece, kind))
+    return pa.concat_arrays(pieces)
 
 
 @F.arrow_udf(T.StringType())
 def _nfkc_batch(texts: pa.Array) -> pa.Array:
-    return pa.array(map(_nfkc, texts.to_pylist()), pa.string())
+    return _mapped(texts, _changed, pa.string())
 
 
 def nfkc(text: Column) -> Column:
-    """Unicode NFKC, one Arrow batch at a time; texts of one-byte characters are normal and do not leave the JVM."""
+    """Unicode NFKC, one Arrow batch at a time.
+
+    Texts of one-byte characters are normal and do not leave the JVM; of the others,
+    only those that change come back.
+    """
     beyond_ascii = bind(text, lambda t: F.when(F.octet_length(t) != F.length(t), t))
     return F.coalesce(_nfkc_batch(beyond_ascii), text)
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
-def nfkc_each(lists: pa.Array) -> pa.Array:
+def _nfkc_lists(lists: pa.Array) -> pa.Array:
+    return _mapped(lists, _changed_each, pa.list_(pa.string()))
+
+
+def nfkc_each(lists: Column) -> Column:
     """NFKC of every string of an array; a Python function cannot be called inside ``transform``."""
-    return pa.array(
-        (
-            None if ts is None else list(map(_nfkc, ts))
-            for ts in lists.to_pylist()
-        ),
-        pa.list_(pa.string()),
-    )
+    beyond_ascii = bind(lists, lambda ts: F.when(F.exists(ts, lambda t: F.octet_length(t) != F.length(t)), ts))
+    return F.coalesce(_nfkc_lists(beyond_ascii), lists)
 
 
 def drop_special_tokens(text: Column) -> Column:

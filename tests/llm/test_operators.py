@@ -2,9 +2,11 @@
 
 import itertools
 import math
+import pickle
 import random
 import re
 import time
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,7 @@ from textloom.llm import (
     components,
     cotraining,
     cross_polytope,
+    gnat,
     impact_index,
     mixing_pfair,
     ngram_jaccard,
@@ -24,6 +27,7 @@ from textloom.llm import (
     reply_trees,
     toxicity,
     url_templates,
+    vector_blocks,
 )
 from textloom.llm.common import stored, with_place
 from textloom.llm.tokens import WordEncoder, tokenizer_path
@@ -542,6 +546,56 @@ def test_impact_blocks_stop_only_on_proof():
             assert score[who == q].tolist() == exact[q][best].tolist()
 
 
+def test_stored_index_lies_in_small_pieces(spark):
+    generator = np.random.default_rng(11)
+    x = np.rint(generator.normal(size=(6000, 64)) * 8)
+    x[17], x[18, 3] = 0, 70_000.0 * 64
+    made = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, vector array<double>")
+    for build in (impact_index._build, lambda table: gnat._build(table.append_column("label", table.column("vec_id")))):
+        held = {}
+        for r in vector_blocks.block_index(made, 2, build, "pieces").orderBy("block", "piece").collect():
+            assert len(r["index"]) <= vector_blocks.PIECE_BYTES
+            held[r["block"]] = held.get(r["block"], b"") + r["index"]
+        blocks = [pickle.loads(zlib.decompress(h)) for h in held.values()]
+        assert sorted(i for b in blocks for i in b.ids.tolist()) == list(range(6000))
+        assert all((b.vectors == x[b.ids]).all() and b.vectors.dtype == np.float64 for b in blocks)
+    # a stored index takes about three bytes a component, whatever its segments
+    made = impact_index.ImpactBlock(x[:4096], np.arange(4096))
+    assert len(pickle.dumps(impact_index.ImpactBlock(x[100:4196], np.arange(4096)), protocol=5)) < 3 * 4096 * 64
+    again = pickle.loads(pickle.dumps(made, protocol=5))
+    for got, want in zip(again.best(x[:300], 9), made.best(x[:300], 9), strict=True):
+        assert (got == want).all()
+
+
+@pytest.mark.parametrize(("spread", "dim"), [(0.15, 16), (3, 40), (40_000, 5), (0.01, 6)])
+def test_exact_top_k_over_runs_of_blocks(spark, spread, dim):
+    generator = np.random.default_rng(dim)
+    x = generator.normal(size=(1200, dim)) * spread
+    x[generator.random(x.shape) < 0.3] = 0
+    x[100:160], x[900:940], x[300:310] = x[7], -x[7], 0  # ties across blocks
+    x[500, 0], x[777, 1] = 20_000, -3e15
+    made = spark.createDataFrame([(5 * i, v.tolist()) for i, v in enumerate(x)], "vec_id long, vector array<double>")
+    found = impact_index.top_k(made, F.col("vec_id") % 50 == 0, k=6, block_rows=20, block_queries=50)
+    whole = [[int(v) for v in row] for row in np.floor(64 * x)]
+    want = []
+    for i in range(0, 1200, 10):
+        score = [min(max(sum(a * b for a, b in zip(whole[i], row, strict=True)), vector_blocks.LEAST), vector_blocks.MOST) for row in whole]
+        best = sorted((-s, 5 * j) for j, s in enumerate(score) if j != i)[:6]
+        want += [(5 * i, r, j, -s) for r, (s, j) in enumerate(best, 1)]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
+def test_best_rows_of_a_task():
+    names = ["a", "b", "score", "row"]
+    made = [(1, 2, 5, 9), (1, 2, 5, 3), (1, 2, 7, 8), (1, 3, -4, 1), (0, 9, vector_blocks.LEAST, 4), (0, 9, vector_blocks.MOST, 5), (1, 2, 5, 1)]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in some]) for some in (made[:3], made[3:])]
+    best = vector_blocks.Best(("a", "b"), "score", "row", 2)
+    kept = best.of(batches)
+    assert [tuple(r.values()) for r in kept.to_pylist()] == [made[5], made[4], made[2], made[6], made[3]]
+    assert best.of([kept]).equals(kept)
+    assert best.of([kept.slice(0, 0)]).num_rows == 0
+
+
 # ------------------------------------------------------------- reply trees
 def test_paths_and_ranking(spark):
     messages = [

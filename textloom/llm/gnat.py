@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.llm.common import stored
-from textloom.llm.vector_blocks import BLOCK_QUERIES, BLOCK_ROWS, LEAST, block_index, first_of_each, matrix, padded, products, search_blocks, size_of, whole_vectors
+from textloom.llm.vector_blocks import BLOCK_QUERIES, BLOCK_ROWS, LEAST, Best, block_index, first_of_each, matrix, padded, products, search_blocks, size_of, whole_vectors
 
 LEAF_ROWS = 64
 BRANCHES = 12
@@ -183,7 +183,7 @@ def hard_negatives(
     trees = block_index(rows, blocks, _build, "gnat-trees")
     anchors = rows.where(is_anchor)
 
-    def nearest(tree: GnatBlock, asked: pa.RecordBatch) -> pa.RecordBatch:
+    def nearest(tree: GnatBlock, asked: pa.RecordBatch, _: pa.RecordBatch | None) -> pa.RecordBatch:
         out: list[tuple[np.ndarray, ...]] = []
         for part in _batches(asked):
             who, label = part.column("vec_id").to_numpy(), part.column("label").to_numpy()
@@ -194,7 +194,8 @@ def hard_negatives(
             out.append((who[row], ids[row, 0, place], score[row, 0, place]))
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["anchor_id", "positive_id", "positive_score"])
 
-    found = search_blocks(trees, blocks, anchors, "vec_id", sizes["q"], nearest, "anchor_id long, positive_id long, positive_score long", block_queries)
+    best = Best(("anchor_id",), "positive_score", "positive_id", positives)
+    found = search_blocks(trees, blocks, anchors, "vec_id", sizes["q"], nearest, "anchor_id long, positive_id long, positive_score long", best, block_queries)
     by_score = Window.partitionBy("anchor_id").orderBy(F.desc("positive_score"), "positive_id")
     own = stored(found.withColumn("place", F.row_number().over(by_score)).where(F.col("place") <= positives), "gnat-positives")
     # the window of an anchor's positives, at most ``positives`` of them
@@ -202,7 +203,7 @@ def hard_negatives(
     asked = asked.select("anchor_id", "own.positive_id", "own.positive_score")
     windows = anchors.join(asked, anchors["vec_id"] == asked["anchor_id"]).select("vec_id", "label", "vector", "positive_id", "positive_score")
 
-    def between(tree: GnatBlock, asked: pa.RecordBatch) -> pa.RecordBatch:
+    def between(tree: GnatBlock, asked: pa.RecordBatch, _: pa.RecordBatch | None) -> pa.RecordBatch:
         out: list[tuple[np.ndarray, ...]] = []
         for part in _batches(asked):
             who, label = part.column("vec_id").to_numpy(), part.column("label").to_numpy()
@@ -223,7 +224,8 @@ def hard_negatives(
         )
 
     schema = "anchor_id long, positive_id long, positive_score long, negative_id long, negative_score long"
-    mined = search_blocks(trees, blocks, windows, "vec_id", sizes["q"], between, schema, block_queries)
+    best = Best(("anchor_id", "positive_id"), "negative_score", "negative_id", negatives)
+    mined = search_blocks(trees, blocks, windows, "vec_id", sizes["q"], between, schema, best, block_queries)
     order = Window.partitionBy("anchor_id", "positive_id").orderBy(F.desc("negative_score"), "negative_id")
     ranked = mined.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= negatives)
     return ranked.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import pickle
+import zlib
 from collections.abc import Callable, Iterator
+from itertools import groupby, pairwise
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +17,8 @@ from textloom.llm.common import pick, stored
 
 BLOCK_ROWS = 4096
 BLOCK_QUERIES = 4096
+RUN_BLOCKS = 16
+PIECE_BYTES = 8192
 EXACT = 2.0**53
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
@@ -78,15 +83,49 @@ def first_of_each(score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarra
     return np.take_along_axis(score, order, 1), np.take_along_axis(ids, order, 1)
 
 
+def whole_type(a: np.ndarray) -> np.ndarray:
+    """Whole numbers in the smallest type that holds them all; unchanged where only doubles do."""
+    most = np.abs(a).max(initial=0)
+    for kind in (np.int8, np.int16, np.int32):
+        if most <= np.iinfo(kind).max:
+            return a.astype(kind)
+    return a
+
+
 def block_index(rows: DataFrame, blocks: int, build: Callable[[pa.Table], object], name: str) -> DataFrame:
-    """(block, index): what ``build`` makes of the rows of each of ``blocks`` blocks, stored."""
+    """(block, piece, index): what ``build`` makes of the rows of each of ``blocks`` blocks, stored.
+
+    It lies there in pieces of ``PIECE_BYTES``, as Spark's readers hold thousands of rows at once, whatever their size.
+    """
 
     def make(table: pa.Table) -> pa.Table:
-        made = pickle.dumps(build(table), protocol=5)
-        return pa.table({"block": table.column("block").slice(0, 1), "index": pa.array([made], pa.binary())})
+        made = zlib.compress(pickle.dumps(build(table), protocol=5), 1)
+        pieces = [made[i : i + PIECE_BYTES] for i in range(0, len(made), PIECE_BYTES)]
+        block = np.full(len(pieces), table.column("block")[0].as_py())
+        return pa.table({"block": block, "piece": np.arange(len(pieces), dtype=np.int32), "index": pa.array(pieces, pa.binary())})
 
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    return stored(dealt.groupBy("block").applyInArrow(make, "block long, index binary"), name)
+    return stored(dealt.groupBy("block").applyInArrow(make, "block long, piece int, index binary"), name)
+
+
+class Best(NamedTuple):
+    """The first ``k`` rows for each value of ``keys``, in the order of ``keys``: by falling ``score``, ties by ``row``."""
+
+    keys: tuple[str, ...]
+    score: str
+    row: str
+    k: int
+
+    def of(self, found: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(found).combine_chunks()
+        if not table.num_rows:
+            return found[0]
+        column = lambda name: table.column(name).to_numpy()
+        order = np.lexsort((column(self.row), ~column(self.score), *[column(c) for c in reversed(self.keys)]))
+        opens = np.ones(len(order), dtype=bool)
+        opens[1:] = np.any([np.diff(column(c)[order]) != 0 for c in self.keys], axis=0)
+        place = np.arange(len(order)) - np.maximum.accumulate(np.where(opens, np.arange(len(order)), 0))
+        return table.take(pa.array(order[place < self.k])).combine_chunks().to_batches()[0]
 
 
 def search_blocks(
@@ -95,35 +134,53 @@ def search_blocks(
     queries: DataFrame,
     key: str,
     n_queries: int,
-    answer: Callable[[object, pa.RecordBatch], pa.RecordBatch],
+    answer: Callable[[object, pa.RecordBatch, pa.RecordBatch | None], pa.RecordBatch],
     schema: str,
+    best: Best,
     block_queries: int = BLOCK_QUERIES,
 ) -> DataFrame:
-    """``answer(index, some queries)`` for every block of the index and all queries; an index meets them in blocks."""
+    """``answer(index, some queries, best rows so far)`` for every block of the index and all queries; of it each task keeps the ``best``.
+
+    A task holds a part of about ``block_queries`` queries, one index at a time, and the best rows so far; it meets a run of
+    ``RUN_BLOCKS`` blocks, or of fewer while there are not enough tasks.
+    """
     parts = max(1, -(-n_queries // block_queries))
+    slots = index.sparkSession.sparkContext.defaultParallelism
+    runs = min(blocks, max(-(-blocks // RUN_BLOCKS), -(-4 * slots // parts)))
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     empty = [F.lit(None).cast(f.dataType).alias(f"q_{f.name}") for f in queries.schema.fields]
-    held = index.select("block", each(parts).alias("part"), F.lit(0).alias("kind"), "index", *empty)
+    held = index.select(F.pmod("block", F.lit(runs)).alias("run"), each(parts).alias("part"), "block", "piece", "index", *empty)
     asked = queries.select(
-        each(blocks).alias("block"),
+        each(runs).alias("run"),
         F.pmod(F.xxhash64(key), F.lit(parts)).alias("part"),
-        F.lit(1).alias("kind"),
+        F.lit(-1).cast("long").alias("block"),  # before all blocks
+        F.lit(0).alias("piece"),
         F.lit(None).cast("binary").alias("index"),
         *[F.col(c).alias(f"q_{c}") for c in queries.columns],
     )
-    met = held.union(asked).repartition(blocks * parts, "block", "part").sortWithinPartitions("block", "part", "kind")
+    task = (F.col("run") * parts + F.col("part")).cast("int")
+    met = held.union(asked).repartitionById(runs * parts, task).sortWithinPartitions("block", "piece")
     names = queries.columns
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, ready = None, None
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
         for batch in batches:
-            block, part, kind = (batch.column(c).to_numpy() for c in ("block", "part", "kind"))
-            change = np.flatnonzero((np.diff(block) != 0) | (np.diff(part) != 0) | (np.diff(kind) != 0)) + 1
-            for low, high in zip([0, *change.tolist()], [*change.tolist(), len(block)], strict=True):
-                if kind[low] == 0:
-                    here, ready = (block[low], part[low]), pickle.loads(batch.column("index")[low].as_py())
-                elif here == (block[low], part[low]):
-                    rows = batch.slice(low, high - low)
-                    yield answer(ready, pa.RecordBatch.from_arrays([rows.column(f"q_{c}") for c in names], names))
+            block = batch.column("block").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+            for low, high in pairwise(cuts):
+                if low < high:
+                    yield int(block[low]), batch.slice(low, high - low)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, found = None, None
+        for block, rows in groupby(spans(batches), key=lambda span: span[0]):
+            if block < 0:
+                own = [pa.RecordBatch.from_arrays([span.column(f"q_{c}") for c in names], names) for _, span in rows]
+                here = pa.Table.from_batches(own).combine_chunks().to_batches()[0]
+            elif here is not None:
+                pieces = [piece for _, span in rows for piece in span.column("index").to_pylist()]
+                new = answer(pickle.loads(zlib.decompress(b"".join(pieces))), here, found)
+                found = best.of([new] if found is None else [found, new])
+        if found is not None:
+            yield found
 
     return met.mapInArrow(search, schema)

@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
+            "spark.sql.ui.retainedExecutions": "100000",  # tests of plans look them up; by default the oldest of 1000 go
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
